@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changetables.functions.text import SPACE, blank_to_null, trim_space
+from changetables.functions.text import SPACE, blank_to_null, let, trim_space
 
 _TABLE = "struct<schema:string,table:string>"
 _TABLES = f"array<{_TABLE}>"
@@ -19,7 +19,7 @@ _TABLES = f"array<{_TABLE}>"
 def strip_comments(query: Column) -> Column:
     """Remove comments in front of the statement; an unclosed one leaves nothing."""
     rest = F.regexp_replace(query, r"(?sU)\A(?:\s++|--[^\n]*+\n|/\*.*?\*/)*+", "")
-    return F.when(rest.rlike(r"\A(?:--|/\*)"), "").otherwise(trim_space(rest))
+    return let(rest, lambda r: F.when(r.rlike(r"\A(?:--|/\*)"), "").otherwise(trim_space(r)))
 
 
 def ddl_tokens(query: Column) -> Column:
@@ -39,7 +39,7 @@ def clean_identifier(token: Column) -> Column:
 
 def parse_table(token: Column) -> Column:
     """``schema.table`` or ``table``, split at the first dot."""
-    return _split_name(clean_identifier(token))
+    return let(clean_identifier(token), _split_name)
 
 
 def _split_name(name: Column) -> Column:
@@ -64,15 +64,17 @@ def _after_if_exists(tokens: Column, index: Column) -> Column:
 
 
 def _one_table(token: Column) -> Column:
-    name = parse_table(F.coalesce(token, F.lit("")))
-    return F.filter(F.array(name), lambda t: t["table"] != "")
+    name = F.array(parse_table(F.coalesce(token, F.lit(""))))
+    return F.filter(name, lambda t: t["table"] != "")
 
 
 def _table_list(tokens: Column, index: Column) -> Column:
     rest = F.slice(tokens, index + 1, F.greatest(F.size(tokens) - index, F.lit(0)))
     stops = F.transform(rest, lambda w: F.upper(w).isin("RESTRICT", "CASCADE"))
-    stop = F.array_position(stops, True).cast("int")
-    names = F.when(stop > 0, F.slice(rest, F.lit(1), stop - 1)).otherwise(rest)
+    names = let(
+        F.array_position(stops, True).cast("int"),
+        lambda stop: F.when(stop > 0, F.slice(rest, F.lit(1), stop - 1)).otherwise(rest),
+    )
     parts = F.flatten(F.transform(names, lambda w: F.split(w, ",")))
     return F.filter(F.transform(parts, parse_table), lambda t: t["table"] != "")
 
@@ -85,8 +87,7 @@ def _rename_pairs(tokens: Column) -> Column:
         F.array().cast(_TABLES).alias("found"),
     )
 
-    def step(state: Column, word: Column) -> Column:
-        table = parse_table(word)
+    def advance(state: Column, word: Column, table: Column) -> Column:
         usable = table["table"] != ""
         is_new = state["want"] == "new"
         is_to = (state["want"] == "to") & (F.upper(word) == "TO")
@@ -98,6 +99,9 @@ def _rename_pairs(tokens: Column) -> Column:
             ).otherwise(state["found"]).alias("found"),
         )
 
+    def step(state: Column, word: Column) -> Column:
+        return let(parse_table(word), lambda table: advance(state, word, table))
+
     words = F.slice(tokens, F.lit(3), F.greatest(F.size(tokens) - 2, F.lit(0)))
     return F.aggregate(words, start, step, lambda state: state["found"])
 
@@ -155,10 +159,16 @@ def resolve_tables(tables: Column, session_schema: Column) -> Column:
 def with_ddl(log: DataFrame) -> DataFrame:
     """Add ``tokens``, ``ddl_tables``, ``ddl_database``, ``is_create_database`` and
     ``targets`` (the tables with the session schema filled in)."""
-    return (
-        log.withColumn("tokens", ddl_tokens(F.col("query")))
-        .withColumn("ddl_tables", ddl_tables(F.col("tokens")))
-        .withColumn("ddl_database", ddl_database(F.col("tokens")))
-        .withColumn("is_create_database", is_create_database(F.col("tokens")))
-        .withColumn("targets", resolve_tables(F.col("ddl_tables"), F.col("schema_name")))
-    )
+    session = F.col("schema_name")
+
+    def parts(tokens: Column, tables: Column) -> Column:
+        return F.struct(
+            tokens.alias("tokens"),
+            tables.alias("ddl_tables"),
+            ddl_database(tokens).alias("ddl_database"),
+            is_create_database(tokens).alias("is_create_database"),
+            resolve_tables(tables, session).alias("targets"),
+        )
+
+    found = let(ddl_tokens(F.col("query")), lambda t: let(ddl_tables(t), lambda n: parts(t, n)))
+    return log.select("*", found.alias("__ddl")).select(*log.columns, "__ddl.*")

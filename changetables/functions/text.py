@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,3 +23,12 @@ def blank_to_null(text: Column) -> Column:
 def label_or_unknown(label: Column) -> Column:
     """Metric label: an empty or missing label reads ``unknown``."""
     return F.coalesce(blank_to_null(label), F.lit("unknown"))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` applied to ``value``, which is computed once however often it is used.
+
+    Filters pushed below a projection repeat its expressions; a bound value keeps a
+    long text expression from being repeated inside itself.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

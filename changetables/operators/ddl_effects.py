@@ -13,7 +13,7 @@ from changetables.functions.ddl import parse_table
 from changetables.plans.asof import SMALL_LOOKUP, asof_lookup
 from changetables.plans.chase import resolve_roots
 from changetables.schema import SEGMENT_BYTES, order_key, segment_key
-from changetables.session import fits
+from changetables.session import fits, materialise
 
 TABLE = ["schema_name", "table_name"]
 
@@ -101,23 +101,15 @@ def apply_ddl_epochs(
     the same successor structure as in exact replay, with table names for values. A
     database that is dropped erases every table the log knows in it.
     """
-    known = changes.select(*TABLE).unionByName(
-        effects.filter("action = 'rename'").select(
-            F.col("to_schema").alias("schema_name"), F.col("to_table").alias("table_name")
-        )
-    ).distinct()
-    dropped = (
-        effects.filter("action = 'erase_database'")
-        .drop("table_name")
-        .join(known, "schema_name")
-        .withColumn("action", F.lit("erase"))
-    )
-    steps = (
-        effects.filter("action <> 'erase_database'")
-        .unionByName(dropped.select(*effects.columns))
-        .withColumns({"at": order_key(), "segment": segment_key(segment_bytes)})
-        .withColumn("__next", F.struct("at", (F.col("action") == "erase").alias("erases")))
-    )
+    # the effects are read several times below; their texts are classified once
+    effects = materialise(effects, "ddl")
+    steps = effects.filter("action <> 'erase_database'")
+    drops = effects.filter("action = 'erase_database'")
+    if not drops.isEmpty():
+        steps = steps.unionByName(_dropped_tables(drops, changes, steps).select(*steps.columns))
+    steps = steps.withColumns(
+        {"at": order_key(), "segment": segment_key(segment_bytes)}
+    ).withColumn("__next", F.struct("at", (F.col("action") == "erase").alias("erases")))
     lookup = steps.select(*TABLE, "at", "segment", "__next")
 
     renames = steps.filter("action = 'rename'").select(
@@ -157,6 +149,15 @@ def apply_ddl_epochs(
     )
 
 
+def _dropped_tables(drops: DataFrame, changes: DataFrame, steps: DataFrame) -> DataFrame:
+    """One erasure per table the log knows in a dropped database."""
+    new_names = steps.filter("action = 'rename'").select(
+        F.col("to_schema").alias("schema_name"), F.col("to_table").alias("table_name")
+    )
+    known = changes.select(*TABLE).unionByName(new_names).distinct()
+    return drops.drop("table_name").join(known, "schema_name").withColumn("action", F.lit("erase"))
+
+
 def evolve_schema(rows: DataFrame, steps: Iterable[Mapping]) -> DataFrame:
     """Apply structured schema changes to a table, in order.
 
@@ -195,30 +196,27 @@ def evolve_images(
     are carried over it: renamed entries change name, dropped ones go, added ones
     take the default.
     """
-    text = "map<string,string>"
     for step in steps:
-        action, column = step["action"], step["column"]
-        moment = F.struct(F.lit(step["at"][0]).cast("long"), F.lit(step["at"][1]).cast("long"))
-        if action == "rename":
-            to = step["to"]
-            new = F.transform_keys(image, lambda k, _, c=column, t=to: F.when(k == c, t).otherwise(k))
-        elif action == "drop":
-            new = F.map_filter(image, lambda k, _, c=column: k != c)
-        elif action == "add":
-            default = F.lit(step.get("default")).cast("string")
-            new = F.map_concat(image, F.create_map(F.lit(column), default).cast(text))
-        elif action == "modify":
-            kind = step["type"]
-            new = F.transform_values(
-                image,
-                lambda k, v, c=column, t=kind: F.when(k == c, v.try_cast(t).cast("string")).otherwise(v),
-            )
-        else:
-            raise ValueError(f"unknown schema change {action!r}")
-        image = F.when(at < moment, new).otherwise(image)
+        moment = F.struct(*[F.lit(x).cast("long") for x in step["at"]])
+        image = F.when(at < moment, _evolve_image(image, step)).otherwise(image)
     return image
 
 
+def _evolve_image(image: Column, step: Mapping) -> Column:
+    action, column = step["action"], step["column"]
+    if action == "rename":
+        return F.transform_keys(image, lambda k, _: F.when(k == column, step["to"]).otherwise(k))
+    if action == "drop":
+        return F.map_filter(image, lambda k, _: k != column)
+    if action == "add":
+        added = F.create_map(F.lit(column), F.lit(step.get("default")).cast("string"))
+        return F.map_concat(image, added)
+    if action == "modify":
+        cast = lambda v: v.try_cast(step["type"]).cast("string")
+        return F.transform_values(image, lambda k, v: F.when(k == column, cast(v)).otherwise(v))
+    raise ValueError(f"unknown schema change {action!r}")
+
+
 def evolved_type(fields: T.StructType, steps: Iterable[Mapping]) -> T.StructType:
     """The schema after ``steps``, for typing evolved images."""
     kinds = {f.name: f.dataType for f in fields}

@@ -12,6 +12,7 @@ from changetables.schema import (
     LEDGER_SCHEMA,
     SEGMENT_BYTES,
     before_all,
+    event_key,
     segment_before_all,
     segment_key,
 )
@@ -21,11 +22,6 @@ DEFAULT_EVERY = 100
 MAX_POSITION = 4294967295
 
 
-def _event_key() -> Column:
-    ordinal = F.lit(0).cast("int").alias("ordinal")
-    return F.struct(F.col("file_seq").cast("long").alias("file_seq"), F.col("pos").cast("long").alias("pos"), ordinal)
-
-
 def running_position(
     log: DataFrame, start: DataFrame | None = None, segment_bytes: int = SEGMENT_BYTES
 ) -> DataFrame:
@@ -38,7 +34,7 @@ def running_position(
     """
     events = log.select(
         "*",
-        _event_key().alias("__at"),
+        event_key().alias("__at"),
         segment_key(segment_bytes).alias("__segment"),
         F.lit(1).cast("long").alias("__event"),
         blank_to_null(F.col("gtid_set")).alias("__set"),

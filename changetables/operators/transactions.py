@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changetables.functions.text import trim_space
 from changetables.plans.scan import Scan, segmented_scan
-from changetables.schema import SEGMENT_BYTES, order_key, segment_key
+from changetables.schema import SEGMENT_BYTES, position_key, segment_key
 
 
 def with_txn_id(log: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
@@ -17,7 +17,7 @@ def with_txn_id(log: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame
     on a commit.
     """
     begins = F.lower(trim_space(F.coalesce("query", F.lit("")))) == "begin"
-    keyed = log.withColumns({"__at": order_key(), "__segment": segment_key(segment_bytes)})
+    keyed = log.withColumns({"__at": position_key(log), "__segment": segment_key(segment_bytes)})
     scanned = segmented_scan(
         keyed,
         ["source_id"],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changetables.functions.rows import skipped_of
-from changetables.schema import order_key
+from changetables.schema import position_key
 
 # Error codes, in the order the checks are made.
 MISSING_TABLE_MAP = "missing_table_map"
@@ -106,15 +106,9 @@ def split_valid(events: DataFrame, mode: str = "reject") -> tuple[DataFrame, Dat
     bad = events.filter("error is not null")
     if mode == "reject":
         return events.filter("error is null"), bad
-    keyed = events.withColumn("__at", _event_order(events))
+    keyed = events.withColumn("__at", position_key(events))
     first = (
-        bad.select(_event_order(events).alias("at")).agg(F.min("at").alias("first")).scalar()
+        bad.select(position_key(events).alias("at")).agg(F.min("at").alias("first")).scalar()
     )
     good = F.coalesce(F.col("__at") < first, F.lit(True))
     return keyed.filter(good).drop("__at"), keyed.filter(~good).drop("__at")
-
-
-def _event_order(events: DataFrame) -> Column:
-    if "ordinal" in events.columns:
-        return order_key()
-    return F.struct(F.col("file_seq"), F.col("pos"))

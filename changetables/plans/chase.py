@@ -24,7 +24,8 @@ def resolve_roots(links: DataFrame) -> DataFrame:
     """(id, next, next_erases) -> (id, root): where a chain starting at id ends.
 
     A chain ends at the id without ``next``; ``root`` is null where the chain runs
-    into an erasing successor, which itself has no row in ``links``.
+    into an erasing successor, which itself has no row in ``links``. ``links`` is read
+    more than once and should come from a written table.
     """
     target = (
         F.when(F.col("next").isNull(), F.col("id"))
@@ -32,7 +33,7 @@ def resolve_roots(links: DataFrame) -> DataFrame:
         .otherwise(F.col("next"))
     )
     is_open = F.col("next").isNotNull() & ~F.coalesce(F.col("next_erases"), F.lit(False))
-    state = materialise(links.select("id", is_open.alias("open"), target.alias("target")), "links")
+    state = links.select("id", is_open.alias("open"), target.alias("target"))
     closed, pending = [state.filter(~F.col("open"))], state.filter("open")
     while not pending.isEmpty():
         known = _union(closed + [pending]).select(
@@ -46,8 +47,11 @@ def resolve_roots(links: DataFrame) -> DataFrame:
 
 
 def reachable(links: DataFrame, starts: DataFrame) -> DataFrame:
-    """All ids that can be reached from ``starts`` (id) over ``links`` (id, next)."""
-    jump = materialise(links.filter("next is not null").select("id", "next"), "jump")
+    """All ids that can be reached from ``starts`` (id) over ``links`` (id, next).
+
+    Round k jumps 2^k links at once from everything seen so far.
+    """
+    jump = links.filter("next is not null").select("id", "next")
     seen = materialise(starts.select("id").distinct(), "seen")
     while not jump.isEmpty():
         found = seen.join(jump, "id").select(F.col("next").alias("id"))

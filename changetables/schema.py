@@ -82,6 +82,20 @@ METRICS_SCHEMA = T.StructType(
 )
 
 
+def event_key() -> Column:
+    """The total order of a whole event, equal to that of its first row."""
+    return F.struct(
+        F.col("file_seq").cast("long").alias("file_seq"),
+        F.col("pos").cast("long").alias("pos"),
+        F.lit(0).cast("int").alias("ordinal"),
+    )
+
+
+def position_key(log: DataFrame) -> Column:
+    """``order_key`` for a log of changes, ``event_key`` for a log of events."""
+    return order_key() if "ordinal" in log.columns else event_key()
+
+
 def order_key() -> Column:
     """The total order of a change as one comparable column."""
     return F.struct(

@@ -23,6 +23,7 @@ def local_session(cores: str | int = "*", name: str = "changetables", **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         **conf,
     }

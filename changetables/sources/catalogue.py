@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changetables.plans.asof import SMALL_LOOKUP, asof_lookup
-from changetables.schema import before_all, order_key, segment_before_all, segment_key
+from changetables.schema import before_all, position_key, segment_before_all, segment_key
 
 TABLE = ("schema_name", "table_name")
 
@@ -33,7 +33,7 @@ def schema_history(initial: DataFrame, changes: DataFrame | None = None) -> Data
         return start
     later = changes.select(
         *TABLE,
-        order_key().alias("at"),
+        position_key(changes).alias("at"),
         segment_key().alias("segment"),
         F.struct("columns").alias("catalogue"),
     )
@@ -42,7 +42,7 @@ def schema_history(initial: DataFrame, changes: DataFrame | None = None) -> Data
 
 def schema_asof(log: DataFrame, history: DataFrame, small: int = SMALL_LOOKUP) -> DataFrame:
     """Add ``catalogue_columns``, the names valid at each event's position."""
-    keyed = log.withColumns({"at": order_key(), "segment": segment_key()})
+    keyed = log.withColumns({"at": position_key(log), "segment": segment_key()})
     found = asof_lookup(keyed, history, TABLE, "at", "segment", "catalogue", "last", small)
     return found.select(*log.columns, F.col("catalogue.columns").alias("catalogue_columns"))
 

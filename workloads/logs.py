@@ -268,7 +268,7 @@ def audit_log(events_df: DataFrame) -> DataFrame:
     extra = {
         "ts": "event_ts + make_dt_interval(0, 0, 0, value - 50)",
         "seconds": "value / 100",
-        "error_stage": "case when k = 1 then 'exec' when k = 2 then 'bind' "
+        "error_stage": "case when event_type = 'XIDEvent' and k in (1, 2) then null when k = 1 then 'exec' when k = 2 then 'bind' "
         "when k = 3 then 'state' when k = 4 then 'read' end",
         "error": "case when k in (1, 2) then 'failed' end",
         "checkpoint_result": "case when k = 5 then 'fail' when k between 6 and 9 then 'success' end",
