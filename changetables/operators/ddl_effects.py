@@ -223,7 +223,7 @@ def evolved_type(fields: T.StructType, steps: Iterable[Mapping]) -> T.StructType
     for step in steps:
         action, column = step["action"], step["column"]
         if action in ("add", "modify"):
-            kinds[column] = T._parse_datatype_string(step["type"])
+            kinds[column] = T.DataType.fromDDL(step["type"])
         elif action == "drop":
             kinds.pop(column)
         elif action == "rename":

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from changetables.plans.chase import reachable, resolve_roots
 from changetables.plans.scan import Scan, segmented_scan
 from changetables.schema import (
+    ORDER_TYPE,
     SEGMENT_BYTES,
     before_all,
     image_columns,
@@ -76,7 +77,7 @@ def link(
                 F.struct(
                     F.lit(1).alias("__role"),
                     F.col("after").cast(typed).alias("image"),
-                    F.lit(None).cast(f"struct<at:{order_key_type()},erases:boolean>").alias("__hit"),
+                    F.lit(None).cast(f"struct<at:{ORDER_TYPE.simpleString()},erases:boolean>").alias("__hit"),
                     F.when(F.col("op") == "insert", F.lit(1).cast("long")).alias("__copies"),
                 ),
             ),
@@ -113,10 +114,6 @@ def link(
     )
 
 
-def order_key_type() -> str:
-    return "struct<file_seq:bigint,pos:bigint,ordinal:int>"
-
-
 def replay(
     changes: DataFrame,
     base: DataFrame | None = None,

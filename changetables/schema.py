@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Total order of a log: file number, byte position, row inside the event.
-ORDER = ("file_seq", "pos", "ordinal")
+ORDER_TYPE = T.StructType(
+    [
+        T.StructField("file_seq", T.LongType()),
+        T.StructField("pos", T.LongType()),
+        T.StructField("ordinal", T.IntegerType()),
+    ]
+)
 
 #: Bytes of log per segment. A segment bounds the rows one task may have to sort,
 #: whatever the skew of the keys.

@@ -21,9 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changetables.operators.images import typed_changes
 from changetables.operators.keyed import latest_actions
-from changetables.schema import before_all
+from changetables.schema import ORDER_TYPE, before_all
 
-_AT = "struct<at:struct<file_seq:bigint,pos:bigint,ordinal:int>,sub:int>"
+_AT = T.StructType([T.StructField("at", ORDER_TYPE), T.StructField("sub", T.IntegerType())])
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ class Target:
         by_name = {f.name: f for f in self.fields}
         return T.StructType(
             [by_name[k] for k in self.keys]
-            + [T.StructField("row", self.fields), T.StructField("at", T._parse_datatype_string(_AT))]
+            + [T.StructField("row", self.fields), T.StructField("at", _AT)]
         )
 
 
