@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,3 +38,11 @@ def normalise(value: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
     return value
+
+
+def explode_present(
+    df: DataFrame, keep: Sequence[str | Column], structs: Sequence[Column], name: str
+) -> DataFrame:
+    """One row per struct that is not null; stays inside generated code."""
+    exploded = df.select(*keep, F.explode(F.array(*structs)).alias(name))
+    return exploded.filter(F.col(name).isNotNull())

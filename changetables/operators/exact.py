@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changetables.functions.rows import explode_present
 from changetables.plans.chase import reachable, resolve_roots
-from changetables.plans.scan import Scan, segmented_scan
+from changetables.plans.scan import HOT_ROWS, Scan, keyed_scan
 from changetables.schema import (
     ORDER_TYPE,
     SEGMENT_BYTES,
@@ -49,46 +50,40 @@ class Links:
 
 
 def link(
-    changes: DataFrame, base: DataFrame | None = None, segment_bytes: int = SEGMENT_BYTES
+    changes: DataFrame,
+    base: DataFrame | None = None,
+    segment_bytes: int = SEGMENT_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> Links:
-    """Find the next change acting on every row put down, in one pass over the log.
+    """Find the next change acting on every row put down.
 
-    Equal base rows are counted before the shuffle. Rows of one value are spread
-    over the log's segments, so a value that makes up a third of the log is not
-    sorted in one task.
+    Equal base rows are counted before the shuffle. A value with more than
+    ``hot_rows`` entries is spread over the log's segments, so a value that makes up a
+    third of the log is not sorted in one task.
     """
     values = image_columns(changes)
     typed = changes.schema["after"].dataType
     takes, puts = F.col("op").isin("update", "delete"), F.col("op").isin("insert", "update")
     hit = F.struct(F.col("__at").alias("at"), (F.col("op") == "delete").alias("erases"))
-    sides = F.array_compact(
-        F.array(
-            F.when(
-                takes,
-                F.struct(
-                    F.lit(0).alias("__role"),
-                    F.col("before").cast(typed).alias("image"),
-                    hit.alias("__hit"),
-                    F.lit(None).cast("long").alias("__copies"),
-                ),
-            ),
-            F.when(
-                puts,
-                F.struct(
-                    F.lit(1).alias("__role"),
-                    F.col("after").cast(typed).alias("image"),
-                    F.lit(None).cast(f"struct<at:{ORDER_TYPE.simpleString()},erases:boolean>").alias("__hit"),
-                    F.when(F.col("op") == "insert", F.lit(1).cast("long")).alias("__copies"),
-                ),
-            ),
+    no_hit = F.lit(None).cast(f"struct<at:{ORDER_TYPE.simpleString()},erases:boolean>")
+
+    def side(role: int, image: str, hit: Column, copies: Column) -> Column:
+        return F.struct(
+            F.lit(role).alias("__role"),
+            F.col(image).cast(typed).alias("image"),
+            hit.alias("__hit"),
+            copies.cast("long").alias("__copies"),
         )
+
+    sides = [
+        F.when(takes, side(0, "before", hit, F.lit(None))),
+        F.when(puts, side(1, "after", no_hit, F.when(F.col("op") == "insert", 1))),
+    ]
+    placed = changes.select(
+        "op", "before", "after", order_key().alias("__at"), segment_key(segment_bytes).alias("__segment")
     )
-    rows = (
-        changes.select(
-            "op", "before", "after", order_key().alias("__at"), segment_key(segment_bytes).alias("__segment")
-        )
-        .select("__at", "__segment", F.explode(sides).alias("s"))
-        .select("__at", "__segment", "s.__role", "s.__hit", "s.__copies", "s.image.*")
+    rows = explode_present(placed, ["__at", "__segment"], sides, "s").select(
+        "__at", "__segment", "s.__role", "s.__hit", "s.__copies", "s.image.*"
     )
     if base is not None:
         counted = base.groupBy(*values).agg(F.count(F.lit(1)).alias("__copies"))
@@ -102,12 +97,13 @@ def link(
             ),
             allowMissingColumns=True,
         )
-    scanned = segmented_scan(
+    scanned = keyed_scan(
         rows,
         values,
         ["__at", "__role"],
         "__segment",
         [Scan("__next", "next_after", F.col("__hit"))],
+        hot_rows,
     )
     return Links(
         scanned.filter("__role = 1").select(*values, "__at", "__copies", "__next"), values
@@ -119,6 +115,7 @@ def replay(
     base: DataFrame | None = None,
     match: str = "all",
     segment_bytes: int = SEGMENT_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The bag of rows after replaying ``changes`` onto ``base``.
 
@@ -130,7 +127,7 @@ def replay(
         return net_copies(changes, base).filter("copies > 0")
     if match != "all":
         raise ValueError(f"match must be 'all' or 'one', not {match!r}")
-    found = link(changes, base, segment_bytes)
+    found = link(changes, base, segment_bytes, hot_rows)
     links = Links(materialise(found.rows, "replay"), found.values)
     untouched = (
         links.tokens.filter("__next is null")
@@ -161,13 +158,18 @@ def replay(
 
 
 def replay_append_delete(
-    changes: DataFrame, base: DataFrame | None = None, segment_bytes: int = SEGMENT_BYTES
+    changes: DataFrame,
+    base: DataFrame | None = None,
+    segment_bytes: int = SEGMENT_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Replay of a log of inserts and deletes only: rows no later delete matches.
 
     No chain has to be followed, so nothing is written in between.
     """
-    found = link(changes.filter(F.col("op").isin("insert", "delete")), base, segment_bytes)
+    found = link(
+        changes.filter(F.col("op").isin("insert", "delete")), base, segment_bytes, hot_rows
+    )
     return (
         found.tokens.filter("__next is null")
         .groupBy(*found.values)
@@ -182,23 +184,24 @@ def net_copies(changes: DataFrame, base: DataFrame | None = None) -> DataFrame:
     signed = lambda n, side: F.struct(
         F.lit(n).cast("long").alias("n"), F.col(side).cast(typed).alias("image")
     )
-    sides = F.array_compact(
-        F.array(
-            F.when(F.col("op").isin("update", "delete"), signed(-1, "before")),
-            F.when(F.col("op").isin("insert", "update"), signed(1, "after")),
-        )
-    )
-    rows = changes.select(F.explode(sides).alias("s")).select("s.image.*", F.col("s.n").alias("n"))
+    sides = [
+        F.when(F.col("op").isin("update", "delete"), signed(-1, "before")),
+        F.when(F.col("op").isin("insert", "update"), signed(1, "after")),
+    ]
+    rows = explode_present(changes, [], sides, "s").select("s.image.*", "s.n")
     if base is not None:
         rows = rows.unionByName(base.select(*values, F.lit(1).cast("long").alias("n")))
     return rows.groupBy(*values).agg(F.sum("n").alias("copies")).filter("copies <> 0")
 
 
 def unmatched_changes(
-    changes: DataFrame, base: DataFrame | None = None, segment_bytes: int = SEGMENT_BYTES
+    changes: DataFrame,
+    base: DataFrame | None = None,
+    segment_bytes: int = SEGMENT_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Updates and deletes that met no row at all when they were replayed."""
-    found = link(changes, base, segment_bytes)
+    found = link(changes, base, segment_bytes, hot_rows)
     links = Links(materialise(found.rows, "unmatched"), found.values)
     hops = links.updates.select(F.col("__at").alias("id"), F.col("__next.at").alias("next"))
     starts = links.tokens.filter("__next is not null").select(F.col("__next.at").alias("id"))

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changetables.plans.scan import Scan, segmented_scan
+from changetables.functions.rows import explode_present
+from changetables.plans.scan import HOT_ROWS, Scan, keyed_scan
 from changetables.schema import (
     SEGMENT_BYTES,
     before_all,
@@ -42,17 +43,12 @@ def split_key_updates(
         creates.alias("creates"),
         *[F.col(f"{side}.{k}").alias(k) for k in keys],
     )
-    actions = F.array_compact(
-        F.array(
-            F.when(removes, action(0, F.lit(None), F.lit(False), "before")),
-            F.when(
-                writes, action(1, F.col("after"), (F.col("op") == "insert") | moves, "after")
-            ),
-        )
-    )
-    return changes.select(
-        *keep, "op", order_key().alias("at"), F.explode(actions).alias("a")
-    ).select(*keep, "op", "at", "a.*")
+    actions = [
+        F.when(removes, action(0, F.lit(None), F.lit(False), "before")),
+        F.when(writes, action(1, F.col("after"), (F.col("op") == "insert") | moves, "after")),
+    ]
+    header = [*keep, "op", order_key().alias("at")]
+    return explode_present(changes, header, actions, "a").select(*keep, "op", "at", "a.*")
 
 
 def latest_actions(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,6 +85,7 @@ def key_actions_with_liveness(
     keys: Sequence[str],
     base: DataFrame | None = None,
     segment_bytes: int = SEGMENT_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Actions plus ``was_live``: did the key exist just before the action?
 
@@ -113,8 +110,13 @@ def key_actions_with_liveness(
             F.lit(True).alias("__live"),
         )
         actions = actions.unionByName(start, allowMissingColumns=True)
-    scanned = segmented_scan(
-        actions, keys, ["at", "sub"], "segment", [Scan("was_live", "last_before", F.col("__live"))]
+    scanned = keyed_scan(
+        actions,
+        keys,
+        ["at", "sub"],
+        "segment",
+        [Scan("was_live", "last_before", F.col("__live"))],
+        hot_rows,
     )
     return scanned.filter("op is not null").select(
         *keys, "op", "at", "sub", "creates", F.coalesce("was_live", F.lit(False)).alias("was_live")
@@ -126,9 +128,10 @@ def conflicts(
     keys: Sequence[str],
     base: DataFrame | None = None,
     segment_bytes: int = SEGMENT_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Inserts, and updates moving a row, into a key that exists already."""
-    actions = key_actions_with_liveness(changes, keys, base, segment_bytes)
+    actions = key_actions_with_liveness(changes, keys, base, segment_bytes, hot_rows)
     return actions.filter("creates and was_live").select(*keys, "op", "at.*")
 
 
@@ -137,9 +140,10 @@ def halt_at_first_conflict(
     keys: Sequence[str],
     base: DataFrame | None = None,
     segment_bytes: int = SEGMENT_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The changes before the first conflict, rows of the same event included."""
-    found = conflicts(changes, keys, base, segment_bytes)
+    found = conflicts(changes, keys, base, segment_bytes, hot_rows)
     first = found.select(order_key().alias("at")).agg(F.min("at").alias("first")).scalar()
     return changes.filter(F.coalesce(order_key() < first, F.lit(True)))
 
@@ -176,25 +180,21 @@ def fold_partial(
             for k in keys
         ]
 
-    steps = F.array_compact(
-        F.array(
-            F.when(
-                (F.col("op") == "delete") | F.col("__moves"),
-                F.struct(F.lit("drop").alias("kind"), F.lit(0).alias("sub"), F.lit("before").alias("side")),
-            ),
-            F.when(
-                (F.col("op") == "insert") | F.col("__moves"),
-                F.struct(F.lit("reset").alias("kind"), F.lit(1).alias("sub"), F.lit("after").alias("side")),
-            ),
-            F.when(
-                (F.col("op") == "update") & ~F.col("__moves"),
-                F.struct(F.lit("set").alias("kind"), F.lit(1).alias("sub"), F.lit("before").alias("side")),
-            ),
+    def step(kind: str, sub: int, side: str) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), F.lit(sub).alias("sub"), F.lit(side).alias("side")
         )
+
+    op = F.col("op")
+    steps = [
+        F.when((op == "delete") | F.col("__moves"), step("drop", 0, "before")),
+        F.when((op == "insert") | F.col("__moves"), step("reset", 1, "after")),
+        F.when((op == "update") & ~F.col("__moves"), step("set", 1, "before")),
+    ]
+    header = [order_key().alias("at"), "before", "after", "after_present"]
+    actions = explode_present(marked, header, steps, "s").select(
+        "at", "after", "after_present", "s.kind", "s.sub", *key_of(F.col("s.side"))
     )
-    actions = marked.select(
-        order_key().alias("at"), "before", "after", "after_present", F.explode(steps).alias("s")
-    ).select("at", "after", "after_present", "s.kind", "s.sub", *key_of(F.col("s.side")))
 
     when = F.struct("at", "sub")
     folded = []
@@ -229,6 +229,7 @@ def history(
     keys: Sequence[str],
     keep: Sequence[str] = (),
     segment_bytes: int = SEGMENT_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every version of every row with the positions it held between.
 
@@ -240,8 +241,8 @@ def history(
         "segment", segment_key(segment_bytes)
     )
     closing = F.struct("at", *keep)
-    scanned = segmented_scan(
-        actions, keys, ["at", "sub"], "segment", [Scan("next", "next_after", closing)]
+    scanned = keyed_scan(
+        actions, keys, ["at", "sub"], "segment", [Scan("next", "next_after", closing)], hot_rows
     )
     return scanned.filter("row is not null").select(
         "row.*",

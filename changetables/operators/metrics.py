@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changetables.functions.events import event_type_label, is_skipped_query, lag_seconds
+from changetables.functions.rows import explode_present
 from changetables.functions.text import label_or_unknown
 
 # Default bounds of the duration histogram, in seconds.
@@ -182,28 +183,23 @@ def metrics_snapshot(
     )
     is_event = F.col("event_type").isNotNull()
     applied = F.col("label").isNotNull() & F.col("error").isNull() & F.col("error_stage").isNull()
-    stages = F.transform(
-        F.coalesce(error_stages(F.col("error_stage"), F.col("kind")), F.array().cast("array<string>")),
-        lambda s: F.struct(F.lit("event_apply_errors_total").alias("metric"), s.alias("label")),
-    )
-    hits = F.concat(
-        F.array_compact(
-            F.array(
-                one(is_event, "binlog_events_read_total", event_type_label(F.col("event_type"))),
-                one(F.col("error_stage") == "read", "binlog_read_errors_total", none),
-                one(is_event & is_filtered(allowed), "events_filtered_total", label_or_unknown(F.col("kind"))),
-                one(applied, "events_applied_total", F.coalesce("label", none)),
-                one(
-                    F.col("checkpoint_result").isNotNull(),
-                    "state_checkpoint_total",
-                    label_or_unknown(F.col("checkpoint_result")),
-                ),
-            )
+    failed, errors = F.col("error_stage"), "event_apply_errors_total"
+    hits = [
+        one(is_event, "binlog_events_read_total", event_type_label(F.col("event_type"))),
+        one(failed == "read", "binlog_read_errors_total", none),
+        one(is_event & is_filtered(allowed), "events_filtered_total", label_or_unknown(F.col("kind"))),
+        one(applied, "events_applied_total", F.col("label")),
+        one(failed == "exec", errors, F.lit("exec")),
+        one(failed.isin("exec", "bind"), errors, label_or_unknown(F.col("kind"))),
+        one(failed == "state", errors, F.lit("state")),
+        one(
+            F.col("checkpoint_result").isNotNull(),
+            "state_checkpoint_total",
+            label_or_unknown(F.col("checkpoint_result")),
         ),
-        stages,
-    )
+    ]
     counters = (
-        audit.select(F.explode(hits).alias("h"))
+        explode_present(audit, [], hits, "h")
         .groupBy("h.metric", "h.label")
         .agg(F.count(F.lit(1)).cast("double").alias("value"))
     )
@@ -212,24 +208,22 @@ def metrics_snapshot(
     gauge = lambda df, metric, value: df.select(
         F.lit(metric).alias("metric"), F.col("source_id").alias("label"), F.col(value).cast("double").alias("value")
     ).filter("value is not null")
+    samples = {
+        f"{name}_bucket": (hist, F.concat_ws("|", "event_type", "le"), "events"),
+        f"{name}_sum": (hist.filter("le = '+Inf'"), F.col("event_type"), "sum"),
+        f"{name}_count": (hist.filter("le = '+Inf'"), F.col("event_type"), "count"),
+    }
     parts = [
         counters,
         gauge(pipeline_up(audit), "worker_up", "up"),
         gauge(current_lag(audit, "ts"), "replication_lag_seconds", "lag_seconds"),
         gauge(last_checkpoint(audit), "state_last_checkpoint_timestamp_seconds", "last_checkpoint"),
-        hist.select(
-            F.lit(f"{name}_bucket").alias("metric"),
-            F.concat_ws("|", "event_type", "le").alias("label"),
-            F.col("events").cast("double").alias("value"),
-        ),
-        hist.filter("le = '+Inf'").select(
-            F.explode(
-                F.array(
-                    F.struct(F.lit(f"{name}_sum").alias("metric"), F.col("event_type").alias("label"), F.col("sum").cast("double").alias("value")),
-                    F.struct(F.lit(f"{name}_count").alias("metric"), F.col("event_type").alias("label"), F.col("count").cast("double").alias("value")),
-                )
-            ).alias("m")
-        ).select("m.*"),
+        *[
+            df.select(
+                F.lit(metric).alias("metric"), label.alias("label"), F.col(value).cast("double").alias("value")
+            )
+            for metric, (df, label, value) in samples.items()
+        ],
     ]
     table = reduce(lambda a, b: a.unionByName(b), parts)
     return table.withColumn("metric", F.concat(F.lit(prefix), F.col("metric")))

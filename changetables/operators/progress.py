@@ -98,7 +98,8 @@ def checkpoints(
     regular = marked.filter(F.col("n") % every == 0).withColumn("reason", F.lit("interval"))
     emitted = regular
     if final_flush:
-        row = F.struct(*marked.columns)
+        kept = ("binlog_file", "binlog_pos", "gtid_set_saved", "base_flavor", "base_mode", "base_server_id", "base_version")
+        row = F.struct("source_id", "n", saved_at, *kept)
         last = (
             marked.groupBy("source_id")
             .agg(
@@ -108,7 +109,7 @@ def checkpoints(
             .filter(F.col("last_moved") > F.floor(F.col("r.n") / F.lit(every)) * every)
             .select("r.*", F.lit("final").alias("reason"))
         )
-        emitted = regular.unionByName(last)
+        emitted = regular.unionByName(last, allowMissingColumns=True)
     saves = F.ceil(F.col("n") / F.lit(every))
     return emitted.select(
         "source_id",

@@ -1,11 +1,15 @@
 """Ordered scans per key that no single key can overload.
 
-A plain window over ``partitionBy(key)`` puts all rows of a key in one task. Here
-each key is cut into segments of the log, a small per-segment summary is carried
-from segment to segment, and the carried values re-enter the data as one extra row
-per (key, segment). The heavy window is then partitioned by (key, segment), so a
+A plain window over ``partitionBy(key)`` puts all rows of a key in one task. Here a
+key that may be large is cut into segments of the log, a small per-segment summary is
+carried from segment to segment, and the carried values re-enter the data as one extra
+row per (key, segment). The heavy window is then partitioned by (key, segment), so a
 task holds at most one segment of a key, and the data is shuffled once. Null keys
 group together, as in any window.
+
+``segmented_scan`` cuts every key and is for few, large keys such as sources or
+tables. ``keyed_scan`` is for keys that are many and mostly small, such as rows: it
+counts the keys first and cuts only those found to be hot.
 """
 
 from __future__ import annotations
@@ -17,6 +21,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changetables.session import fits, materialise
+
+#: Rows of one key that one task may sort.
+HOT_ROWS = 2_000_000
+
+#: Up to this many hot keys are sent to every executor. There are at most
+#: (rows of the log / HOT_ROWS) of them; if there are more, all keys are cut.
+MAX_HOT_KEYS = 50_000
+
 
 @dataclass(frozen=True)
 class Scan:
@@ -57,12 +70,56 @@ def segmented_scan(
     ``order`` must be unique within a key, and ``segment`` must ascend with it.
     """
     cells = df.withColumns({s.cell: _cell(s) for s in scans})
-    summary = cells.groupBy(*keys, segment).agg(*[_summarise(s, order) for s in scans])
+    return _scan(cells, cells, df.columns, keys, order, segment, scans)
+
 
+def keyed_scan(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    segment: str,
+    scans: Sequence[Scan],
+    hot_rows: int = HOT_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """``segmented_scan`` that leaves keys of up to ``hot_rows`` rows in one piece.
+
+    Counting combines on the map side and is done when the scan is set up; without
+    hot keys, what is left is one plain window.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = materialise(counted.filter(F.col("__n") > hot_rows).select(*keys), "hot")
+    cells = df.withColumns({s.cell: _cell(s) for s in scans})
+    if hot.isEmpty():
+        whole = cells.withColumn(segment, F.lit(None).cast(df.schema[segment].dataType))
+        return _scan(whole, None, df.columns, keys, order, segment, scans)
+    if not fits(hot, max_hot_keys):
+        return _scan(cells, cells, df.columns, keys, order, segment, scans)
+    names = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias("__is_hot"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
+    flagged = cells.join(F.broadcast(names), same, "left")
+    cut = flagged.withColumn(segment, F.when(F.col("__is_hot"), F.col(segment)))
+    large = cut.filter("__is_hot").select(*cells.columns)
+    return _scan(cut.select(*cells.columns), large, df.columns, keys, order, segment, scans)
+
+
+def _scan(
+    cells: DataFrame,
+    large: DataFrame | None,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    order: Sequence[str],
+    segment: str,
+    scans: Sequence[Scan],
+) -> DataFrame:
+    """Scan ``cells``; ``large`` are the rows whose keys span several segments."""
     pieces = [cells.withColumn("__edge", F.lit(0))]
-    for edge, group in ((-1, [s for s in scans if not s.backward]), (1, [s for s in scans if s.backward])):
-        if group:
-            pieces.append(_carried(summary, keys, segment, group, edge))
+    if large is not None:
+        summary = large.groupBy(*keys, segment).agg(*[_summarise(s, order) for s in scans])
+        for edge in (-1, 1):
+            group = [s for s in scans if s.backward == (edge > 0)]
+            if group:
+                pieces.append(_carried(summary, keys, segment, group, edge))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
 
     forward = Window.partitionBy(*keys, segment).orderBy("__edge", *order)
@@ -75,7 +132,7 @@ def segmented_scan(
     results = [
         (F.col(s.name) if s.total else F.col(s.name)["v"]).alias(s.name) for s in scans
     ]
-    return scanned.filter("__edge = 0").select(*df.columns, *results)
+    return scanned.filter("__edge = 0").select(*columns, *results)
 
 
 def _cell(scan: Scan) -> Column:

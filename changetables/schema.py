@@ -124,7 +124,7 @@ def segment_key(segment_bytes: int = SEGMENT_BYTES) -> Column:
     """The byte range of the log a change lies in; ascends with the order key."""
     return F.struct(
         F.col("file_seq").cast("long").alias("file_seq"),
-        F.floor(F.col("pos") / F.lit(segment_bytes)).cast("long").alias("part"),
+        F.expr(f"pos div {int(segment_bytes)}").cast("long").alias("part"),
     )
 
 

@@ -119,7 +119,7 @@ def _outside_by_scan(log: DataFrame, intervals: DataFrame) -> DataFrame:
     rows = (
         log.withColumn("__side", F.lit(1))
         .unionByName(marks, allowMissingColumns=True)
-        .withColumn("__segment", F.floor(F.col("gtid_seq") / F.lit(SEQ_SEGMENT)))
+        .withColumn("__segment", F.expr(f"gtid_seq div {SEQ_SEGMENT}"))
     )
     scanned = segmented_scan(
         rows,

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changetables.functions.gtid import interval_text, normalise_flavor
-from changetables.schema import order_key
 
 #: Transaction numbers per bucket when looking for gaps.
 SEQ_BUCKET = 1_000_000
@@ -37,7 +36,7 @@ def gtid_set_total(
         log.filter("gtid_source is not null and gtid_seq is not null")
         .select("gtid_source", "gtid_seq")
         .distinct()
-        .withColumn("bucket", F.floor(F.col("gtid_seq") / F.lit(bucket)))
+        .withColumn("bucket", F.expr(f"gtid_seq div {int(bucket)}"))
     )
     inside = Window.partitionBy("gtid_source", "bucket").orderBy("gtid_seq")
     runs = (

@@ -21,16 +21,16 @@ def bag(df):
     return sorted((tuple(r[:-1]) for r in df.collect() for _ in range(r["copies"])), key=repr)
 
 
-@pytest.mark.parametrize("seed,segment", [(1, 64), (2, 300), (3, 10**6), (4, 150)])
-def test_exact_replay_equals_sequential_replay(spark, seed, segment):
+@pytest.mark.parametrize("seed,segment,hot", [(1, 64, 0), (2, 300, 5), (3, 10**6, 5), (4, 150, 10**6)])
+def test_exact_replay_equals_sequential_replay(spark, seed, segment, hot):
     log = bag_changes(seed, 160)
     base = [(1, "hot")] * 3 + [(None, None), (2, "a"), (9, "never")]
     want, unmatched = replay_bag(base, log)
     base_df = spark.createDataFrame(base, IMAGE)
     df = changes(spark, log, seed)
-    got = ct.replay(df, base_df, segment_bytes=segment)
+    got = ct.replay(df, base_df, segment_bytes=segment, hot_rows=hot)
     assert bag(got) == want
-    missed = ct.unmatched_changes(df, base_df, segment_bytes=segment)
+    missed = ct.unmatched_changes(df, base_df, segment_bytes=segment, hot_rows=hot)
     assert rows(missed.select("file_seq", "pos", "ordinal")) == sorted(unmatched, key=repr)
 
 
@@ -55,7 +55,7 @@ def test_one_delete_removes_every_equal_row(spark):
 def test_append_delete_is_the_special_case(spark, seed):
     log = [c for c in bag_changes(seed, 150) if c[3] != "update"]
     df = changes(spark, log)
-    assert bag(ct.replay_append_delete(df, segment_bytes=200)) == replay_bag([], log)[0]
+    assert bag(ct.replay_append_delete(df, segment_bytes=200, hot_rows=5)) == replay_bag([], log)[0]
 
 
 def test_expand_copies_keeps_counts(spark):
@@ -74,8 +74,8 @@ def test_keyed_replay_on_consistent_logs(spark, seed):
     base, log, want = keyed_changes(seed, 200)
     base_df, df = spark.createDataFrame(base, IMAGE), changes(spark, log, seed)
     assert rows(ct.latest_by_key(df, ["k"], base_df)) == sorted(want, key=repr)
-    assert bag(ct.replay(df, base_df, segment_bytes=500)) == sorted(want, key=repr)
-    assert ct.conflicts(df, ["k"], base_df, segment_bytes=300).isEmpty()
+    assert bag(ct.replay(df, base_df, segment_bytes=500, hot_rows=5)) == sorted(want, key=repr)
+    assert ct.conflicts(df, ["k"], base_df, segment_bytes=300, hot_rows=5).isEmpty()
 
 
 def _first_conflict(base, log):
@@ -103,9 +103,9 @@ def test_conflicts_and_halt(spark, seed):
     base = [(1, "x"), (5, "y")]
     want = _first_conflict(base, log)
     base_df, df = spark.createDataFrame(base, IMAGE), changes(spark, log, seed)
-    found = ct.conflicts(df, ["k"], base_df, segment_bytes=250)
+    found = ct.conflicts(df, ["k"], base_df, segment_bytes=250, hot_rows=5)
     assert rows(found.select("file_seq", "pos", "ordinal")) == sorted(want, key=repr)
-    kept = ct.halt_at_first_conflict(df, ["k"], base_df, segment_bytes=250)
+    kept = ct.halt_at_first_conflict(df, ["k"], base_df, segment_bytes=250, hot_rows=5)
     assert kept.count() == sum(tuple(c[:3]) < min(want) for c in log)
 
 
@@ -121,7 +121,7 @@ def test_liveness_sees_deletes(spark):
         (1, 2, 0, "delete", (1, "a"), None),
         (1, 3, 0, "insert", None, (1, "b")),
     ]
-    got = key_actions_with_liveness(changes(spark, log), ["k"], segment_bytes=1)
+    got = key_actions_with_liveness(changes(spark, log), ["k"], segment_bytes=1, hot_rows=5)
     assert rows(got.select("at.pos", "was_live")) == [(1, False), (2, True), (3, False)]
 
 
@@ -177,7 +177,7 @@ def test_partial_key_move_is_refused(spark):
 def test_history_versions_do_not_overlap(spark):
     base, log, want = keyed_changes(61, 150, moves=0.3)
     df = changes(spark, log)
-    versions = ct.history(df, ["k"], segment_bytes=200)
+    versions = ct.history(df, ["k"], segment_bytes=200, hot_rows=5)
     current = versions.filter("valid_to is null").select("k", "v")
     touched = {c[4][0] for c in log if c[4]} | {c[5][0] for c in log if c[5]}
     assert rows(current) == sorted(((k, v) for k, v in want if k in touched), key=repr)
@@ -194,6 +194,6 @@ def test_one_hot_key_holding_most_of_the_log(spark):
         "case when id > 0 then named_struct('k', 1, 'v', cast(id - 1 as string)) end as before",
         "named_struct('k', 1, 'v', cast(id as string)) as after",
     )
-    assert bag(ct.replay(log, segment_bytes=20_000)) == [(1, str(n - 1))]
+    assert bag(ct.replay(log, segment_bytes=20_000, hot_rows=1_000)) == [(1, str(n - 1))]
     assert rows(ct.latest_by_key(log, ["k"])) == [(1, str(n - 1))]
-    assert ct.history(log, ["k"], segment_bytes=20_000).filter("valid_to is null").count() == 1
+    assert ct.history(log, ["k"], segment_bytes=20_000, hot_rows=1_000).filter("valid_to is null").count() == 1

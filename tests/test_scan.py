@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from changetables.plans.asof import asof_lookup
 from changetables.plans.chase import reachable, resolve_roots
-from changetables.plans.scan import Scan, segmented_scan
+from changetables.plans.scan import Scan, keyed_scan, segmented_scan
 from conftest import rows
 
 
@@ -26,22 +26,25 @@ def _frame(spark, n=400, seed=1):
     return spark.createDataFrame(data, "key string, at int, seg int, v int, w int")
 
 
-def test_scans_equal_plain_windows(spark):
+def _scans():
+    return [
+        Scan("l", "last", F.col("v")),
+        Scan("b", "last_before", F.col("v")),
+        Scan("n", "next_after", F.col("v")),
+        Scan("s", "sum", F.col("w")),
+        Scan("t", "sum_before", F.col("w")),
+        Scan("m", "max", F.col("v")),
+    ]
+
+
+@pytest.mark.parametrize("limits", [None, (0, 1000), (30, 1000), (10**6, 1000), (5, 1)])
+def test_scans_equal_plain_windows(spark, limits):
     df = _frame(spark)
-    got = segmented_scan(
-        df,
-        ["key"],
-        ["at"],
-        "seg",
-        [
-            Scan("l", "last", F.col("v")),
-            Scan("b", "last_before", F.col("v")),
-            Scan("n", "next_after", F.col("v")),
-            Scan("s", "sum", F.col("w")),
-            Scan("t", "sum_before", F.col("w")),
-            Scan("m", "max", F.col("v")),
-        ],
-    )
+    if limits is None:
+        got = segmented_scan(df, ["key"], ["at"], "seg", _scans())
+    else:
+        got = keyed_scan(df, ["key"], ["at"], "seg", _scans(), *limits).drop("seg")
+        df = df.drop("seg")
     w = Window.partitionBy("key").orderBy("at")
     past, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
     ahead = w.rowsBetween(1, Window.unboundedFollowing)

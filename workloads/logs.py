@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changetables.functions.rows import explode_present
 from changetables.sources.changelog import read_changelog
 
 EVENTS_SCHEMA = T.StructType(
@@ -24,8 +25,9 @@ EVENTS_SCHEMA = T.StructType(
     ]
 )
 
-#: Log bytes per segment in the queries: small, so that small tables span many.
-SEGMENT = 16 * 1024
+#: Log bytes per segment where a query scans few large keys: small, so that small
+#: tables span many segments.
+SEGMENT = 64 * 1024
 
 # the position of an event in the log, 2,500 events of 100 bytes per file
 POSITION = {
@@ -153,34 +155,26 @@ def order_log(orders: DataFrame) -> DataFrame:
         parts.append((empty if after is None else after).alias("after"))
         return F.struct(*parts)
 
-    steps = F.array_compact(
-        F.array(
-            F.when(F.col("o_orderstatus") == "O", step(1, "insert", None, first)),
-            F.when(bumped, step(2, "update", first, second)),
-            F.when(moved, step(3, "update", second, third)),
-            F.when(deleted, step(4, "delete", last, None)),
-        )
-    )
-    return orders.select(
-        (F.lit(4) + F.col("o_orderkey") * 100).alias("pos"), F.explode(steps).alias("s")
-    ).select("s.file_seq", "pos", F.lit(0).alias("ordinal"), "s.op", "s.before", "s.after")
+    steps = [
+        F.when(F.col("o_orderstatus") == "O", step(1, "insert", None, first)),
+        F.when(bumped, step(2, "update", first, second)),
+        F.when(moved, step(3, "update", second, third)),
+        F.when(deleted, step(4, "delete", last, None)),
+    ]
+    pos = (F.lit(4) + F.col("o_orderkey") * 100).alias("pos")
+    return explode_present(orders, [pos], steps, "s").select("s.file_seq", "pos", F.lit(0).alias("ordinal"), "s.op", "s.before", "s.after")
 
 
 def bag_log(lineitem: DataFrame) -> DataFrame:
-    """Inserts of all line items by ship date, and a delete after each untaxed one."""
+    """Inserts of all line items by ship month, and a delete after each untaxed one."""
     image = F.struct("l_returnflag", "l_linestatus", "l_quantity")
-    entries = F.array_compact(
-        F.array(
-            F.struct(F.lit(0).alias("ordinal"), F.lit("insert").alias("op")),
-            F.when(F.col("l_tax") == 0, F.struct(F.lit(1).alias("ordinal"), F.lit("delete").alias("op"))),
-        )
-    )
-    return lineitem.select(
-        F.unix_date(F.col("l_shipdate").cast("date")).cast("long").alias("file_seq"),
-        F.col("l_orderkey").alias("pos"),
-        image.alias("image"),
-        F.explode(entries).alias("e"),
-    ).select(
+    entries = [
+        F.struct(F.lit(0).alias("ordinal"), F.lit("insert").alias("op")),
+        F.when(F.col("l_tax") == 0, F.struct(F.lit(1).alias("ordinal"), F.lit("delete").alias("op"))),
+    ]
+    month = F.year("l_shipdate") * 100 + F.month("l_shipdate")
+    header = [month.cast("long").alias("file_seq"), F.col("l_orderkey").alias("pos"), image.alias("image")]
+    return explode_present(lineitem, header, entries, "e").select(
         "file_seq",
         "pos",
         "e.ordinal",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from changetables.functions.ddl import with_ddl
+from changetables.functions.rows import explode_present
 from changetables.operators import ddl_effects as effects
 from changetables.operators import exact, keyed
 from changetables.operators.transactions import with_txn_id
@@ -93,7 +94,7 @@ _CHASE = f"""with recursive e as (select event_id as id, {logs.OP} as op, {logs.
     f"""{_CHASE} select slot, count(*) as copies from walk where next is null group by slot"""
 )
 def exact_replay_events(spark, sf):
-    return exact.replay(_slots(spark, sf), segment_bytes=logs.SEGMENT)
+    return exact.replay(_slots(spark, sf))
 
 
 @query(
@@ -101,19 +102,19 @@ def exact_replay_events(spark, sf):
  (select next from walk where next is not null)"""
 )
 def unmatched_changes(spark, sf):
-    return exact.unmatched_changes(_slots(spark, sf), segment_bytes=logs.SEGMENT).select("event_id")
+    return exact.unmatched_changes(_slots(spark, sf)).select("event_id")
 
 
 @query(
-    """with d as (select l_returnflag, l_linestatus, l_quantity, max((l_shipdate, l_orderkey)) as last
+    """with d as (select l_returnflag, l_linestatus, l_quantity, max((date_trunc('month', l_shipdate), l_orderkey)) as last
    from lineitem where l_tax = 0 group by all)
  select i.l_returnflag, i.l_linestatus, i.l_quantity, count(*) as copies from lineitem i left join d
    using (l_returnflag, l_linestatus, l_quantity)
- where d.last is null or (i.l_shipdate, i.l_orderkey) > d.last group by all"""
+ where d.last is null or (date_trunc('month', i.l_shipdate), i.l_orderkey) > d.last group by all"""
 )
 def bag_replay_lineitem(spark, sf):
     log = logs.bag_log(logs.table(spark, sf, "lineitem"))
-    return exact.replay_append_delete(log, segment_bytes=logs.SEGMENT)
+    return exact.replay_append_delete(log)
 
 
 @query(
@@ -140,14 +141,14 @@ _LIVE = """with e as (select *, last_value(case event_type when 'signup' then 1
 
 @query(f"{_LIVE} select user_id, event_id // 2500 + 1 as file_seq, 4 + event_id % 2500 * 100 as pos from c")
 def conflicts_events(spark, sf):
-    found = keyed.conflicts(_accounts(spark, sf), ["user_id"], segment_bytes=logs.SEGMENT)
+    found = keyed.conflicts(_accounts(spark, sf), ["user_id"])
     return found.select("user_id", "file_seq", "pos")
 
 
 @query(f"{_LIVE} select event_id from events where event_id < (select min(event_id) from c)")
 def halt_at_conflict(spark, sf):
     log = _accounts(spark, sf)
-    return keyed.halt_at_first_conflict(log, ["user_id"], segment_bytes=logs.SEGMENT).select("event_id")
+    return keyed.halt_at_first_conflict(log, ["user_id"]).select("event_id")
 
 
 @query(
@@ -176,38 +177,31 @@ def partial_update_orders(spark, sf):
             F.lit(op).alias("op"),
             before.alias("before"),
             after.alias("after"),
-            F.array(*map(F.lit, present)).alias("after_present"),
+            F.array(*map(F.lit, present)).cast("array<string>").alias("after_present"),
         )
 
     key, nothing = F.col("o_orderkey"), F.when(F.lit(False), row)
-    steps = F.array_compact(
-        F.array(
-            F.when(status == "O", step(1, "insert", nothing, row, "o_orderkey", "o_orderstatus", "o_totalprice")),
-            F.when(
-                priority == "1-URGENT",
-                step(2, "update", image(key), image(key, F.lit("U")), "o_orderstatus"),
-            ),
-            F.when(priority == "2-HIGH", step(2, "update", image(key), image(key), "o_orderstatus")),
-            F.when(
-                priority == "3-MEDIUM",
-                step(3, "update", image(key), image(key, price=F.col("o_totalprice") + 5), "o_totalprice"),
-            ),
-            F.when(
-                priority == "5-LOW",
-                step(3, "update", image(-1 - key), image(-1 - key, F.lit("X")), "o_orderstatus"),
-            ),
-            F.when(
-                (status == "P") & (priority != "4-NOT SPECIFIED"), step(4, "delete", image(key), nothing)
-            ),
-        )
-    )
-    steps_typed = F.transform(
-        steps,
-        lambda s: s.withField("after_present", s["after_present"].cast("array<string>")),
-    )
-    changes = orders.select(
-        (F.lit(4) + key * 100).alias("pos"), F.lit(0).alias("ordinal"), F.explode(steps_typed).alias("s")
-    ).select("pos", "ordinal", "s.*")
+    steps = [
+        F.when(status == "O", step(1, "insert", nothing, row, "o_orderkey", "o_orderstatus", "o_totalprice")),
+        F.when(
+            priority == "1-URGENT",
+            step(2, "update", image(key), image(key, F.lit("U")), "o_orderstatus"),
+        ),
+        F.when(priority == "2-HIGH", step(2, "update", image(key), image(key), "o_orderstatus")),
+        F.when(
+            priority == "3-MEDIUM",
+            step(3, "update", image(key), image(key, price=F.col("o_totalprice") + 5), "o_totalprice"),
+        ),
+        F.when(
+            priority == "5-LOW",
+            step(3, "update", image(-1 - key), image(-1 - key, F.lit("X")), "o_orderstatus"),
+        ),
+        F.when(
+            (status == "P") & (priority != "4-NOT SPECIFIED"), step(4, "delete", image(key), nothing)
+        ),
+    ]
+    header = [(F.lit(4) + key * 100).alias("pos"), F.lit(0).alias("ordinal")]
+    changes = explode_present(orders, header, steps, "s").select("pos", "ordinal", "s.*")
     base = orders.filter("o_orderstatus <> 'O'").select(*logs.ORDER_COLUMNS)
     defaults = {"o_custkey": F.lit(-1).cast("long")}
     return keyed.fold_partial(changes, base, ["o_orderkey"], defaults)
@@ -222,7 +216,7 @@ def partial_update_orders(spark, sf):
 )
 def row_history(spark, sf):
     versions = keyed.history(
-        _accounts(spark, sf), ["user_id"], keep=["event_ts"], segment_bytes=logs.SEGMENT
+        _accounts(spark, sf), ["user_id"], keep=["event_ts"]
     )
     return versions.select(
         "user_id",
