@@ -28,6 +28,15 @@ from changetables.sources.catalogue import schema_asof, schema_history, table_co
 from changetables.sources.changelog import after_gtid_set, from_position, read_changelog, read_table, resume_after
 from changetables.sources.gtid import gtid_set_asof, gtid_set_text, gtid_set_total
 from changetables.sources.ledger import checkpoints_to_json, load_checkpoint, load_ledger, save_checkpoint
-from changetables.streaming.apply import Target, compact, drain, read_current, start_apply, start_apply_tables
+from changetables.streaming.apply import (
+    TableSet,
+    Target,
+    compact,
+    drain,
+    read_current,
+    read_current_table,
+    start_apply,
+    start_apply_tables,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -26,26 +26,30 @@ def _moves_key(keys: Sequence[str]) -> Column:
 
 
 def split_key_updates(
-    changes: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()
+    changes: DataFrame, keys: Sequence[str], keep: Sequence[str] = (), rows: bool = True
 ) -> DataFrame:
     """Changes as per-key actions: ``row`` is the new row, null for a removal.
 
     An update that moves the key removes the old key (sub 0) and writes the new one
     (sub 1), in this order. ``creates`` marks actions that need their key to be free.
+    Without ``rows`` only the keys of the images are read.
     """
     row_type = changes.schema["after"].dataType.simpleString()
     moves = _moves_key(keys)
-    removes = (F.col("op") == "delete") | moves
-    writes = F.col("op").isin("insert", "update")
-    action = lambda sub, row, creates, side: F.struct(
-        F.lit(sub).alias("sub"),
-        row.cast(row_type).alias("row"),
-        creates.alias("creates"),
-        *[F.col(f"{side}.{k}").alias(k) for k in keys],
-    )
+    deletes, inserts = F.col("op") == "delete", F.col("op") == "insert"
+
+    def action(sub: int, row: Column, creates: Column, side: str) -> Column:
+        return F.struct(
+            F.lit(sub).alias("sub"),
+            F.lit(sub == 0).alias("removes"),
+            creates.alias("creates"),
+            *([row.cast(row_type).alias("row")] if rows else []),
+            *[F.col(f"{side}.{k}").alias(k) for k in keys],
+        )
+
     actions = [
-        F.when(removes, action(0, F.lit(None), F.lit(False), "before")),
-        F.when(writes, action(1, F.col("after"), (F.col("op") == "insert") | moves, "after")),
+        F.when(deletes | moves, action(0, F.lit(None), F.lit(False), "before")),
+        F.when(inserts | (F.col("op") == "update"), action(1, F.col("after"), inserts | moves, "after")),
     ]
     header = [*keep, "op", order_key().alias("at")]
     return explode_present(changes, header, actions, "a").select(*keep, "op", "at", "a.*")
@@ -76,7 +80,7 @@ def latest_by_key(
     rows = latest_actions(changes, keys).filter("row is not null").select("row.*")
     if base is None:
         return rows
-    touched = split_key_updates(changes, keys).select(*keys).distinct()
+    touched = split_key_updates(changes, keys, rows=False).select(*keys).distinct()
     return base.join(touched, list(keys), "left_anti").unionByName(rows)
 
 
@@ -92,14 +96,14 @@ def key_actions_with_liveness(
     Inserts, removals and key moves change whether a key exists; an update in place
     does not.
     """
-    actions = split_key_updates(changes, keys, keep=["file_seq", "pos"]).select(
+    actions = split_key_updates(changes, keys, ["file_seq", "pos"], rows=False).select(
         *keys,
         "op",
         "at",
         "sub",
         "creates",
         segment_key(segment_bytes).alias("segment"),
-        F.when(F.col("creates"), True).when(F.col("row").isNull(), False).alias("__live"),
+        F.when(F.col("creates"), True).when(F.col("removes"), False).alias("__live"),
     )
     if base is not None:
         start = base.select(

@@ -14,14 +14,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from changetables.operators.images import typed_changes
+from changetables.functions.rows import explode_present
 from changetables.operators.keyed import latest_actions
-from changetables.schema import ORDER_TYPE, before_all
+from changetables.schema import ORDER_TYPE, before_all, order_key
 
 _AT = T.StructType([T.StructField("at", ORDER_TYPE), T.StructField("sub", T.IntegerType())])
 
@@ -34,6 +34,8 @@ class Target:
     keys: tuple[str, ...]
     fields: T.StructType
 
+    partitions = ()
+
     @property
     def state_schema(self) -> T.StructType:
         by_name = {f.name: f for f in self.fields}
@@ -43,6 +45,34 @@ class Target:
         )
 
 
+@dataclass(frozen=True)
+class TableSet:
+    """Many keyed tables of one log under one folder: (schema, table) -> key columns.
+
+    Rows are kept as name/value maps and typed when a table is read, so a batch takes
+    one plan and one write for any number of tables.
+    """
+
+    root: str
+    tables: Mapping[tuple[str, str], Sequence[str]]
+
+    partitions = ("schema_name", "table_name")
+    keys = ("schema_name", "table_name", "key")
+
+    @property
+    def state_schema(self) -> T.StructType:
+        text = T.StringType()
+        return T.StructType(
+            [
+                T.StructField("schema_name", text),
+                T.StructField("table_name", text),
+                T.StructField("key", T.ArrayType(text)),
+                T.StructField("row", T.MapType(text, text)),
+                T.StructField("at", _AT),
+            ]
+        )
+
+
 def create(target: Target, base: DataFrame) -> None:
     """Fill a new target with rows that were there before the log starts."""
     rows = base.select(
@@ -54,16 +84,21 @@ def create(target: Target, base: DataFrame) -> None:
     _record(base.sparkSession, f"{target.root}/compactions", "upto long", -1)
 
 
-def apply_batch(actions: DataFrame, batch_id: int, target: Target) -> None:
+def _writer(actions: DataFrame, target: Target | TableSet) -> DataFrameWriter:
+    if target.partitions:
+        # rows of one table go into few files; a large table is split by its size
+        actions = actions.hint("rebalance", *[F.col(c) for c in target.partitions])
+    return actions.write.mode("overwrite").partitionBy(*target.partitions)
+
+
+def apply_batch(actions: DataFrame, batch_id: int, target: Target | TableSet) -> None:
     """Write one batch of per-key actions, then record it: applied first, saved second."""
     spark = actions.sparkSession
     seen = Observation()
-    (
-        actions.select(*target.state_schema.names)
-        .observe(seen, F.max("at.at").alias("last"), F.count(F.lit(1)).alias("actions"))
-        .write.mode("overwrite")
-        .parquet(f"{target.root}/deltas/batch={batch_id}")
+    actions = actions.select(*target.state_schema.names).observe(
+        seen, F.max("at.at").alias("last"), F.count(F.lit(1)).alias("actions")
     )
+    _writer(actions, target).parquet(f"{target.root}/deltas/batch={batch_id}")
     last = seen.get["last"]
     spark.createDataFrame(
         [(batch_id, last["file_seq"] if last else None, last["pos"] if last else None)],
@@ -102,30 +137,45 @@ def start_apply(
     ).start()
 
 
-def start_apply_tables(
-    stream: DataFrame,
-    targets: Mapping[tuple[str, str], Target],
-    checkpoint: str,
-    trigger: Mapping | None = None,
-) -> StreamingQuery:
-    """Apply one log of name/value images to many tables, routed by table name.
+def table_actions(changes: DataFrame, tables: TableSet) -> DataFrame:
+    """The last action per table and key of name/value changes to many tables.
 
-    A batch is read once and kept for the configured tables, each of which gets its
-    own typed plan.
+    The list of tables comes from the driver and is broadcast; changes to tables
+    outside it are dropped.
     """
+    listed = changes.sparkSession.createDataFrame(
+        [(*name, list(keys)) for name, keys in tables.tables.items()],
+        "schema_name string, table_name string, key_names array<string>",
+    )
+    known = changes.join(F.broadcast(listed), ["schema_name", "table_name"])
+    key_of = lambda image: F.transform("key_names", lambda n: F.col(image)[n])
+    op = F.col("op")
+    keyed = known.withColumns({"__old": key_of("before"), "__new": key_of("after")})
+    moves = (op == "update") & (F.col("__old") != F.col("__new"))
+
+    def action(sub: int, key: Column, row: Column) -> Column:
+        typed = row.cast("map<string,string>")
+        return F.struct(F.lit(sub).alias("sub"), key.alias("key"), typed.alias("row"))
+
+    steps = [
+        F.when((op == "delete") | moves, action(0, F.col("__old"), F.lit(None))),
+        F.when(op.isin("insert", "update"), action(1, F.col("__new"), F.col("after"))),
+    ]
+    header = ["schema_name", "table_name", order_key().alias("at")]
+    actions = explode_present(keyed, header, steps, "a").select(
+        "schema_name", "table_name", "a.key", "a.row", F.struct("at", "a.sub").alias("at")
+    )
+    return _latest(actions, tables)
 
-    def route(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for (schema, table), target in targets.items():
-                mine = batch.filter((F.col("schema_name") == schema) & (F.col("table_name") == table))
-                changes = typed_changes(mine.filter("op is not null"), target.fields)
-                apply_batch(latest_actions(changes, list(target.keys)), batch_id, target)
-        finally:
-            batch.unpersist()
 
+def start_apply_tables(
+    stream: DataFrame, tables: TableSet, checkpoint: str, trigger: Mapping | None = None
+) -> StreamingQuery:
+    """Apply one log of name/value changes to many tables, routed by table name."""
     return (
-        stream.writeStream.foreachBatch(route)
+        stream.writeStream.foreachBatch(
+            lambda batch, batch_id: apply_batch(table_actions(batch, tables), batch_id, tables)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -139,7 +189,7 @@ def drain(query: StreamingQuery, timeout: float | None = None) -> None:
         raise query.exception()
 
 
-def read_state(spark: SparkSession, target: Target) -> DataFrame:
+def read_state(spark: SparkSession, target: Target | TableSet) -> DataFrame:
     """The last action of every key, removals included, of all recorded batches."""
     upto = _last(spark, f"{target.root}/compactions", "upto long", "upto")
     last = _last(spark, f"{target.root}/progress", "batch long", "batch")
@@ -156,6 +206,15 @@ def read_current(spark: SparkSession, target: Target) -> DataFrame:
     return read_state(spark, target).filter("row is not null").select("row.*")
 
 
+def read_current_table(
+    spark: SparkSession, tables: TableSet, schema: str, table: str, fields: T.StructType
+) -> DataFrame:
+    """Current rows of one table of a set; only its own folders are read."""
+    mine = (F.col("schema_name") == schema) & (F.col("table_name") == table)
+    state = read_state(spark, tables).filter(mine & F.col("row").isNotNull())
+    return state.select(*[F.col("row")[f.name].cast(f.dataType).alias(f.name) for f in fields])
+
+
 def merge_state(state: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Two sets of per-key actions as one, the later position winning.
 
@@ -182,7 +241,7 @@ def _same(keys: Sequence[str], left: str, right: str):
 
 
 def compact(
-    spark: SparkSession, target: Target, forget_before: tuple[int, int] | None = None
+    spark: SparkSession, target: Target | TableSet, forget_before: tuple[int, int] | None = None
 ) -> int:
     """Fold the recorded batches into a new state version; returns its last batch.
 
@@ -196,18 +255,18 @@ def compact(
         moment = F.struct(*[F.lit(x).cast("long") for x in forget_before])
         is_old = F.struct("at.at.file_seq", "at.at.pos") < moment
         state = state.filter(F.col("row").isNotNull() | ~is_old)
-    state.write.mode("overwrite").parquet(f"{target.root}/state/upto={last}")
+    _writer(state, target).parquet(f"{target.root}/state/upto={last}")
     _record(spark, f"{target.root}/compactions", "upto long", last)
     return last
 
 
-def _latest(actions: DataFrame, target: Target) -> DataFrame:
+def _latest(actions: DataFrame, target: Target | TableSet) -> DataFrame:
     return actions.groupBy(*target.keys).agg(
         F.max_by(F.struct("row"), "at")["row"].alias("row"), F.max("at").alias("at")
     )
 
 
-def _read(spark: SparkSession, target: Target, part: str, version: str) -> DataFrame:
+def _read(spark: SparkSession, target: Target | TableSet, part: str, version: str) -> DataFrame:
     schema = T.StructType([*target.state_schema.fields, T.StructField(version, T.LongType())])
     try:
         return spark.read.schema(schema).parquet(f"{target.root}/{part}")

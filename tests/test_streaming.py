@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import changetables as ct
 from changetables.operators.keyed import latest_actions
@@ -67,3 +67,30 @@ def test_late_older_change_does_not_revive_a_removed_row(spark, tmp_path):
 def test_unknown_engine(spark):
     with pytest.raises(ValueError, match="engine"):
         ct.start_apply(None, ct.Target("x", ("k",), IMAGE), "c", engine="other")
+
+
+def test_many_tables_in_one_log(spark, tmp_path):
+    columns = "file_seq long, pos long, ordinal int, op string, schema_name string, table_name string, before map<string,string>, after map<string,string>"
+    fields = {"a": IMAGE, "b": T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.LongType())])}
+    log = [
+        (1, 1, 0, "insert", "s", "a", None, {"k": "1", "v": "one"}),
+        (1, 2, 0, "insert", "s", "b", None, {"x": "1", "y": "2"}),
+        (1, 3, 0, "insert", "s", "other", None, {"z": "1"}),
+        (1, 4, 0, "update", "s", "a", {"k": "1", "v": "one"}, {"k": "2", "v": "two"}),
+        (1, 5, 0, "insert", "s", "b", None, {"x": "1", "y": "3"}),
+        (1, 6, 0, "delete", "s", "b", {"x": "1", "y": "2"}, None),
+        (1, 7, 0, "insert", "s", "a", None, {"k": "3", "v": None}),
+    ]
+    folder = str(tmp_path / "log")
+    for part in (log[4:], log[:4]):
+        spark.createDataFrame(part, columns).coalesce(1).write.mode("append").json(folder)
+    stream = ct.read_changelog(
+        spark, folder, streaming=True, file_format="json", max_files=1, schema=spark.createDataFrame([], columns).schema
+    )
+    tables = ct.TableSet(str(tmp_path / "t"), {("s", "a"): ("k",), ("s", "b"): ("x", "y")})
+    ct.drain(ct.start_apply_tables(stream, tables, str(tmp_path / "c")))
+    read = lambda t: rows(ct.read_current_table(spark, tables, "s", t, fields[t]))
+    want = {"a": [(2, "two"), (3, None)], "b": [(1, 3)]}
+    assert {t: read(t) for t in want} == want
+    ct.compact(spark, tables)
+    assert {t: read(t) for t in want} == want

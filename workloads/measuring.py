@@ -131,7 +131,7 @@ def metrics_snapshot(spark, sf):
 
 @query(
     f"""{_AUDIT}, w as (select source_id, date_trunc('day', ts) as day, arg_max(k = 10, case when k in (10, 11) then ts end) as up,
-   count(*) filter (k = 4) as r, count(*) filter (k between 1 and 3) as e, min({_LAG}) as lag,
+   count(*) filter (k = 4) as r, count(*) filter (k = 3 or (k in (1, 2) and kind <> 'xid')) as e, min({_LAG}) as lag,
    count(*) filter (k between 6 and 9) as c from a group by 1, 2)
  select source_id, epoch_us(day) as window_start,
   cast(coalesce(not last_value(up ignore nulls) over v, false) as int) as down,

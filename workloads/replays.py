@@ -67,7 +67,7 @@ def key_change_orders(spark, sf):
         "o_orderkey",
         "sub",
         "op",
-        F.col("row").isNull().cast("int").alias("removes"),
+        F.col("removes").cast("int").alias("removes"),
         F.col("at.file_seq").cast("int").alias("file_seq"),
     )
 

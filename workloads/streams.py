@@ -69,23 +69,12 @@ def stream_tables(spark, sf):
     )
     log = _stream(spark, sf).withColumns({"before": text("before"), "after": text("after")})
     folder = _folder(spark)
-    targets = {
-        (schema, f"acct_{i}"): apply.Target(f"{folder}/{schema}.acct_{i}", ("user_id",), ACCOUNT)
-        for schema in ("shop", "crm", "ops")
-        for i in range(4)
-    }
-    apply.drain(apply.start_apply_tables(log, targets, f"{folder}/checkpoint"))
-    parts = [
-        apply.read_current(spark, target).select(
-            F.lit(schema).alias("schema_name"), F.lit(table).alias("table_name"), "value"
-        )
-        for (schema, table), target in targets.items()
-    ]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
+    names = [(schema, f"acct_{i}") for schema in ("shop", "crm", "ops") for i in range(4)]
+    tables = apply.TableSet(f"{folder}/tables", dict.fromkeys(names, ("user_id",)))
+    apply.drain(apply.start_apply_tables(log, tables, f"{folder}/checkpoint"))
+    rows = apply.read_state(spark, tables).filter("row is not null")
     return rows.groupBy("schema_name", "table_name").agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.sum("value"), 2).alias("total")
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum(F.col("row")["value"].cast("double")), 2).alias("total")
     )
 
 
