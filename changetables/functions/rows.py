@@ -19,8 +19,9 @@ def skipped_of(skipped: Column, row: Column) -> Column:
 
 def present(values: Column, skipped: Column) -> Column:
     """Entries of a positional array whose index is not skipped."""
-    skip = F.coalesce(skipped, F.array().cast("array<int>"))
-    return F.filter(values, lambda _, i: ~F.array_contains(skip, i))
+    none_skipped = F.coalesce(F.size(skipped), F.lit(0)) <= 0
+    kept = F.filter(values, lambda _, i: ~F.array_contains(skipped, i))
+    return F.when(none_skipped, values).otherwise(kept)
 
 
 def row_match(left: Sequence[Column], right: Sequence[Column]) -> Column:

@@ -118,7 +118,8 @@ def apply_ddl_epochs(
         F.col("to_schema").alias("schema_name"),
         F.col("to_table").alias("table_name"),
     )
-    links = asof_lookup(renames, lookup, TABLE, "at", "segment", "__next", "next", small)
+    found = asof_lookup(renames, lookup, TABLE, "at", "segment", "__next", "next", small)
+    links = materialise(found.select("at", "__next"), "renames")
     roots = resolve_roots(
         links.select(
             F.col("at").alias("id"),

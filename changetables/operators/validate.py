@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changetables.functions.rows import skipped_of
+from changetables.functions.text import let
 from changetables.schema import position_key
 
 # Error codes, in the order the checks are made.
@@ -81,10 +82,12 @@ def validate(events: DataFrame, names: Column | None = None, allowed: Column | N
     """
     names = F.col("columns") if names is None else names
     allowed = F.lit(True) if allowed is None else allowed
-    late = (
-        F.when(names.isNull(), COUNT_MISMATCH)
-        .when((F.col("op") == "update") & (F.size("rows") % 2 != 0), ODD_UPDATE_ROWS)
-        .otherwise(_row_errors(names))
+    is_odd = (F.col("op") == "update") & (F.size("rows") % 2 != 0)
+    late = let(
+        names,
+        lambda n: F.when(n.isNull(), COUNT_MISMATCH)
+        .when(is_odd, ODD_UPDATE_ROWS)
+        .otherwise(_row_errors(n)),
     )
     checked = F.coalesce(early_error(events), F.when(allowed, late))
     return events.withColumn("error", F.when(F.col("kind") == "rows", checked))
