@@ -1,5 +1,6 @@
 """Change-log replay on Spark: current tables, history, progress and checks."""
 
+from changetables.operators.apply import apply_to_table
 from changetables.operators.ddl_effects import apply_ddl_epochs, ddl_effects, evolve_images, evolve_schema
 from changetables.operators.exact import (
     expand_copies,
@@ -25,9 +26,10 @@ from changetables.operators.transactions import with_txn_id
 from changetables.operators.validate import split_valid, validate
 from changetables.schema import EVENT_SCHEMA, LEDGER_SCHEMA, LOG_SCHEMA, METRICS_SCHEMA
 from changetables.sources.catalogue import schema_asof, schema_history, table_columns
-from changetables.sources.changelog import after_gtid_set, from_position, read_changelog, read_table, resume_after
+from changetables.sources.changelog import after_gtid_set, from_position, read_changelog, resume_after
 from changetables.sources.gtid import gtid_set_asof, gtid_set_text, gtid_set_total
 from changetables.sources.ledger import checkpoints_to_json, load_checkpoint, load_ledger, save_checkpoint
+from changetables.sources.versions import read_table, write_table
 from changetables.streaming.apply import (
     TableSet,
     Target,

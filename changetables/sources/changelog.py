@@ -1,9 +1,7 @@
-"""Change-log and table scans, and where to start reading."""
+"""Change-log scans, and where to start reading."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,11 +37,6 @@ def read_changelog(
     return reader.load(path)
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A destination table stored as Parquet under ``root``."""
-    return spark.read.parquet(os.path.join(root, name))
-
-
 def file_sequence(file: Column) -> Column:
     """Number of a log file; names compare wrongly once the number gains a digit."""
     return F.regexp_extract(file, r"(\d+)\z", 1).try_cast("long")

@@ -12,8 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +22,11 @@ from pyspark.sql.streaming import StreamingQuery
 from changetables.functions.rows import explode_present
 from changetables.operators.keyed import latest_actions
 from changetables.schema import ORDER_TYPE, before_all, order_key
+from changetables.session import fits
+from changetables.sources.versions import last_recorded, read_or_empty, record
+
+#: Up to this many changed keys are sent to every executor when they are merged.
+SMALL_DELTA = 100_000
 
 _AT = T.StructType([T.StructField("at", ORDER_TYPE), T.StructField("sub", T.IntegerType())])
 
@@ -81,7 +86,7 @@ def create(target: Target, base: DataFrame) -> None:
         F.struct(before_all().alias("at"), F.lit(0).alias("sub")).alias("at"),
     )
     rows.write.mode("overwrite").parquet(f"{target.root}/state/upto=-1")
-    _record(base.sparkSession, f"{target.root}/compactions", "upto long", -1)
+    record(base.sparkSession, f"{target.root}/compactions", "upto", -1)
 
 
 def _writer(actions: DataFrame, target: Target | TableSet) -> DataFrameWriter:
@@ -191,8 +196,7 @@ def drain(query: StreamingQuery, timeout: float | None = None) -> None:
 
 def read_state(spark: SparkSession, target: Target | TableSet) -> DataFrame:
     """The last action of every key, removals included, of all recorded batches."""
-    upto = _last(spark, f"{target.root}/compactions", "upto long", "upto")
-    last = _last(spark, f"{target.root}/progress", "batch long", "batch")
+    upto, last = _recorded(spark, target)
     names = target.state_schema.names
     state = _read(spark, target, "state", "upto").filter(F.col("upto") == upto).select(*names)
     fresh = _read(spark, target, "deltas", "batch").filter(
@@ -215,29 +219,34 @@ def read_current_table(
     return state.select(*[F.col("row")[f.name].cast(f.dataType).alias(f.name) for f in fields])
 
 
-def merge_state(state: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_state(
+    state: DataFrame, latest: DataFrame, keys: Sequence[str], small: int = SMALL_DELTA
+) -> DataFrame:
     """Two sets of per-key actions as one, the later position winning.
 
-    Both sides hold a key once. The larger, older side is only joined with the keys of
-    the newer one, so it is not shuffled if those are small enough to broadcast.
+    Both sides hold a key once. A newer side counted to be small is broadcast, so the
+    older, larger one is scanned without a shuffle; otherwise the two meet in one full
+    outer join.
     """
-    newer = latest.select(*keys, F.col("at").alias("__at"))
-    held = state.select(*keys, F.col("at").alias("__at"))
-    kept = state.alias("s").join(
-        newer.alias("n"), _same(keys, "s", "n") & (F.col("s.at") <= F.col("n.__at")), "left_anti"
+    pairs = [F.col(f"s.{k}") == F.col(f"n.{k}") for k in keys]
+    same = reduce(lambda a, b: a & b, pairs)
+    if not fits(latest, small):
+        return _later(state.alias("s").join(latest.alias("n"), same, "full_outer"), keys)
+    latest = F.broadcast(latest)
+    updated = _later(state.alias("s").join(latest.alias("n"), same, "left"), keys)
+    held = state.select(*keys).join(latest.select(*keys), list(keys), "left_semi")
+    return updated.unionByName(latest.join(F.broadcast(held), list(keys), "left_anti"))
+
+
+def _later(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
+    is_newer = F.coalesce(F.col("s.at") <= F.col("n.at"), F.col("s.at").isNull())
+    return joined.select(
+        *[F.coalesce(f"s.{k}", f"n.{k}").alias(k) for k in keys],
+        *[
+            F.when(is_newer, F.col(f"n.{c}")).otherwise(F.col(f"s.{c}")).alias(c)
+            for c in ("row", "at")
+        ],
     )
-    hits = held.join(latest.select(*keys), list(keys), "left_semi")
-    fresh = latest.alias("n").join(
-        hits.alias("s"), _same(keys, "n", "s") & (F.col("s.__at") > F.col("n.at")), "left_anti"
-    )
-    return kept.unionByName(fresh)
-
-
-def _same(keys: Sequence[str], left: str, right: str):
-    same = F.lit(True)
-    for key in keys:
-        same = same & (F.col(f"{left}.{key}") == F.col(f"{right}.{key}"))
-    return same
 
 
 def compact(
@@ -249,14 +258,14 @@ def compact(
     readers and a crash see either the old or the new one. ``forget_before`` drops
     removals logged before a position no late file can precede any more.
     """
-    last = _last(spark, f"{target.root}/progress", "batch long", "batch")
+    _, last = _recorded(spark, target)
     state = read_state(spark, target)
     if forget_before:
         moment = F.struct(*[F.lit(x).cast("long") for x in forget_before])
         is_old = F.struct("at.at.file_seq", "at.at.pos") < moment
         state = state.filter(F.col("row").isNotNull() | ~is_old)
     _writer(state, target).parquet(f"{target.root}/state/upto={last}")
-    _record(spark, f"{target.root}/compactions", "upto long", last)
+    record(spark, f"{target.root}/compactions", "upto", last)
     return last
 
 
@@ -268,23 +277,10 @@ def _latest(actions: DataFrame, target: Target | TableSet) -> DataFrame:
 
 def _read(spark: SparkSession, target: Target | TableSet, part: str, version: str) -> DataFrame:
     schema = T.StructType([*target.state_schema.fields, T.StructField(version, T.LongType())])
-    try:
-        return spark.read.schema(schema).parquet(f"{target.root}/{part}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def _record(spark: SparkSession, path: str, schema: str, value: int) -> None:
-    spark.createDataFrame([(value,)], schema).coalesce(1).write.mode("append").json(path)
-
-
-def _last(spark: SparkSession, path: str, schema: str, column: str) -> int:
-    try:
-        rows = spark.read.schema(schema).json(path).agg(F.max(column)).first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return -1
-    return -1 if rows[0] is None else rows[0]
+    return read_or_empty(spark, f"{target.root}/{part}", schema)
+
+
+def _recorded(spark: SparkSession, target: Target | TableSet) -> tuple[int, int]:
+    """The last batch in the state, and the last batch applied."""
+    upto = last_recorded(spark, f"{target.root}/compactions", "upto")
+    return upto, max(upto, last_recorded(spark, f"{target.root}/progress", "batch"))

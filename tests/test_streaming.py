@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 import changetables as ct
 from changetables.operators.keyed import latest_actions
-from changetables.streaming.apply import apply_batch, create, read_state
+from changetables.streaming.apply import apply_batch, create, merge_state, read_state
 from conftest import rows
 from simulator import CHANGES, IMAGE, keyed_changes
 
@@ -94,3 +94,34 @@ def test_many_tables_in_one_log(spark, tmp_path):
     assert {t: read(t) for t in want} == want
     ct.compact(spark, tables)
     assert {t: read(t) for t in want} == want
+
+
+@pytest.mark.parametrize("small", [0, 1000])
+def test_the_later_position_wins_on_either_side(spark, small):
+    state = "k int, row struct<v:string>, at struct<at:struct<file_seq:bigint,pos:bigint,ordinal:int>,sub:int>"
+    at = lambda pos: ((1, pos, 0), 1)
+    old = [(1, ("a",), at(5)), (2, ("b",), at(5)), (3, None, at(9)), (4, ("d",), at(1))]
+    new = [(2, ("B",), at(6)), (3, ("C",), at(8)), (4, None, at(2)), (5, ("e",), at(1))]
+    got = merge_state(spark.createDataFrame(old, state), spark.createDataFrame(new, state), ["k"], small)
+    assert rows(got.select("k", "row.v", "at.at.pos")) == [
+        (1, "a", 5), (2, "B", 6), (3, None, 9), (4, None, 2), (5, "e", 1)
+    ]
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    root = str(tmp_path)
+    base, log, want = keyed_changes(73, 60)
+    assert ct.write_table(spark.createDataFrame(base, IMAGE), root, "t") == 1
+    df = spark.createDataFrame(log, CHANGES)
+    for mode, keys in (("latest", ["k"]), ("exact", None), ("one", None)):
+        applied = ct.apply_to_table(df, spark.createDataFrame(base, IMAGE), keys, mode)
+        assert rows(applied) == sorted(want, key=repr)
+    # a plan may read the version it replaces
+    table = ct.read_table(spark, root, "t")
+    assert ct.write_table(ct.apply_to_table(df, table, ["k"], on_conflict="halt"), root, "t") == 2
+    assert rows(ct.read_table(spark, root, "t")) == sorted(want, key=repr)
+    # a version that was written but never recorded stays unseen
+    spark.createDataFrame([(0, "x")], IMAGE).write.parquet(f"{root}/t/v=3")
+    assert rows(ct.read_table(spark, root, "t")) == sorted(want, key=repr)
+    with pytest.raises(ValueError, match="keys"):
+        ct.apply_to_table(df, table, None, "latest")

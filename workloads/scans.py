@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from changetables.functions.gtid import gtid_intervals as intervals_of
-from changetables.sources import catalogue, changelog, gtid
+from changetables.sources import catalogue, changelog, gtid, versions
 from workloads import logs
 from workloads.registry import query
 
@@ -148,7 +148,7 @@ def carried_gtid_set(spark, sf):
 
 @query("select o_orderstatus, count(*) as orders from orders group by 1")
 def base_table_scan(spark, sf):
-    rows = changelog.read_table(spark, sf, "orders.parquet")
+    rows = versions.read_table(spark, sf, "orders.parquet")
     return rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
 
 

@@ -8,8 +8,10 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changetables.operators import apply as batch
 from changetables.session import scratch_root
 from changetables.sources.changelog import read_changelog
+from changetables.sources.versions import read_table, write_table
 from changetables.streaming import apply
 from workloads import logs
 from workloads.registry import ORACLES, query
@@ -80,7 +82,19 @@ def stream_tables(spark, sf):
 
 @query(_FINAL)
 def apply_to_table(spark, sf):
-    """The batch sink: a filled table, two batches out of order, then a compaction."""
+    """The batch sink: two versions of the table, each applying a part of the log."""
+    orders = logs.table(spark, sf, "orders")
+    changes, root = logs.order_log(orders), _folder(spark)
+    write_table(logs.order_base(orders), root, "orders")
+    for part, mode in ((changes.filter("file_seq <= 2"), "latest"), (changes.filter("file_seq > 2"), "one")):
+        rows = batch.apply_to_table(part, read_table(spark, root, "orders"), ["o_orderkey"], mode)
+        write_table(rows, root, "orders")
+    return read_table(spark, root, "orders")
+
+
+@query(_FINAL)
+def apply_batches(spark, sf):
+    """The streaming sink's table: filled, two batches out of order, then compacted."""
     orders = logs.table(spark, sf, "orders")
     changes, base = logs.order_log(orders), logs.order_base(orders)
     target = apply.Target(f"{_folder(spark)}/orders", ("o_orderkey",), base.schema)
