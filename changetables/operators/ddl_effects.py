@@ -141,7 +141,9 @@ def apply_ddl_epochs(
     if fits(names, small):
         names = F.broadcast(names)
     kept = taken.filter(~F.coalesce(F.col("__next.erases"), F.lit(False)))
-    named = kept.join(names, F.col("__next.at") == F.col("__id"), "left")
+    # a change without later DDL takes its own position, which no DDL shares, so such
+    # changes spread over the join instead of meeting under one NULL
+    named = kept.join(names, F.coalesce("__next.at", "at") == F.col("__id"), "left")
     survives = F.col("__next").isNull() | F.col("__id").isNotNull()
     return named.filter(survives).select(
         *changes.columns,

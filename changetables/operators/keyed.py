@@ -71,7 +71,7 @@ def latest_actions(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
 def latest_by_key(
     changes: DataFrame, keys: Sequence[str], base: DataFrame | None = None
 ) -> DataFrame:
-    """Current rows: the last writer of each key wins.
+    """Current rows: the last writer of each key wins; keys are never NULL.
 
     Equals the ordered replay if ``base`` was consistent with the log's start. The
     base is only anti-joined with the changed keys; if adaptive execution finds

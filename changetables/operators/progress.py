@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from changetables.functions.gtid import flavor_or_default
 from changetables.functions.text import blank_to_null, trim_space
+from changetables.plans.asof import SMALL_LOOKUP
 from changetables.plans.scan import Scan, segmented_scan
 from changetables.schema import (
-    LEDGER_SCHEMA,
     SEGMENT_BYTES,
     before_all,
     event_key,
     segment_before_all,
     segment_key,
 )
+from changetables.session import fits
 
 #: Events per checkpoint, and the largest position a log file can have.
 DEFAULT_EVERY = 100
@@ -192,13 +193,15 @@ def resume_plan(ledger: DataFrame, configs: DataFrame) -> DataFrame:
 def resume_log(log: DataFrame, plan: DataFrame) -> DataFrame:
     """Events of every source that lie after its planned file position.
 
-    Sources planned by transaction set are read with ``after_gtid_set`` instead. The
-    plan holds one row per configured source and is joined by size.
+    Sources planned by transaction set are read with ``after_gtid_set`` instead. A
+    plan counted to be small is broadcast, so the log is not shuffled by its sources.
     """
     seq = F.regexp_extract("binlog_file", r"(\d+)\z", 1).try_cast("long")
     starts = plan.filter(F.lower("mode") == "pos").select(
         "source_id", seq.alias("__seq"), F.col("binlog_pos").alias("__from")
     )
+    if fits(starts, SMALL_LOOKUP):
+        starts = F.broadcast(starts)
     joined = log.join(starts, "source_id")
     later = (
         F.col("__seq").isNull()
@@ -206,13 +209,3 @@ def resume_log(log: DataFrame, plan: DataFrame) -> DataFrame:
         | ((F.col("file_seq") == F.col("__seq")) & (F.col("end_pos") > F.col("__from")))
     )
     return joined.filter(later).select(*log.columns)
-
-
-__all__ = [
-    "LEDGER_SCHEMA",
-    "checkpoints",
-    "resume_log",
-    "resume_plan",
-    "running_position",
-    "source_key",
-]

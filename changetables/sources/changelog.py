@@ -70,6 +70,7 @@ def after_gtid_set(
 ) -> DataFrame:
     """Events of transactions outside an executed set; events without an id stay.
 
+    Source names are lower case in the log, as they are in the parsed set.
     A small set becomes comparisons on (gtid_source, gtid_seq), which prune Parquet
     row groups. A set with more intervals is merged into the log by a segmented
     scan: a number is executed if the greatest upper end of all intervals starting

@@ -1,6 +1,5 @@
 """Whole replications of small workloads, from captured events to tables."""
 
-import datetime as dt
 from decimal import Decimal
 
 import pytest

@@ -137,7 +137,7 @@ FILTERS = [
     (dict(whitelist_dbs=["db1"], blacklist_tables=["t1"]), "db1", "t1", False),
     (dict(whitelist_dbs=["db1"], blacklist_dbs=["db1"]), "db1", "t", False),
     # both allow lists widen each other
-    (dict(whitelist_dbs=["gbs"], whitelist_tables=["allow"]), "gbs", "deny", True),
+    (dict(whitelist_dbs=["db1"], whitelist_tables=["allow"]), "db1", "deny", True),
     (dict(whitelist_dbs=[" db1 "]), " db1", "t", True),
     (dict(whitelist_dbs=["DB1"]), "db1", "t", False),
     (dict(whitelist_tables=["t1"]), "db1", "", False),

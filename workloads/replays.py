@@ -10,7 +10,7 @@ from changetables.operators import ddl_effects as effects
 from changetables.operators import exact, keyed
 from changetables.operators.transactions import with_txn_id
 from workloads import logs
-from workloads.registry import query
+from workloads.registry import ORACLES, query
 
 _POS = ", ".join(f"{sql} as {name}" for name, sql in logs.POSITION.items())
 
@@ -105,6 +105,20 @@ def unmatched_changes(spark, sf):
     return exact.unmatched_changes(_slots(spark, sf)).select("event_id")
 
 
+# the same with values and keys cut into log segments, as hot ones are
+CUT = dict(segment_bytes=logs.SEGMENT, hot_rows=50)
+
+
+@query(ORACLES["exact_replay_events"])
+def exact_replay_cut(spark, sf):
+    return exact.replay(_slots(spark, sf), **CUT)
+
+
+@query(ORACLES["unmatched_changes"])
+def unmatched_changes_cut(spark, sf):
+    return exact.unmatched_changes(_slots(spark, sf), **CUT).select("event_id")
+
+
 @query(
     """with d as (select l_returnflag, l_linestatus, l_quantity, max((date_trunc('month', l_shipdate), l_orderkey)) as last
    from lineitem where l_tax = 0 group by all)
@@ -151,6 +165,12 @@ def halt_at_conflict(spark, sf):
     return keyed.halt_at_first_conflict(log, ["user_id"]).select("event_id")
 
 
+@query(ORACLES["conflicts_events"])
+def conflicts_cut(spark, sf):
+    found = keyed.conflicts(_accounts(spark, sf), ["user_id"], **CUT)
+    return found.select("user_id", "file_seq", "pos")
+
+
 @query(
     """select o_orderkey, case when o_orderstatus = 'O' then -1 else o_custkey end as o_custkey,
  case o_orderpriority when '1-URGENT' then 'U' when '2-HIGH' then null else o_orderstatus end as o_orderstatus,
@@ -215,9 +235,15 @@ def partial_update_orders(spark, sf):
  from n where event_type <> 'error'"""
 )
 def row_history(spark, sf):
-    versions = keyed.history(
-        _accounts(spark, sf), ["user_id"], keep=["event_ts"]
-    )
+    return _history(keyed.history(_accounts(spark, sf), ["user_id"], ["event_ts"]))
+
+
+@query(ORACLES["row_history"])
+def row_history_cut(spark, sf):
+    return _history(keyed.history(_accounts(spark, sf), ["user_id"], ["event_ts"], **CUT))
+
+
+def _history(versions):
     return versions.select(
         "user_id",
         "event_type",
