@@ -115,3 +115,32 @@ def test_chains_end_where_a_walk_ends(spark):
             todo.append(links[i])
     got = reachable(df.select("id", "next"), spark.createDataFrame([(i,) for i in starts], "id int"))
     assert {r.id for r in got.collect()} == seen
+
+
+def test_hot_link_target_is_split(spark):
+    """Most links share one target; adaptive execution splits its partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    n = 60_000
+    links = spark.range(0, n + 2, 1, 8).selectExpr(
+        f"id", f"case when id < {n} then {n} when id = {n} then {n + 1} end as next", "false as next_erases"
+    )
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        pending = links.filter("next is not null").select("id", F.col("next").alias("target"))
+        known = links.select(F.col("id").alias("target"), F.col("next").alias("further"))
+        step = pending.join(known, "target").select("id", "further")
+        step.collect()
+        assert "skew=true" in step._jdf.queryExecution().executedPlan().toString()
+        got = resolve_roots(links).groupBy("root").count()
+        assert rows(got) == [(n + 1, n + 2)]
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
