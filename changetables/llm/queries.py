@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from changetables.llm import quality_rules
+from changetables.llm import quality_rules, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,3 +81,21 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     columns = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_lines_removed n_words_removed"
     return judged.select("doc_id", *(f"verdict.{name}" for name in columns.split()))
+
+
+@query()
+def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by pattern and by character model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs, secrets.train(docs))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+        count(3).alias("n_markov"),
+    )

@@ -1,0 +1 @@
+"""Uses the session of the folder above."""
