@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changetables.llm import quality_rules, secrets
+from changetables.llm import quality_rules, secrets, sharding
+from changetables.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,3 +101,20 @@ def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.span_text(F.col("spans")).alias("spans"),
         count(3).alias("n_markov"),
     )
+
+
+@query()
+def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near-equal bytes."""
+    folder = f"{scratch_root(spark)}/slot-maps-{uuid.uuid4().hex}"
+    placed = sharding.shard_by_slots(table(spark, sf_dir, "documents"), 8, folder)
+    return placed.select(
+        F.col("key").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        F.col("slot").alias("virtual_slot"),
+    )
