@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changetables.llm import quality_rules, secrets, sharding
+from changetables.llm import pseudonyms, quality_rules, secrets, sharding
 from changetables.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,18 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"verdict.{name}" for name in columns.split()))
 
 
+#: Stands for the key that a caller takes from its own store of secrets.
+PSEUDONYM_KEY = "key of the registered query"
+
+
+@query()
+def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced, and how many values of each kind."""
+    out = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+    count = lambda k: F.size(F.filter("replaced", lambda x: x == k)).cast("long").alias(f"n_{k}")
+    return out.select("doc_id", "text", *(count(k) for k in pseudonyms.KINDS))
+
+
 @query()
 def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, by pattern and by character model."""
