@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changetables.llm import pseudonyms, quality_rules, secrets, sharding
+from changetables.llm import pseudonyms, quality_rules, secrets, sharding, url_filters
 from changetables.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,82 @@ def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", *(count(k) for k in pseudonyms.KINDS))
 
 
+# The rules of the result's contract.
+URL_RULES = {
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+
+HOST_REPUTATION_SQL = r"""
+with parts as (
+  select page_id, url, coalesce(case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end, '') as rest
+  from pages),
+split as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from parts),
+linked as (select *, try_cast(regexp_extract(path, '/([0-9]{1,18})(?:\.html)?/?$', 1) as bigint) as doc_id from split),
+outcomes as (select doc_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad from labels group by doc_id),
+hosts as (
+  select host, count(o.bad) as n, coalesce(sum(o.bad), 0) as bad,
+         array_to_string(string_split(host, '.')[-2:], '.') as domain, string_split(host, '.')[-1] as suffix
+  from linked left join outcomes o using (doc_id) group by host),
+top as (select (sum(bad) + 0.5) / (sum(n) + 1.0) as above from hosts),
+s0 as (select suffix, sum(n) as n, sum(bad) as bad, any_value(above) as above from hosts, top group by suffix),
+sw as (select sum(case when n > 0 then pow(bad / n - above, 2) * n / (above * (1 - above)) end) as s,
+              count(*) filter (n > 0) as g, sum(n) as n from s0),
+sk as (select case when g = 0 or n <= g or s <= g then 1000.0
+                   else least(1000.0, greatest(2.0, (n - g) / (s - g) - 1)) end as w from sw),
+s1 as (select suffix, (bad + w * above) / (n + w) as above from s0, sk),
+d0 as (select domain, suffix, sum(n) as n, sum(bad) as bad from hosts group by all),
+d1 as (select d0.*, s1.above from d0 join s1 using (suffix)),
+dw as (select sum(case when n > 0 then pow(bad / n - above, 2) * n / (above * (1 - above)) end) as s,
+              count(*) filter (n > 0) as g, sum(n) as n from d1),
+dk as (select case when g = 0 or n <= g or s <= g then 1000.0
+                   else least(1000.0, greatest(2.0, (n - g) / (s - g) - 1)) end as w from dw),
+d2 as (select domain, (bad + w * above) / (n + w) as above from d1, dk),
+h1 as (select hosts.*, d2.above from hosts join d2 using (domain)),
+hw as (select sum(case when n > 0 then pow(bad / n - above, 2) * n / (above * (1 - above)) end) as s,
+              count(*) filter (n > 0) as g, sum(n) as n from h1),
+hk as (select case when g = 0 or n <= g or s <= g then 1000.0
+                   else least(1000.0, greatest(2.0, (n - g) / (s - g) - 1)) end as w from hw),
+h2 as (select host, n, bad, (bad + w * above) / (n + w) as rate, n + w as weight from h1, hk),
+known as (select *, rate - 2 * sqrt(rate * (1 - rate) / (weight + 1)) as bound from h2),
+fits as (
+  select page_id, host, path, case
+    when (host = 'www.example.com' or host like '%.www.example.com') and starts_with(path, '/en/') then 'www.example.com/en/'
+    when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/en/') then 'example.com/en/'
+    when (host = 'net' or host like '%.net') and starts_with(path, '/es/') then 'net/es/'
+    when (host = 'net' or host like '%.net') and starts_with(path, '/fr/') then 'net/fr/'
+    when (host = 'com' or host like '%.com') and starts_with(path, '/') then 'com/' end as rule
+  from split)
+select page_id, f.host, path, rule,
+       case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
+            when bound > 0.5 then 'block' else 'allow' end as verdict,
+       n::bigint as n_labels, bad::bigint as n_bad
+from fits f join known k on f.host = k.host
+"""
+
+
+@query(HOST_REPUTATION_SQL)
+def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url under the rules and the reputation of its host.
+
+    A page's path ends in the number of the document it shows; a document's labels are
+    the outcome of its pages.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels")
+    outcomes = labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    path = url_filters.host_and_path(F.col("url"))["path"]
+    number = F.regexp_extract(path, r"/([0-9]{1,18})(?:\.html)?/?$", 1)
+    doc_id = F.when(number != "", number.cast("long"))
+    judged = url_filters.judge(pages, outcomes, doc_id, URL_RULES)
+    return judged.select("page_id", *(f"judged.{c}" for c in "host path rule verdict n_labels n_bad".split()))
+
+
 @query()
 def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, by pattern and by character model."""
