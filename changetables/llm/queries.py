@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changetables.llm import pseudonyms, quality_rules, secrets, sharding, url_filters
+from changetables.llm import packing, pseudonyms, quality_rules, secrets, sharding, url_filters
 from changetables.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,3 +207,19 @@ def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         F.col("slot").alias("virtual_slot"),
     )
+
+
+#: Tokens of a sequence, and the id that ends a document.
+SEQUENCE, END_ID = 1024, 2
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Path of an installed public vocabulary file."""
+    return public_tokenizers.path(name)
+
+
+@query()
+def op8_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.tokenised_pieces(docs, vocabulary(), SEQUENCE, END_ID), SEQUENCE)
