@@ -43,3 +43,26 @@ def broadcast_if_small(df: DataFrame, row_bytes: int, bound: int = BROADCAST_BYT
     Beyond it the join is left to adaptive execution, which splits skewed keys.
     """
     return F.broadcast(df) if df.count() * row_bytes <= bound else df
+
+
+def prior_weight(level: DataFrame, least: float, most: float) -> float:
+    """Weight of a beta-binomial prior by moments, within two bounds.
+
+    ``level`` has a row per group: ``n`` outcomes, ``bad`` of them bad (or expected to be),
+    and ``above``, the rate of the group's parent. The weight is how many outcomes the
+    parent's rate counts for: few where the groups' rates spread far beyond chance.
+    """
+    above = F.col("above")
+    spread = F.pow(F.col("bad") / F.col("n") - above, F.lit(2.0)) * F.col("n") / (above * (1 - above))
+    got = level.where("n > 0").agg(F.sum(spread).alias("s"), F.count(F.lit(1)).alias("g"), F.sum("n").alias("n")).first()
+    if not got["g"] or got["n"] <= got["g"] or got["s"] <= got["g"]:
+        return most
+    return min(most, max(least, (got["n"] - got["g"]) / (got["s"] - got["g"]) - 1))
+
+
+def shrunk(level: DataFrame, least: float, most: float) -> DataFrame:
+    """``level`` with ``weight``, its outcomes and the prior's together, and ``rate``, the posterior mean."""
+    weight = prior_weight(level, least, most)
+    return level.withColumn("weight", F.col("n") + weight).withColumn(
+        "rate", (F.col("bad") + weight * F.col("above")) / F.col("weight")
+    )

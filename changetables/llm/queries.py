@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changetables.llm import packing, pseudonyms, quality_rules, secrets, sharding, url_filters
+from changetables.llm import packing, pseudonyms, quality_classifier, quality_rules, secrets, sharding, url_filters
 from changetables.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,3 +223,10 @@ def op8_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     docs = table(spark, sf_dir, "documents")
     return packing.pack(packing.tokenised_pieces(docs, vocabulary(), SEQUENCE, END_ID), SEQUENCE)
+
+
+@query()
+def op9_site_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's posterior of being bad, from its text and its site."""
+    out = quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "classified.*")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changetables.functions.text import let
-from changetables.llm.common import broadcast_if_small
+from changetables.llm.common import broadcast_if_small, shrunk
 from changetables.session import materialise
 
 # Suffixes of two labels, below which domains are registered.
@@ -74,16 +74,6 @@ def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return out
 
 
-def _weight(level: DataFrame, how: Reputation) -> float:
-    """A prior's weight by moments: how far the groups' rates spread beyond chance."""
-    spread = F.pow(F.col("bad") / F.col("n") - F.col("above"), F.lit(2.0)) * F.col("n") / (F.col("above") * (1 - F.col("above")))
-    got = level.where("n > 0").agg(F.sum(spread).alias("s"), F.count(F.lit(1)).alias("g"), F.sum("n").alias("n")).first()
-    if not got["g"] or got["n"] <= got["g"]:
-        return how.most_weight
-    share = (got["s"] - got["g"]) / (got["n"] - got["g"])
-    return min(how.most_weight, max(how.least_weight, 1 / share - 1)) if share > 0 else how.most_weight
-
-
 def reputations(pages: DataFrame, outcomes: DataFrame, how: Reputation = Reputation()) -> DataFrame:
     """One row per host of ``pages`` (host, doc_id): n, bad, rate, bound and blocked.
 
@@ -107,16 +97,11 @@ def reputations(pages: DataFrame, outcomes: DataFrame, how: Reputation = Reputat
     total = hosts.agg(F.sum("n"), F.sum("bad")).first()
     above = F.lit(((total[1] or 0) + 0.5) / ((total[0] or 0) + 1.0))
 
-    def shrunk(level: DataFrame) -> DataFrame:
-        weight = _weight(level, how)
-        return level.withColumn("weight", F.col("n") + weight).withColumn(
-            "rate", (F.col("bad") + weight * F.col("above")) / F.col("weight")
-        )
-
-    suffixes = shrunk(hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("above", above))
+    bounds = (how.least_weight, how.most_weight)
+    suffixes = shrunk(hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("above", above), *bounds)
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    domains = shrunk(domains.join(suffixes.select("suffix", F.col("rate").alias("above")), "suffix"))
-    rated = shrunk(hosts.join(domains.select("domain", F.col("rate").alias("above")), "domain"))
+    domains = shrunk(domains.join(suffixes.select("suffix", F.col("rate").alias("above")), "suffix"), *bounds)
+    rated = shrunk(hosts.join(domains.select("domain", F.col("rate").alias("above")), "domain"), *bounds)
     rate = F.col("rate")
     bound = rate - how.deviations * F.sqrt(rate * (1 - rate) / (F.col("weight") + 1))
     return rated.select("host", "n", "bad", "rate", bound.alias("bound"), (bound > how.limit).alias("blocked"))
