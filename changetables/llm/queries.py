@@ -9,7 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changetables.llm import packing, pseudonyms, quality_classifier, quality_rules, secrets, sharding, url_filters
+from changetables.llm import (
+    packing,
+    pseudonyms,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    sentencepiece_unigram,
+    sharding,
+    url_filters,
+)
 from changetables.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,3 +239,9 @@ def op9_site_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's posterior of being bad, from its text and its site."""
     out = quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "classified.*")
+
+
+@query()
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's unigram pieces, decoded again to see that nothing was lost."""
+    return sentencepiece_unigram.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
