@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changetables.llm import (
+    jaccard_join,
     packing,
     pseudonyms,
     quality_classifier,
@@ -245,3 +246,33 @@ def op9_site_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's unigram pieces, decoded again to see that nothing was lost."""
     return sentencepiece_unigram.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+NEAR_DUPLICATES_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+starts as (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0),
+shingles as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s from starts),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as o
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * o >= 80 * (x.n + y.n - o)),
+both_ways as (select a, b from links union all select b, a from links),
+reached as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select r.a, l.b from reached r join both_ways l on r.b = l.a)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, c.component_id
+from documents d left join sizes using (doc_id) join (select a, min(b) as component_id from reached group by a) c on c.a = d.doc_id
+"""
+
+
+@query(NEAR_DUPLICATES_SQL)
+def op10_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near duplicates."""
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
