@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from changetables.llm import (
     jaccard_join,
     packing,
+    prefix_forest,
     pseudonyms,
     quality_classifier,
     quality_rules,
@@ -276,3 +277,9 @@ from documents d left join sizes using (doc_id) join (select a, min(b) as compon
 def op10_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near duplicates."""
     return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector, among all vectors."""
+    return prefix_forest.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
