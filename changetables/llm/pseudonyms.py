@@ -29,7 +29,8 @@ PATTERNS = {
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
     "date": r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9])(?:(?:\+1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|\+1[ .-]?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}"
+    r"|[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4})(?![0-9])",
     "abroad": r"(?<![0-9])\+[2-9][0-9]{0,2}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
@@ -221,13 +222,21 @@ def _ssn(m: Column, c: Cipher) -> Column:
 
 
 def _phone(m: Column, c: Cipher) -> Column:
-    """Area and exchange codes start with 2 to 9 before and after; a leading +1 stays."""
+    """A leading +1 stays; area and exchange codes that start with 2 to 9, or not, go on doing so."""
     lead = F.regexp_extract(m, r"^\+1", 0)
     rest = F.substring(m, F.length(lead) + 1, F.length(m))
 
     def permuted(d: Column) -> Column:
-        pair = c.numbers("phone", _part(d, 1, 3) - 200, _part(d, 4, 7) - 2_000_000, (F.lit(800), F.lit(8_000_000)))
-        return let(pair, lambda p: F.concat((p["l"] + 200).cast("string"), (p["r"] + 2_000_000).cast("string")))
+        area, line = _part(d, 1, 3), _part(d, 4, 7)
+        low = [F.when(area < 200, 0).otherwise(200), F.when(line < 2_000_000, 0).otherwise(2_000_000)]
+        sizes = (F.when(area < 200, 200).otherwise(800), F.when(line < 2_000_000, 2_000_000).otherwise(8_000_000))
+        pair = c.numbers("phone", area - low[0], line - low[1], sizes, F.concat_ws("/", *sizes))
+        return let(
+            pair,
+            lambda p: F.concat(
+                F.lpad((p["l"] + low[0]).cast("string"), 3, "0"), F.lpad((p["r"] + low[1]).cast("string"), 7, "0")
+            ),
+        )
 
     return F.concat(lead, _in_layout(rest, let(_digits(rest), permuted)))
 
@@ -280,12 +289,14 @@ def pseudonym(value: Column, cipher: Cipher) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text", restore: bool = False) -> DataFrame:
-    """``docs`` with the text rewritten and ``replaced``, the kinds of its replaced values in order.
+def pseudonymise(
+    docs: DataFrame, key: str, text: str = "text", restore: bool = False, replaced: str = "replaced"
+) -> DataFrame:
+    """``docs`` with the text rewritten and a column of the kinds of its replaced values, in order.
 
     Strings that have a kind's form but are not valid (a card number with a wrong check
     digit, 31 February) stay. A null text stays null, with nothing replaced; every other
-    input row comes back too. A column of the name ``replaced`` is overwritten. The key
+    input row comes back too. A column of the name ``replaced`` gives is overwritten. The key
     is a secret of the caller.
     """
     cipher = Cipher(key, restore)
@@ -312,6 +323,14 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", restore: bool =
     return (
         docs.withColumn("__new", F.when(whole.rlike("[0-9@]"), matches(whole, ANY, rewritten)))
         .withColumn(text, F.when(F.size("__new.kinds") > 0, F.col("__new.text")).otherwise(whole))
-        .withColumn("replaced", F.coalesce(F.col("__new.kinds"), F.array().cast("array<string>")))
+        .withColumn(replaced, F.coalesce(F.col("__new.kinds"), F.array().cast("array<string>")))
         .drop("__new")
     )
+
+
+def rewrite(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with the text rewritten and their own columns; n_chars follows the text."""
+    out = pseudonymise(docs, key, replaced="__replaced")
+    if "n_chars" in out.columns:
+        out = out.withColumn("n_chars", F.when(F.size("__replaced") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)

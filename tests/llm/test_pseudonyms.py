@@ -31,7 +31,7 @@ def run(spark, texts, **options):
 RNG = random.Random(3)
 VALUES = (
     [card(RNG, n) for n in (13, 15, 16, 16, 19)]
-    + ["4111 1111 1111 1111", "3782-822463-10005", "+1 (988) 555-2485", "212-555-0199", "(212) 555-0199", "+1.212.555.0199"]
+    + ["4111 1111 1111 1111", "3782-822463-10005", "+1 (988) 555-2485", "212-555-0199", "(212) 555-0199", "+1.212.555.0199", "+1 (152) 555-8590", "(099) 155-8590"]
     + ["2000-02-29", "31.12.1999", "12/31/1999", "1800-01-01", "2199-12-31", "078-05-1120", "899-99-9999"]
     + ["+49 30 1234567", "DE89370400440532013000", "GB82WEST12345698765432"]
     + ["42.144.35.254", "0.0.0.0", "ann.lee@b.co", "bosbt.42@mail8.example.com", "A.b-C+9@x-y.example.org"]
