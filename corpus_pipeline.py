@@ -4,22 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changetables.llm import quality_rules
+from changetables.llm import jaccard_join, packing, pseudonyms, quality_classifier, quality_rules
+from changetables.llm.queries import END_ID, PSEUDONYM_KEY, SEQUENCE, table, vocabulary
+from changetables.session import materialise
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, without lines that their host repeats."""
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules, without the lines that their host repeats."""
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality)]
+def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are more likely good than bad, by their text and their site."""
+    return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
 
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates."""
+    return jaccard_join.keep_first(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their personal data replaced; n_chars follows the text."""
+    return pseudonyms.rewrite(docs, PSEUDONYM_KEY)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in the packed sequences."""
+    return packing.pack(packing.tokenised_pieces(docs, vocabulary(), SEQUENCE, END_ID), SEQUENCE)
+
+
+STAGES = [
+    ("quality_rules", rules),
+    ("quality_classifier", classifier),
+    ("ngram_jaccard_join", near_duplicates),
+    ("pii", personal_data),
+    ("best_fit_packing", sequences),
+]
+
+#: Models, keyed permutations and a search have no SQL form; tests/llm compares each stage.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages in order over ``documents``; each reads what its predecessor wrote."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), name)
     return docs
