@@ -7,71 +7,66 @@ from changetables.functions.text import label_or_unknown, trim_space
 from changetables.operators.filters import TableFilter
 from conftest import rows
 
+# One statement of our own for each rule of the statement grammar.
 CREATES_DATABASE = {
-    "CREATE DATABASE test": True,
-    "create database test": True,
-    "CrEaTe DaTaBaSe test": True,
-    "  CREATE DATABASE test": True,
-    "CREATE DATABASE test  ": True,
-    "CREATE    DATABASE    test": True,
-    "-- comment\nCREATE DATABASE test": True,
-    "/* comment */ CREATE DATABASE test": True,
-    "-- line comment\n/* block comment */CREATE DATABASE test": True,
-    "CREATE TABLE test": False,
-    "CREATE INDEX test": False,
-    "DROP DATABASE test": False,
-    "ALTER DATABASE test": False,
-    "": False,
-    "   ": False,
-    "-- comment": False,
-    "/* comment */": False,
-    "/* comment": False,
-    "CREATE": False,
-    "CREATE   ": False,
-    "CREATE SCHEMA test": False,
-    "# x\nCREATE DATABASE test": False,
-    "/*!40100 hint */ CREATE DATABASE test": True,
+    "create Database ledger_2021": True,  # key words in any case
+    "\tcreate\n database\t ledger": True,  # any white space, also in front
+    "/* moved */ -- by hand\n create database ledger": True,  # comments of both forms before it
+    "# shell style\ncreate database ledger": False,  # not a comment form here
+    "/*!50000 kept */ create database ledger": True,
+    "create or replace database ledger": False,  # the second word decides
+    "create schema ledger": False,
+    "create user ledger": False,
+    "show create database ledger": False,
+    "create": False,
+    "-- create database ledger": False,
+    "/* never closed create database ledger": False,
+    "\n": False,
 }
 
 DATABASES = {
-    "CREATE DATABASE test": "test",
-    "CREATE SCHEMA `foo`": "foo",
-    "DROP DATABASE IF EXISTS db1": "db1",
-    "DROP DATABASE IF EXISTS `db1`;": "db1",
-    "create schema if not exists x": "x",
-    "CREATE TABLE test": None,
-    "ALTER DATABASE test": None,
-    "CREATE DATABASE": None,
-    "DROP DATABASE IF EXISTS": None,
+    "create database ledger": "ledger",
+    "Create Schema `Ledger-2`": "Ledger-2",  # quotes go, case stays
+    "drop schema if exists ledger": "ledger",
+    "create database if not exists ledger;": "ledger",
+    "drop database": None,
+    "create schema if not exists": None,
+    "drop view ledger": None,
+    "use ledger": None,
 }
 
 TABLES = {
-    "CREATE TABLE test (id int)": [("", "test")],
-    "CREATE TABLE `db1`.`t1` (id int)": [("db1", "t1")],
-    "CREATE TEMPORARY TABLE t1 (id int)": [("", "t1")],
-    "CREATE TABLE IF NOT EXISTS t1(id int)": [("", "t1(id")],
-    "CREATE TABLE t1( id int)": [("", "t1")],
-    "ALTER TABLE db1.t2 ADD COLUMN c int": [("db1", "t2")],
-    "ALTER TABLE IF EXISTS t2": [("", "IF")],
-    "DROP TABLE t1, `db1`.`t2`": [("", "t1"), ("db1", "t2")],
-    "DROP TABLE IF EXISTS t1,t2 , t3 RESTRICT t4": [("", "t1"), ("", "t2"), ("", "t3")],
-    "drop temporary table a.b.c": [("a", "b.c")],
-    "TRUNCATE TABLE db2.t3": [("db2", "t3")],
-    "TRUNCATE t3;": [("", "t3")],
-    "TRUNCATE TABLE IF EXISTS t": [("", "IF")],
-    "RENAME TABLE db1.t1 TO db1.t2, t3 TO t4": [("db1", "t1"), ("db1", "t2"), ("", "t3"), ("", "t4")],
-    "RENAME TABLE a TO b TO c": [("", "a"), ("", "b")],
-    "RENAME TABLE a b TO c , d to e": [("", "b"), ("", "c"), ("", "d"), ("", "e")],
-    "RENAME TABLE a TO": [],
-    "RENAME TABLE TO TO x": [("", "TO"), ("", "x")],
-    "CREATE VIEW v AS SELECT 1": [],
-    "DROP DATABASE db1": [],
-    "DROP": [],
-    "TRUNCATE": [],
-    "TRUNCATE TABLE": [],
-    "CREATE TABLE": [],
-    "CREATE TABLE db.": [],
-}
+    # create
+    "create table accounts (no int)": [("", "accounts")],
+    "create table if not exists accounts": [("", "accounts")],
+    "create temporary table `work`.`sums` as select 2": [("work", "sums")],
+    "create table accounts(no int)": [("", "accounts(no")],  # cut at white space only
+    "create table ledger.": [],
+    "create table": [],
+    "create index i on accounts (no)": [],
+    # alter and truncate take the next word
+    "alter table ledger.accounts drop column no": [("ledger", "accounts")],
+    "alter table if exists accounts": [("", "if")],
+    "truncate ledger.accounts;": [("ledger", "accounts")],
+    "truncate table accounts": [("", "accounts")],
+    "truncate table if exists accounts": [("", "if")],
+    "truncate": [],
+    "truncate table": [],
+    # drop takes a list, up to its option
+    "drop table ledger.accounts ,entries,`old`.`sums`": [("ledger", "accounts"), ("", "entries"), ("old", "sums")],
+    "drop table if exists accounts cascade entries": [("", "accounts")],
+    "drop temporary table one.two.three": [("one", "two.three")],  # the first dot splits
+    "drop schema ledger": [],
+    "drop": [],
+    # rename takes pairs
+    "rename table accounts to ledger.accounts , entries to postings": [
+        ("", "accounts"), ("ledger", "accounts"), ("", "entries"), ("", "postings"),
+    ],
+    "rename table accounts to entries to postings": [("", "accounts"), ("", "entries")],
+    "rename table old accounts to entries": [("", "accounts"), ("", "entries")],
+    "rename table to to entries": [("", "to"), ("", "entries")],
+    "rename table accounts to": [],
+}
 
 
 def _column(spark, texts, expression):
@@ -123,28 +118,29 @@ def test_unicode_trim(spark):
     assert df.select(trim_space(F.col("q"))).first()[0] == "x y"
 
 
+# (lists, schema, table, allowed): one case of our own for each rule.
 FILTERS = [
-    ({}, "any", "t", True),
-    (dict(whitelist_dbs=["db1"]), "db1", "t", True),
-    (dict(whitelist_dbs=["db1"]), "db2", "t", False),
-    (dict(whitelist_tables=["t1"]), "db9", "t1", True),
-    (dict(whitelist_tables=["db1.t1"]), "db1", "t1", True),
-    (dict(whitelist_tables=["db1.t1"]), "db2", "t1", False),
-    (dict(blacklist_dbs=["db1"]), "db1", "t", False),
-    (dict(blacklist_tables=["t1"]), "db1", "t1", False),
-    (dict(blacklist_tables=["db1.t1"]), "db1", "t1", False),
-    (dict(blacklist_tables=["db1.t1"]), "db2", "t1", True),
-    (dict(whitelist_dbs=["db1"], blacklist_tables=["t1"]), "db1", "t1", False),
-    (dict(whitelist_dbs=["db1"], blacklist_dbs=["db1"]), "db1", "t", False),
-    # both allow lists widen each other
-    (dict(whitelist_dbs=["db1"], whitelist_tables=["allow"]), "db1", "deny", True),
-    (dict(whitelist_dbs=[" db1 "]), " db1", "t", True),
-    (dict(whitelist_dbs=["DB1"]), "db1", "t", False),
-    (dict(whitelist_tables=["t1"]), "db1", "", False),
-    (dict(whitelist_tables=["a.b.c"]), "a", "b.c", True),
-    (dict(whitelist_tables=["a.b.c"]), "a.b", "c", True),
-    (dict(blacklist_dbs=["db1"]), None, "t", True),
-    (dict(whitelist_dbs=["db1"]), None, "t", False),
+    ({}, "ledger", "entries", True),  # without lists all pass
+    (dict(whitelist_dbs=["ledger", "hr"]), "hr", "people", True),
+    (dict(whitelist_dbs=["ledger", "hr"]), "web", "clicks", False),
+    (dict(whitelist_tables=["people"]), "anywhere", "people", True),  # a bare name is a table of any schema
+    (dict(whitelist_tables=["hr.people"]), "web", "people", False),
+    (dict(whitelist_tables=["hr.people"]), "hr", "people", True),
+    (dict(whitelist_dbs=["web"], whitelist_tables=["people"]), "web", "clicks", True),  # allow lists widen each other
+    (dict(whitelist_dbs=["web"], whitelist_tables=["people"]), "hr", "people", True),
+    (dict(blacklist_dbs=["web"]), "web", "clicks", False),
+    (dict(blacklist_tables=["web.clicks"]), "hr", "clicks", True),
+    (dict(blacklist_tables=["clicks"]), "hr", "clicks", False),
+    (dict(whitelist_dbs=["web"], blacklist_dbs=["web"]), "web", "clicks", False),  # deny lists win
+    (dict(whitelist_tables=["web.clicks"], blacklist_tables=["clicks"]), "web", "clicks", False),
+    (dict(whitelist_dbs=["Web"]), "web", "clicks", False),  # case counts
+    (dict(whitelist_tables=["clicks"]), "web", "", False),
+    (dict(whitelist_tables=["x.y.z"]), "x", "y.z", True),  # an entry's dot may be anywhere
+    (dict(whitelist_tables=["x.y.z"]), "x.y", "z", True),
+    (dict(blacklist_dbs=["web"]), None, "clicks", True),
+    (dict(whitelist_dbs=["web"]), None, "clicks", False),
+    (dict(whitelist_dbs=["\tweb "]), " web", "clicks", True),  # white space around names does not count
+    (dict(blacklist_dbs=["web"], clean_names=True), "web", "clicks", False),
 ]
 
 
@@ -158,15 +154,17 @@ def test_filter(spark, lists, schema, table, allowed):
 
 
 QUERY_FILTERS = [
-    (dict(whitelist_tables=["t1"]), "db1", "ALTER TABLE t1 ADD c int", False),  # bare session schema
-    (dict(whitelist_tables=["t1"]), "", "ALTER TABLE t1 ADD c int", True),
-    (dict(whitelist_dbs=["db1"]), "", "CREATE VIEW v AS SELECT 1", True),
-    (dict(whitelist_dbs=["db1"]), "", "CREATE DATABASE db2", False),
-    (dict(whitelist_dbs=["db1"]), "db1", "CREATE TABLE db2.t (id int)", False),
-    (dict(whitelist_dbs=["db1"]), "db1", "DROP TABLE t1, db2.t2", False),
-    (dict(whitelist_dbs=["db1"]), "db1", "DROP TABLE t1, t2", True),
-    (dict(blacklist_tables=["db1.t1"]), "db1", "RENAME TABLE t0 TO t1", False),
-    ({}, "db1", "DROP DATABASE x", True),
+    # a bare table entry does not let the session's schema pass
+    (dict(whitelist_tables=["people"]), "hr", "truncate people", False),
+    (dict(whitelist_tables=["people"]), "", "truncate people", True),
+    # without a schema and without a table nothing is named that a list could stop
+    (dict(whitelist_dbs=["hr"]), "", "create view v as select 2", True),
+    # a database or a table of another schema has to pass too
+    (dict(whitelist_dbs=["hr"]), "", "drop database web", False),
+    (dict(whitelist_dbs=["hr"]), "hr", "drop table people, web.clicks", False),
+    (dict(whitelist_dbs=["hr"]), "hr", "drop table people, teams", True),
+    (dict(blacklist_tables=["hr.teams"]), "hr", "rename table people to teams", False),
+    ({}, "hr", "create schema web", True),
 ]
 
 
