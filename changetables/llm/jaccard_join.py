@@ -40,7 +40,8 @@ class Join:
     ``growth`` is the ratio of a size band's bounds, ``spare`` the share of extra exact
     segments, ``chance`` the cost of a segment that may agree by chance, in signatures. Up
     to ``direct`` sets with one signature are compared pairwise at once; more are compared
-    with the least of them first and with each other only across what is not yet linked.
+    with the least and the most central of them first and with each other only across what
+    is not yet linked, up to ``block`` members in one task.
     """
 
     percent: int = 80
@@ -49,6 +50,7 @@ class Join:
     spare: float = 0.25
     chance: float = 50.0
     direct: int = 8
+    block: int = 2048
     bucket: int = 500_000
     flush: int = 1_500_000
 
@@ -147,6 +149,38 @@ def identity(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes())).astype(np.int64))
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the set's shingles in 2^k >= 2n buckets, as bits of 64-bit words.
+
+    Two sketches differ in no more bits than their sets differ in shingles. The longer of
+    two is brought to the other's length by adding its halves.
+    """
+    words = max(1, 1 << (2 * len(shingles) - 1).bit_length() - 6 if len(shingles) > 32 else 1)
+    place = shingles & np.uint64(64 * words - 1)
+    bits = np.bincount(place.astype(np.int64), minlength=64 * words).astype(np.uint8) & 1
+    return np.packbits(bits, bitorder="little").view("<u8")
+
+
+def may_be_linked(pairs: np.ndarray, sizes: np.ndarray, sketches: list[np.ndarray], bands: Bands) -> np.ndarray:
+    """Which of the pairs (rows of two places) their sizes and sketches allow to be linked."""
+    p, q = np.minimum(sizes[pairs[:, 0]], sizes[pairs[:, 1]]), np.maximum(sizes[pairs[:, 0]], sizes[pairs[:, 1]])
+    allowed = 100 * p >= bands.how.percent * q
+    most = (p + q) * (100 - bands.how.percent) // (100 + bands.how.percent)
+    lengths = np.array([len(s) for s in sketches])
+    shorter = np.minimum(lengths[pairs[:, 0]], lengths[pairs[:, 1]])
+    for words in np.unique(shorter[allowed]):
+        folded = np.zeros((len(sketches), words), np.uint64)
+        for k in np.flatnonzero(lengths >= words):
+            folded[k] = np.bitwise_xor.reduce(sketches[k].reshape(-1, words), axis=0)
+        these = np.flatnonzero(allowed & (shorter == words))
+        step = max(1, 2_000_000 // int(words))
+        for start in range(0, len(these), step):
+            part = these[start : start + step]
+            differ = np.bitwise_count(folded[pairs[part, 0]] ^ folded[pairs[part, 1]]).sum(axis=1, dtype=np.int64)
+            allowed[part] = differ <= most[part]
+    return allowed
+
+
 def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     """Signatures of one set: linked sets have one in common, whatever their bands."""
     size = len(shingles)
@@ -334,7 +368,7 @@ def shingle_counts(docs: DataFrame, how: Join, key: str, text: str) -> DataFrame
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, how: Join, key: str, text: str) -> DataFrame:
-    """(set, shingles binary) of the sets that ``wanted`` (set, key) names, read from the texts."""
+    """(set, n, sketch, shingles) of the sets that ``wanted`` (set, key) names, read from the texts."""
     keys = wanted.select(F.col("key").alias(key)).where(F.col(key).isNotNull()).distinct()
     if keys.count() * 32 <= BROADCAST_BYTES:
         keys = F.broadcast(keys)
@@ -346,12 +380,17 @@ def _sets(docs: DataFrame, wanted: DataFrame, how: Join, key: str, text: str) ->
         for batch in batches:
             found = [f for f in (shingles.of(v.as_py()) for v in batch.column(0)) if len(f)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([identity(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())],
-                names=["set", "shingles"],
+                [
+                    pa.array([identity(f) for f in found], pa.int64()),
+                    pa.array([len(f) for f in found], pa.int64()),
+                    pa.array([sketch(f).tobytes() for f in found], pa.binary()),
+                    pa.array([f.tobytes() for f in found], pa.binary()),
+                ],
+                names=["set", "n", "sketch", "shingles"],
             )
 
-    read = chosen.mapInArrow(run, "set long, shingles binary")
-    return read.groupBy("set").agg(F.first("shingles").alias("shingles"))
+    read = chosen.mapInArrow(run, "set long, n long, sketch binary, shingles binary")
+    return read.dropDuplicates(["set"])
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
@@ -376,8 +415,77 @@ def _linked(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
     return both.select("a", "b", "one", "two").mapInArrow(run, "a long, b long")
 
 
-def link(docs: DataFrame, how: Join = Join(), key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(counts, links): every document's (key, n_shingles, set), and verified links (a, b) of sets.
+def _across(members: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
+    """(a, b): members (mark, set, met, label) of one large group, apart so far, that may be linked.
+
+    Groups with one central set mostly hold the same sets, so they go to one task, which
+    compares each of their pairs once, by sizes and sketches; with very many members the
+    groups are dealt to several tasks. A group above ``block`` members is cut into chunks,
+    and each two chunks are a task's work.
+    """
+    groups = members.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.max_by("set", F.struct("met", "set")).alias("center"))
+    groups = groups.withColumn("chunks", F.ceil(F.col("n") / how.block).cast("int"))
+    tasks = groups.groupBy("center").agg(F.ceil(F.sum("n") / (32 * how.block)).alias("tasks"))
+    task = F.concat_ws("/", "center", F.pmod(F.xxhash64("mark"), F.col("tasks")))
+    chunk = F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int")
+    pair = lambda k: F.concat_ws("/", "mark", F.least(k, F.col("chunk")), F.greatest(k, F.col("chunk")))
+    blocks = F.when(F.col("chunks") == 1, F.array(task)).otherwise(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), pair))
+    rows = (
+        members.join(groups.join(tasks, "center"), "mark")
+        .withColumn("chunk", chunk)
+        .join(sets.select("set", F.col("n").alias("size"), "sketch"), "set")
+        .select(F.explode(blocks).alias("block"), "mark", "chunk", "set", "label", "size", "sketch")
+    )
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        bands = Bands(how)
+        names, first, place = np.unique(part["set"].to_numpy(), return_index=True, return_inverse=True)
+        sizes = part["size"].to_numpy()[first]
+        labels = part["label"].to_numpy()[first]
+        sketches = [np.frombuffer(s, "<u8") for s in part["sketch"].iloc[first]]
+        chunks = part["chunk"].to_numpy()
+        order = np.argsort(part["mark"].to_numpy(), kind="stable")
+        marks = part["mark"].to_numpy()[order]
+        found: list[np.ndarray] = []
+        held = 0
+
+        def settle() -> None:
+            keys = np.unique(np.concatenate(found))
+            pairs = np.stack([keys // len(names), keys % len(names)], axis=1)
+            keep = may_be_linked(pairs, sizes, sketches, bands)
+            settled.append(keys[keep])
+            found.clear()
+
+        settled: list[np.ndarray] = []
+        for rows_of in np.split(order, np.flatnonzero(np.diff(marks)) + 1):
+            inside = np.unique(place[rows_of])
+            two = np.unique(chunks[rows_of])
+            side = np.zeros(len(names), np.int64)
+            side[place[rows_of]] = chunks[rows_of]
+            for k, one in enumerate(inside):
+                others = inside[k + 1 :]
+                others = others[labels[others] != labels[one]]
+                if len(two) > 1:
+                    others = others[side[others] != side[one]]
+                found.append(one * len(names) + others)
+                held += len(others)
+            if held > 4_000_000:
+                settle()
+                held = 0
+        if found:
+            settle()
+        keys = np.unique(np.concatenate(settled)) if settled else np.zeros(0, np.int64)
+        x, y = names[keys // len(names)], names[keys % len(names)]
+        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+    return rows.groupBy("block").applyInPandas(run, "a long, b long").distinct()
+
+
+def link(
+    docs: DataFrame, how: Join = Join(), key: str = "doc_id", text: str = "text"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(counts, links, labels): every document's (key, n_shingles, set), verified links (a, b)
+    of sets, and (node, label) of the sets that have links.
 
     Following the links reaches every set that any chain of similar sets reaches. Equal
     sets are one set. Not every similar pair is a link: pairs already joined are not
@@ -411,18 +519,31 @@ def link(docs: DataFrame, how: Join = Join(), key: str = "doc_id", text: str = "
     if second.take(1):
         links = links.unionByName(second)
         labels = materialise(components(links), "labels")
-    # Members of large groups that are still apart, compared once whatever the group.
-    label = F.coalesce("label", "set")
-    labelled = members.join(labels.withColumnRenamed("node", "set"), "set", "left").select("mark", "set", label.alias("label"))
-    mixed = labelled.groupBy("mark").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("mark")
-    rest = materialise(labelled.join(mixed, "mark"), "mixed-groups")
-    if rest.take(1):
-        one = rest.select("mark", F.col("set").alias("a"), F.col("label").alias("la"))
-        two = rest.select("mark", F.col("set").alias("b"), F.col("label").alias("lb"))
-        across = one.join(two, "mark").where("la <> lb and a < b").select("a", "b").distinct()
-        third = _linked(across.join(pairs, ["a", "b"], "left_anti"), sets, how)
-        links = links.unionByName(materialise(third, "links"))
-    return counts, links
+
+    # Members of large groups: each with its group's most central set, the one that meets most
+    # others, then with all that are still apart and that sizes and sketches allow.
+    met = members.join(members.groupBy("mark").agg(F.count(F.lit(1)).alias("n")), "mark")
+    central = materialise(met.groupBy("set").agg(F.sum("n").alias("met")), "central")
+    members = materialise(members.join(central, "set"), "members")
+    for last in (False, True):
+        label = F.coalesce("label", "set").alias("label")
+        labelled = members.join(labels.withColumnRenamed("node", "set"), "set", "left").select("mark", "set", "met", label)
+        mixed = labelled.groupBy("mark").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
+        apart_still = materialise(labelled.join(mixed.select("mark"), "mark"), "mixed-groups")
+        if not apart_still.take(1):
+            break
+        if last:
+            across = _across(apart_still, sets, how)
+        else:
+            one = apart_still.select("mark", F.col("set").alias("a"), F.col("label").alias("la"))
+            two = apart_still.groupBy("mark").agg(F.max_by(F.struct("set", "label"), F.struct("met", "set")).alias("c"))
+            two = one.join(two, "mark").where("la <> c.label")
+            across = two.select(F.least("a", "c.set").alias("a"), F.greatest("a", "c.set").alias("b")).distinct()
+        found = materialise(_linked(materialise(across, "pairs"), sets, how), "links")
+        if found.take(1):
+            links = links.unionByName(found)
+            labels = materialise(components(links), "labels")
+    return counts, links, labels
 
 
 def classes(docs: DataFrame, how: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -432,8 +553,7 @@ def classes(docs: DataFrame, how: Join = Join(), key: str = "doc_id", text: str
     included; a document without words is linked with nothing. Where all keys of a
     component are null it is null.
     """
-    counts, links = link(docs, how, key, text)
-    labels = components(links)
+    counts, _, labels = link(docs, how, key, text)
     joined = counts.join(labels.withColumnRenamed("node", "set"), "set", "left").select(
         F.col(key), "n_shingles", F.coalesce("label", "set").alias("label")
     )

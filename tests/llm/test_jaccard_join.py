@@ -72,11 +72,11 @@ def corpus(seed, families=60):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("direct", [2, 8])
-def test_equals_all_pairs(spark, direct):
-    rows = corpus(direct)
+@pytest.mark.parametrize("direct,block", [(2, 2048), (2, 7), (8, 2048)])
+def test_equals_all_pairs(spark, direct, block):
+    rows = corpus(direct + block)
     docs = spark.createDataFrame([(k, t, 1, "x") for k, t in rows], "doc_id long, text string, set int, label string")
-    got = [tuple(r) for r in j.classes(docs.repartition(5), j.Join(direct=direct, flush=4000)).collect()]
+    got = [tuple(r) for r in j.classes(docs.repartition(5), j.Join(direct=direct, block=block, flush=4000)).collect()]
     assert sorted(got) == sorted(brute(rows))
 
 
@@ -96,6 +96,24 @@ def test_signatures_meet_for_all_linked_pairs():
         assert np.intersect1d(j.signatures(x, bands), j.signatures(y, bands)).size, (p, q)
 
 
+def test_sketches_never_part_linked_pairs():
+    rng = np.random.default_rng(5)
+    bands = j.Bands(j.Join())
+    sets = []
+    for _ in range(400):
+        p = int(np.exp(rng.uniform(np.log(4), np.log(1500))))
+        q = int(rng.integers(p, bands.largest(p) + 1))
+        common = -(-80 * (p + q) // 180)
+        pool = rng.integers(0, 2**63, p + q - common, dtype=np.uint64)
+        sets += [np.sort(pool[:p]), np.sort(pool[p - common :])]
+    sizes, sketches = np.array([len(s) for s in sets]), [j.sketch(s) for s in sets]
+    linked = np.arange(len(sets)).reshape(-1, 2)
+    assert j.may_be_linked(linked, sizes, sketches, bands).all()
+    others = np.stack([np.arange(len(sets)), rng.permutation(len(sets))], axis=1)
+    others = others[others[:, 0] // 2 != others[:, 1] // 2]
+    assert j.may_be_linked(others, sizes, sketches, bands).mean() < 0.02
+
+
 def test_sql(spark):
     got = queries.QUERIES["op10_partition_join"](spark, SF).toPandas()
     assert check.compare(got, check.tables(SF).execute(queries.ORACLES["op10_partition_join"]).df()) == ""
