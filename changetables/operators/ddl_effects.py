@@ -23,19 +23,22 @@ def ddl_effects(ddl: DataFrame) -> DataFrame:
 
     Columns: position (``ordinal`` counts inside the statement), ``action`` (erase,
     rename, erase_database), the table, and for renames ``to_schema``, ``to_table``.
-    Statements without effect on existing rows give none.
+    Statements without effect on existing rows give none, nor do those on temporary tables.
     """
     tokens, targets = F.col("tokens"), F.col("targets")
     first = F.upper(F.get(tokens, F.lit(0)))
     session = F.coalesce("schema_name", F.lit(""))
-    new_name = parse_table(
-        F.coalesce(
-            F.when(
-                F.upper(F.get(tokens, F.lit(4))).isin("TO", "AS"), F.get(tokens, F.lit(5))
-            ).otherwise(F.get(tokens, F.lit(4))),
-            F.lit(""),
-        )
+    # RENAME starts the first or a later clause of an ALTER
+    clauses = F.filter(
+        F.when(F.size(tokens) > 4, F.sequence(F.lit(3), F.size(tokens) - 2)),
+        lambda i: (F.upper(F.get(tokens, i)) == "RENAME")
+        & ((i == 3) | F.get(tokens, i - 1).endswith(","))
+        & ~F.upper(F.get(tokens, i + 1)).isin("COLUMN", "INDEX", "KEY"),
     )
+    at = F.get(clauses, F.lit(0))
+    next_word = F.get(tokens, at + 1)
+    named = F.when(F.upper(next_word).isin("TO", "AS"), F.get(tokens, at + 2)).otherwise(next_word)
+    new_name = parse_table(F.coalesce(named, F.lit("")))
 
     def effect(action: str, schema: Column, table: Column, to_schema=None, to_table=None) -> Column:
         none = F.lit(None).cast("string")
@@ -69,13 +72,10 @@ def ddl_effects(ddl: DataFrame) -> DataFrame:
             new_name["table"],
         ),
     )
-    is_alter_rename = (
-        (first == "ALTER")
-        & (F.upper(F.get(tokens, F.lit(3))) == "RENAME")
-        & ~F.coalesce(F.upper(F.get(tokens, F.lit(4))).isin("COLUMN", "INDEX", "KEY"), F.lit(False))
-    )
+    is_alter_rename = (first == "ALTER") & at.isNotNull()
+    is_temporary = F.coalesce(F.upper(F.get(tokens, F.lit(1))) == "TEMPORARY", F.lit(False))
     found = (
-        F.when(first.isin("TRUNCATE") | ((first == "DROP") & F.col("ddl_database").isNull()), erased)
+        F.when((first == "TRUNCATE") | ((first == "DROP") & F.col("ddl_database").isNull() & ~is_temporary), erased)
         .when(
             (first == "DROP") & F.col("ddl_database").isNotNull(),
             F.array(effect("erase_database", F.col("ddl_database"), F.lit(None).cast("string"))),
@@ -199,25 +199,49 @@ def evolve_images(
     are carried over it: renamed entries change name, dropped ones go, added ones
     take the default.
     """
-    for step in steps:
-        moment = F.struct(*[F.lit(x).cast("long") for x in step["at"]])
-        image = F.when(at < moment, _evolve_image(image, step)).otherwise(image)
-    return image
-
-
-def _evolve_image(image: Column, step: Mapping) -> Column:
-    action, column = step["action"], step["column"]
-    if action == "rename":
-        return F.transform_keys(image, lambda k, _: F.when(k == column, step["to"]).otherwise(k))
-    if action == "drop":
-        return F.map_filter(image, lambda k, _: k != column)
-    if action == "add":
-        added = F.create_map(F.lit(column), F.lit(step.get("default")).cast("string"))
-        return F.map_concat(image, added)
-    if action == "modify":
-        cast = lambda v: v.try_cast(step["type"]).cast("string")
-        return F.transform_values(image, lambda k, v: F.when(k == column, cast(v)).otherwise(v))
-    raise ValueError(f"unknown schema change {action!r}")
+    steps = list(steps)
+    unknown = [s["action"] for s in steps if s["action"] not in ("rename", "drop", "add", "modify")]
+    if unknown:
+        raise ValueError(f"unknown schema change {unknown[0]!r}")
+    if not steps:
+        return image
+
+    def text(value: object) -> Column:
+        return F.lit(value).cast("string")
+
+    rows = F.array(
+        *(
+            F.struct(
+                F.struct(*[F.lit(x).cast("long") for x in s["at"]]).alias("at"),
+                text(s["action"]).alias("action"),
+                text(s["column"]).alias("column"),
+                text(s.get("to")).alias("to"),
+                text(s.get("type")).alias("type"),
+                text(s.get("default")).alias("default"),
+            )
+            for s in steps
+        )
+    )
+    kinds = sorted({s["type"] for s in steps if s["action"] == "modify"})
+
+    def modified(value: Column, kind: Column) -> Column:
+        out = value
+        for name in kinds:
+            out = F.when(kind == name, value.try_cast(name).cast("string")).otherwise(out)
+        return out
+
+    def carried(held: Column, step: Column) -> Column:
+        # one branch per kind of step, however many steps there are
+        column, action = step["column"], step["action"]
+        return (
+            F.when(at >= step["at"], held)
+            .when(action == "rename", F.transform_keys(held, lambda k, _: F.when(k == column, step["to"]).otherwise(k)))
+            .when(action == "drop", F.map_filter(held, lambda k, _: k != column))
+            .when(action == "add", F.map_concat(held, F.create_map(column, step["default"])))
+            .otherwise(F.transform_values(held, lambda k, v: F.when(k == column, modified(v, step["type"])).otherwise(v)))
+        )
+
+    return F.aggregate(rows, image.cast("map<string,string>"), carried)
 
 
 def evolved_type(fields: T.StructType, steps: Iterable[Mapping]) -> T.StructType:

@@ -85,8 +85,9 @@ class TableFilter:
             )
             return rows.withColumn(flag, found)
 
-        schema = trim_space(F.coalesce("schema_name", F.lit("")))
-        table = trim_space(F.coalesce("table_name", F.lit("")))
+        schema, table = F.coalesce("schema_name", F.lit("")), F.coalesce("table_name", F.lit(""))
+        if not self.clean_names:
+            schema, table = trim_space(schema), trim_space(table)
         rows = log.withColumns({"__schema": schema, "__table": table}).withColumn(
             "__both",
             F.when(

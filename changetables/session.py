@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,13 +39,13 @@ def local_session(cores: str | int = "*", name: str = "changetables", **conf: st
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder, because there the
-    driver and the executors share the machine.
+    Only a session whose tasks run inside the driver (``local[...]``) may fall back to a
+    temporary folder; a local cluster's executors are processes of their own.
     """
     configured = spark.conf.get(_CHECKPOINT_DIR, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is None:
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="changetables-")
     spark.conf.set(_CHECKPOINT_DIR, folder)
@@ -56,10 +57,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage of iterative plans. The copy lives on shared storage, so a
     lost executor costs only its running tasks, and the reader knows its size,
-    which lets adaptive execution choose the next join by measured bytes.
+    which lets adaptive execution choose the next join by measured bytes. The copy is
+    deleted when the driver ends.
     """
     spark = df.sparkSession
     path = os.path.join(scratch_root(spark), "changetables", f"{label}-{uuid.uuid4().hex}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,20 +5,32 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changetables.functions.text import blank_to_null
 from changetables.schema import LEDGER_SCHEMA
 
+#: Written with each stored record: how many writes came before it.
+_SEQUENCE = "sequence"
+_STORED = T.StructType([*LEDGER_SCHEMA.fields, T.StructField(_SEQUENCE, T.LongType())])
+
 
 def load_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Latest record of every source; an absent ledger is an empty one."""
+    """Last written record of every source; an absent ledger is an empty one.
+
+    A record that is not whole fails the read: a source that silently starts anew would
+    apply its log twice. The zero time reads as none.
+    """
     try:
-        saved = spark.read.schema(LEDGER_SCHEMA).json(path)
+        saved = spark.read.schema(_STORED).option("mode", "FAILFAST").json(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return latest_records(saved.fillna({"gtid_set": "", "binlog_file": "", "binlog_pos": 0, "server_id": 0}))
+    saved = saved.fillna({"gtid_set": "", "binlog_file": "", "binlog_pos": 0, "server_id": 0, _SEQUENCE: 0})
+    saved = saved.withColumn("updated_at", F.when(F.year("updated_at") > 1, F.col("updated_at")))
+    last = F.max_by(F.struct(*LEDGER_SCHEMA.names), F.struct(_SEQUENCE, "version"))
+    return saved.groupBy("source_id").agg(last.alias("r")).select("r.*")
 
 
 def load_checkpoint(spark: SparkSession, path: str, source_id: str) -> DataFrame:
@@ -46,12 +58,21 @@ def save_checkpoint(ledger: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def write_checkpoints(updates: DataFrame, path: str) -> None:
-    """Append records to the ledger folder; readers take each source's latest.
+    """Append records to the ledger folder; readers take each source's last write.
 
     Appending never rewrites a saved record, and Spark's commit publishes a whole
-    write or nothing.
+    write or nothing. Writes are numbered, so a source that starts again from version 0
+    replaces what an earlier run saved. A ledger has one writer at a time.
     """
-    checkpoints_to_json(updates).select("json").write.mode("append").text(path)
+    spark = updates.sparkSession
+    try:
+        before = spark.read.schema(f"{_SEQUENCE} long").json(path).agg(F.max(_SEQUENCE)).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        before = None
+    body = F.regexp_replace("json", r"\}\z", f',"{_SEQUENCE}":{(before or 0) + 1}' + "}")
+    checkpoints_to_json(updates).select(body.alias("json")).write.mode("append").text(path)
 
 
 def checkpoints_to_json(records: DataFrame) -> DataFrame:

@@ -1,19 +1,25 @@
 """Continuous apply of a change log to keyed tables.
 
-Every micro-batch is reduced to one action per key and written as its own delta
-folder, then recorded in the target's progress ledger. A batch that is run again
-overwrites its own folder, so a crash at any point leaves no double effect. Every
+Every micro-batch is reduced to one action per key, written to a fresh delta folder and
+then recorded in the target's progress ledger, which gives it the target's own next
+number. Readers see recorded folders only. A batch that comes again is known by its query
+and number: recorded, it is skipped; unrecorded, its first attempt is never read. A new
+query with a new checkpoint folder goes on numbering where the last one stopped. Every
 action keeps its log position, and readers take the highest one per key, so the
 result does not depend on how files were cut into batches or in which order they
-came. Removals are kept as rows without content for the same reason.
+came. Removals are kept as rows without content for the same reason. A target has one
+running query at a time.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,18 +102,45 @@ def _writer(actions: DataFrame, target: Target | TableSet) -> DataFrameWriter:
     return actions.write.mode("overwrite").partitionBy(*target.partitions)
 
 
-def apply_batch(actions: DataFrame, batch_id: int, target: Target | TableSet) -> None:
-    """Write one batch of per-key actions, then record it: applied first, saved second."""
+_PROGRESS = "number long, query string, batch long, folder string, file_seq long, pos long"
+
+
+def _progress(spark: SparkSession, target: Target | TableSet) -> DataFrame:
+    """The ledger: one row per applied batch."""
+    try:
+        return spark.read.schema(_PROGRESS).option("mode", "FAILFAST").json(f"{target.root}/progress")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _PROGRESS)
+
+
+def _query_of(spark: SparkSession, checkpoint: str) -> str:
+    """The identity that Spark keeps in a checkpoint folder."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def apply_batch(actions: DataFrame, batch_id: int, target: Target | TableSet, query: str = "") -> None:
+    """Write one batch of per-key actions, then record it: applied first, saved second.
+
+    ``query`` tells apart the batch numbers of different queries. A recorded batch is
+    not applied again.
+    """
     spark = actions.sparkSession
+    progress = _progress(spark, target)
+    if progress.where((F.col("query") == query) & (F.col("batch") == batch_id)).take(1):
+        return
+    number = max(_recorded(spark, target)) + 1
+    folder = f"attempt={uuid.uuid4().hex}"
     seen = Observation()
     actions = actions.select(*target.state_schema.names).observe(
         seen, F.max("at.at").alias("last"), F.count(F.lit(1)).alias("actions")
     )
-    _writer(actions, target).parquet(f"{target.root}/deltas/batch={batch_id}")
+    _writer(actions, target).parquet(f"{target.root}/deltas/{folder}")
     last = seen.get["last"]
     spark.createDataFrame(
-        [(batch_id, last["file_seq"] if last else None, last["pos"] if last else None)],
-        "batch long, file_seq long, pos long",
+        [(number, query, batch_id, folder, last["file_seq"] if last else None, last["pos"] if last else None)],
+        _PROGRESS,
     ).coalesce(1).write.mode("append").json(f"{target.root}/progress")
 
 
@@ -129,14 +162,14 @@ def start_apply(
     if engine not in ("deltas", "state"):
         raise ValueError(f"engine must be 'deltas' or 'state', not {engine!r}")
     keys = list(target.keys)
+
+    def apply(actions: DataFrame, batch_id: int) -> None:
+        apply_batch(actions, batch_id, target, _query_of(actions.sparkSession, checkpoint))
+
     if engine == "state":
-        writer = latest_actions(stream, keys).writeStream.outputMode("update").foreachBatch(
-            lambda batch, batch_id: apply_batch(batch, batch_id, target)
-        )
+        writer = latest_actions(stream, keys).writeStream.outputMode("update").foreachBatch(apply)
     else:
-        writer = stream.writeStream.foreachBatch(
-            lambda batch, batch_id: apply_batch(latest_actions(batch, keys), batch_id, target)
-        )
+        writer = stream.writeStream.foreachBatch(lambda batch, batch_id: apply(latest_actions(batch, keys), batch_id))
     return writer.option("checkpointLocation", checkpoint).trigger(
         **(trigger or {"availableNow": True})
     ).start()
@@ -145,14 +178,10 @@ def start_apply(
 def table_actions(changes: DataFrame, tables: TableSet) -> DataFrame:
     """The last action per table and key of name/value changes to many tables.
 
-    The list of tables comes from the driver and is broadcast; changes to tables
-    outside it are dropped.
+    The list of tables comes from the driver and is broadcast; ``unlisted_changes`` are
+    the others.
     """
-    listed = changes.sparkSession.createDataFrame(
-        [(*name, list(keys)) for name, keys in tables.tables.items()],
-        "schema_name string, table_name string, key_names array<string>",
-    )
-    known = changes.join(F.broadcast(listed), ["schema_name", "table_name"])
+    known = changes.join(F.broadcast(_listed(changes.sparkSession, tables)), ["schema_name", "table_name"])
     key_of = lambda image: F.transform("key_names", lambda n: F.col(image)[n])
     op = F.col("op")
     keyed = known.withColumns({"__old": key_of("before"), "__new": key_of("after")})
@@ -173,14 +202,43 @@ def table_actions(changes: DataFrame, tables: TableSet) -> DataFrame:
     return _latest(actions, tables)
 
 
+def _listed(spark: SparkSession, tables: TableSet) -> DataFrame:
+    return spark.createDataFrame(
+        [(*name, list(keys)) for name, keys in tables.tables.items()],
+        "schema_name string, table_name string, key_names array<string>",
+    )
+
+
+def unlisted_changes(changes: DataFrame, tables: TableSet) -> DataFrame:
+    """Changes to tables that the set does not list, whole."""
+    return changes.join(F.broadcast(_listed(changes.sparkSession, tables)), ["schema_name", "table_name"], "left_anti")
+
+
+def read_unlisted(spark: SparkSession, tables: TableSet, schema: T.StructType) -> DataFrame:
+    """What ``start_apply_tables`` set aside, a batch that was repeated only once."""
+    marked = T.StructType([*schema.fields, T.StructField("query", T.StringType()), T.StructField("batch", T.LongType())])
+    return read_or_empty(spark, f"{tables.root}/unlisted", marked).select(*schema.names)
+
+
 def start_apply_tables(
     stream: DataFrame, tables: TableSet, checkpoint: str, trigger: Mapping | None = None
 ) -> StreamingQuery:
-    """Apply one log of name/value changes to many tables, routed by table name."""
+    """Apply one log of name/value changes to many tables, routed by table name.
+
+    Changes to tables that are not listed go whole to the folder ``unlisted`` under the
+    set's root, by query and batch, so a table that appears while the stream runs is kept.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query = _query_of(spark, checkpoint)
+        others = unlisted_changes(batch, tables)
+        if others.take(1):
+            others.write.mode("overwrite").parquet(f"{tables.root}/unlisted/query={query}/batch={batch_id}")
+        apply_batch(table_actions(batch, tables), batch_id, tables, query)
+
     return (
-        stream.writeStream.foreachBatch(
-            lambda batch, batch_id: apply_batch(table_actions(batch, tables), batch_id, tables)
-        )
+        stream.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -199,9 +257,13 @@ def read_state(spark: SparkSession, target: Target | TableSet) -> DataFrame:
     upto, last = _recorded(spark, target)
     names = target.state_schema.names
     state = _read(spark, target, "state", "upto").filter(F.col("upto") == upto).select(*names)
-    fresh = _read(spark, target, "deltas", "batch").filter(
-        (F.col("batch") > upto) & (F.col("batch") <= last)
-    )
+    recorded = _progress(spark, target).where((F.col("number") > upto) & (F.col("number") <= last))
+    folders = [f"{target.root}/deltas/{r.folder}" for r in recorded.select("folder").collect()]
+    if folders:
+        schema = T.StructType([*target.state_schema.fields, T.StructField("attempt", T.StringType())])
+        fresh = spark.read.schema(schema).option("basePath", f"{target.root}/deltas").parquet(*folders).select(*names)
+    else:
+        fresh = spark.createDataFrame([], target.state_schema)
     return merge_state(state, _latest(fresh, target), list(target.keys))
 
 
@@ -283,4 +345,5 @@ def _read(spark: SparkSession, target: Target | TableSet, part: str, version: st
 def _recorded(spark: SparkSession, target: Target | TableSet) -> tuple[int, int]:
     """The last batch in the state, and the last batch applied."""
     upto = last_recorded(spark, f"{target.root}/compactions", "upto")
-    return upto, max(upto, last_recorded(spark, f"{target.root}/progress", "batch"))
+    applied = _progress(spark, target).agg(F.max("number")).first()[0]
+    return upto, upto if applied is None else max(upto, applied)

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 import json
 
@@ -167,3 +168,15 @@ def test_metrics_have_all_ten_names(spark):
 def test_gauges_take_the_last_value(spark):
     df = spark.createDataFrame([("s", T0, 1), ("s", T0 + dt.timedelta(seconds=1), 0)], "source_id string, ts timestamp, up int")
     assert metrics.pipeline_up(df).first().up == 0
+
+
+def test_the_last_write_wins_and_a_broken_record_fails(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    record = lambda pos, version: spark.createDataFrame([("s", "mysql", "pos", "", "f1", pos, 0, None, version)], LEDGER_SCHEMA)
+    ledgers.write_checkpoints(record(7, 500), path)
+    ledgers.write_checkpoints(record(9, 1), path)
+    row = ledgers.load_checkpoint(spark, path, "s").first()
+    assert (row.binlog_pos, row.version, row.updated_at) == (9, 1, None)
+    spark.createDataFrame([('{"source_id":"s","vers',)], "value string").write.mode("append").text(path)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ledgers.load_ledger(spark, path).collect()

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 import changetables as ct
 from changetables.operators.keyed import latest_actions
-from changetables.streaming.apply import apply_batch, create, merge_state, read_state
+from changetables.streaming.apply import apply_batch, create, merge_state, read_state, read_unlisted
 from conftest import rows
 from simulator import CHANGES, IMAGE, keyed_changes
 
@@ -43,11 +43,24 @@ def test_a_batch_run_twice_counts_once_and_unrecorded_batches_are_unseen(spark,
     create(target, spark.createDataFrame(base, IMAGE))
     actions = latest_actions(spark.createDataFrame(log, CHANGES), ["k"])
     # a crash after writing and before recording
-    actions.limit(2).write.parquet(f"{target.root}/deltas/batch=0")
+    actions.limit(2).write.parquet(f"{target.root}/deltas/attempt=crashed")
     assert rows(ct.read_current(spark, target)) == sorted(base, key=repr)
     apply_batch(actions, 0, target)
-    apply_batch(actions, 0, target)
-    assert rows(ct.read_current(spark, target)) == sorted(want, key=repr)
+    seen = ct.read_current(spark, target)
+    apply_batch(actions.limit(1), 0, target)  # recorded, so what readers see is not touched
+    assert rows(seen) == rows(ct.read_current(spark, target)) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_new_checkpoint_folder_goes_on(spark, tmp_path, compacted):
+    target = ct.Target(str(tmp_path / "t"), ("k",), IMAGE)
+    for k in (1, 2):
+        folder = str(tmp_path / f"log{k}")
+        spark.createDataFrame([(1, k, 0, "insert", None, (k, "x"))], CHANGES).write.parquet(folder)
+        _run(spark, folder, target, str(tmp_path / f"c{k}"), "deltas")
+        if compacted:
+            ct.compact(spark, target)
+    assert rows(ct.read_current(spark, target)) == [(1, "x"), (2, "x")]
 
 
 def test_late_older_change_does_not_revive_a_removed_row(spark, tmp_path):
@@ -92,6 +105,8 @@ def test_many_tables_in_one_log(spark, tmp_path):
     read = lambda t: rows(ct.read_current_table(spark, tables, "s", t, fields[t]))
     want = {"a": [(2, "two"), (3, None)], "b": [(1, 3)]}
     assert {t: read(t) for t in want} == want
+    others = read_unlisted(spark, tables, spark.createDataFrame([], columns).schema)
+    assert [(r.table_name, r.after) for r in others.collect()] == [("other", {"z": "1"})]
     ct.compact(spark, tables)
     assert {t: read(t) for t in want} == want
 

@@ -153,6 +153,15 @@ def test_filter(spark, lists, schema, table, allowed):
     assert flt.rows(df, large=0).count() == allowed
 
 
+@pytest.mark.parametrize("clean", [False, True])
+def test_long_and_short_lists_agree_on_padded_names(spark, clean):
+    """Names that are declared clean are compared as they are, by both forms."""
+    df = spark.createDataFrame([(" web", "clicks"), ("web", "clicks "), ("web", "clicks")], "schema_name string, table_name string")
+    for lists in (dict(whitelist_dbs=["web"]), dict(blacklist_tables=["web.clicks"])):
+        flt = TableFilter(**lists, clean_names=clean)
+        assert rows(flt.rows(df)) == rows(flt.rows(df, large=0))
+
+
 QUERY_FILTERS = [
     # a bare table entry does not let the session's schema pass
     (dict(whitelist_tables=["people"]), "hr", "truncate people", False),
@@ -197,3 +206,28 @@ def test_gtid_sets(spark):
         ct.after_gtid_set(log, "u:1", "oracle")
     total = ct.gtid_set_total(log.filter("gtid_seq not in (4, 6)"), bucket=4)
     assert rows(ct.gtid_set_text(total)) == [("u", "u:1-3:5:7-12")]
+
+
+def test_ddl_without_effect_and_late_renames(spark):
+    texts = {
+        "drop temporary table if exists clicks": [],
+        "drop table clicks": [("erase", "clicks", None)],
+        "alter table clicks add c int, rename to visits": [("rename", "clicks", "visits")],
+        "alter table clicks rename as visits": [("rename", "clicks", "visits")],
+        "alter table clicks rename column a to b, rename to visits": [("rename", "clicks", "visits")],
+        "alter table clicks rename index i to j": [],
+        "alter table clicks add rename int": [],
+    }
+    df = spark.createDataFrame([(1, i, "web", t) for i, t in enumerate(texts)], "file_seq long, pos long, schema_name string, query string")
+    got = {}
+    for r in ct.ddl_effects(ddl.with_ddl(df)).collect():
+        got.setdefault(r.pos, []).append((r.action, r.table_name, r.to_table))
+    assert {t: got.get(i, []) for i, t in enumerate(texts)} == texts
+
+
+def test_image_evolution_in_many_steps(spark):
+    steps = [dict(action="rename", column=f"c{k}", to=f"c{k + 1}", at=(1, 10 + k)) for k in range(200)]
+    steps += [dict(action="add", column="z", type="int", default=5, at=(1, 400)), dict(action="modify", column="c200", type="int", at=(1, 401))]
+    df = spark.createDataFrame([({"c0": "1.5"}, 1, 5), ({"c0": "7"}, 1, 1000)], "image map<string,string>, f long, p long")
+    evolved = df.select(ct.evolve_images(F.col("image"), F.struct("f", "p"), steps).alias("m")).collect()
+    assert [r.m for r in evolved] == [{"c200": None, "z": "5"}, {"c0": "7"}]

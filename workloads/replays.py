@@ -304,20 +304,20 @@ def _epoch_log(spark, sf):
     return changes, effects.ddl_effects(with_ddl(ddl))
 
 
-def _epochs(spark, sf, small):
+def _epochs(spark, sf, **options):
     changes, ddl = _epoch_log(spark, sf)
-    kept = effects.apply_ddl_epochs(changes, ddl, logs.SEGMENT, small)
+    kept = effects.apply_ddl_epochs(changes, ddl, logs.SEGMENT, **options)
     return kept.select("event_id", "final_schema", "final_table")
 
 
 @query(_EPOCHS)
 def ddl_epochs(spark, sf):
-    return _epochs(spark, sf, 100_000)
+    return _epochs(spark, sf)
 
 
 @query(_EPOCHS)
 def ddl_epochs_merged(spark, sf):
-    return _epochs(spark, sf, 0)
+    return _epochs(spark, sf, small=0)
 
 
 @query(

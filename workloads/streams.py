@@ -56,6 +56,42 @@ def stream_latest_state(spark, sf):
     return apply.read_current(spark, _applied(spark, sf, "state"))
 
 
+def _landed(spark, sf, folder, parts):
+    """The events of some sixths of the log, landed as files that arrive out of order."""
+    events = logs.events(spark, sf)
+    for part in parts:
+        events.filter(F.pmod("event_id", F.lit(6)) == part).write.mode("append").parquet(folder)
+
+
+def _drained(spark, folder, target, checkpoint):
+    stream = read_changelog(spark, folder, streaming=True, schema=logs.EVENTS_SCHEMA, max_files=1)
+    apply.drain(apply.start_apply(logs.account_log(stream), target, checkpoint))
+
+
+@query(ORACLES["latest_by_key_events"])
+def stream_many_batches(spark, sf):
+    """A log in several files, a micro-batch each, stopped and taken up again."""
+    folder = _folder(spark)
+    target = apply.Target(f"{folder}/accounts", ("user_id",), ACCOUNT)
+    for parts in ((4, 0, 2), (5, 1, 3)):
+        _landed(spark, sf, f"{folder}/log", parts)
+        _drained(spark, f"{folder}/log", target, f"{folder}/checkpoint")
+    return apply.read_current(spark, target)
+
+
+@query(ORACLES["latest_by_key_events"])
+def stream_restart(spark, sf):
+    """New queries with new checkpoint folders go on, before and after a compaction."""
+    folder = _folder(spark)
+    target = apply.Target(f"{folder}/accounts", ("user_id",), ACCOUNT)
+    for turn, parts in enumerate(((1, 5), (0, 4), (2, 3))):
+        _landed(spark, sf, f"{folder}/log-{turn}", parts)
+        _drained(spark, f"{folder}/log-{turn}", target, f"{folder}/checkpoint-{turn}")
+        if turn == 1:
+            apply.compact(spark, target)
+    return apply.read_current(spark, target)
+
+
 @query(
     f"""select schema_name, table_name, count(*) as rows, round(sum(value), 2) as total from (select *,
  {logs.SCHEMA} as schema_name, {logs.TABLE} as table_name from ({ORACLES["latest_by_key_events"]}) q) r
