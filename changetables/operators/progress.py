@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changetables.functions.gtid import flavor_or_default
+from changetables.functions.gtid import FLAVORS, flavor_or_default, gtid_intervals
 from changetables.functions.text import blank_to_null, trim_space
 from changetables.plans.asof import SMALL_LOOKUP
 from changetables.plans.scan import Scan, segmented_scan
@@ -17,6 +17,7 @@ from changetables.schema import (
     segment_key,
 )
 from changetables.session import fits
+from changetables.sources.changelog import outside_by_scan
 
 #: Events per checkpoint, and the largest position a log file can have.
 DEFAULT_EVERY = 100
@@ -191,15 +192,18 @@ def resume_plan(ledger: DataFrame, configs: DataFrame) -> DataFrame:
 
 
 def resume_log(log: DataFrame, plan: DataFrame) -> DataFrame:
-    """Events of every source that lie after its planned file position.
+    """Events of every source of the plan that lie after its planned start.
 
-    Sources planned by transaction set are read with ``after_gtid_set`` instead. A
-    plan counted to be small is broadcast, so the log is not shuffled by its sources.
+    A source planned by file position is compared with it; one planned by transaction
+    set keeps the events outside its own set, found by one segmented scan for all such
+    sources. A plan counted to be small is broadcast, so the log is not shuffled by its
+    sources. A mode that is neither raises.
     """
+    mode = F.lower(trim_space(F.col("mode")))
+    known = F.raise_error(F.concat(F.lit("unknown resume mode "), F.coalesce("mode", F.lit("null"))))
+    plan = plan.withColumn("__mode", F.when(mode.isin("pos", "gtid"), mode).otherwise(known))
     seq = F.regexp_extract("binlog_file", r"(\d+)\z", 1).try_cast("long")
-    starts = plan.filter(F.lower("mode") == "pos").select(
-        "source_id", seq.alias("__seq"), F.col("binlog_pos").alias("__from")
-    )
+    starts = plan.select("source_id", "__mode", seq.alias("__seq"), F.col("binlog_pos").alias("__from"))
     if fits(starts, SMALL_LOOKUP):
         starts = F.broadcast(starts)
     joined = log.join(starts, "source_id")
@@ -208,4 +212,12 @@ def resume_log(log: DataFrame, plan: DataFrame) -> DataFrame:
         | (F.col("file_seq") > F.col("__seq"))
         | ((F.col("file_seq") == F.col("__seq")) & (F.col("end_pos") > F.col("__from")))
     )
-    return joined.filter(later).select(*log.columns)
+    by_position = joined.filter((F.col("__mode") == "pos") & later).select(*log.columns)
+    if "gtid_set" not in plan.columns:
+        return by_position
+    sets = plan.filter("__mode = 'gtid'")
+    flavor = flavor_or_default(F.col("flavor")) if "flavor" in plan.columns else F.lit("mysql")
+    intervals = [gtid_intervals(sets.filter(flavor == name).select("source_id", "gtid_set"), "gtid_set", name) for name in FLAVORS]
+    by_set = joined.filter(F.col("__mode") == "gtid").select(*log.columns)
+    rest = outside_by_scan(by_set, intervals[0].unionByName(intervals[1]), ["source_id", "gtid_source"])
+    return by_position.unionByName(rest)

@@ -107,20 +107,33 @@ def _outside(intervals: DataFrame) -> Column:
 
 
 def _outside_by_scan(log: DataFrame, intervals: DataFrame) -> DataFrame:
+    return outside_by_scan(log, intervals, ["gtid_source"])
+
+
+def outside_by_scan(log: DataFrame, intervals: DataFrame, keys: list[str]) -> DataFrame:
+    """Events whose number no interval (``keys``, lo, hi) of the same keys holds.
+
+    Events without an id stay and take no part in the scan, whatever their number.
+    """
+    named = F.col("gtid_seq").isNotNull()
+    for key in keys:
+        named = named & F.col(key).isNotNull()
     marks = intervals.select(
-        "gtid_source", F.col("lo").alias("gtid_seq"), F.col("hi").alias("__hi"), F.lit(0).alias("__side")
+        *keys, F.col("lo").alias("gtid_seq"), F.col("hi").alias("__hi"), F.lit(0).alias("__side")
     )
     rows = (
-        log.withColumn("__side", F.lit(1))
+        log.filter(named)
+        .withColumn("__side", F.lit(1))
         .unionByName(marks, allowMissingColumns=True)
         .withColumn("__segment", F.expr(f"gtid_seq div {SEQ_SEGMENT}"))
     )
     scanned = segmented_scan(
         rows,
-        ["gtid_source"],
+        keys,
         ["gtid_seq", "__side"],
         "__segment",
         [Scan("__reach", "max", F.col("__hi"))],
     )
     executed = F.coalesce(F.col("__reach") >= F.col("gtid_seq"), F.lit(False))
-    return scanned.filter((F.col("__side") == 1) & ~executed).select(*log.columns)
+    kept = scanned.filter((F.col("__side") == 1) & ~executed).select(*log.columns)
+    return kept.unionByName(log.filter(~named))

@@ -11,8 +11,8 @@ from changetables.functions.ddl import with_ddl
 from conftest import rows
 
 ID = T.StructField("id", T.DecimalType(20, 0))
-USERS = T.StructType([ID, T.StructField("name", T.StringType()), T.StructField("email", T.StringType())])
-NOTES = T.StructType([ID, T.StructField("note", T.StringType())])
+CREWS = T.StructType([ID, T.StructField("name", T.StringType()), T.StructField("place", T.StringType())])
+TALLIES = T.StructType([ID, T.StructField("note", T.StringType())])
 EVENT = (
     "file_seq long, pos long, kind string, op string, schema_name string, table_name string, query string, "
     "column_count int, columns array<string>, rows array<array<string>>, skipped array<array<int>>, json_diffs array<array<int>>"
@@ -45,50 +45,50 @@ def changes(spark, source, table, fields, flt=None):
     return ct.typed_changes(ct.decode_rows(ok).filter(F.col("table_name") == table), fields)
 
 
-COLUMNS = ("id", "name", "email")
+COLUMNS = ("id", "name", "place")
 
 
 def test_basic_changes_and_values(spark):
     s = Source()
-    s.rows("gs", "users", "insert", COLUMNS, ("3", "carol", "c@x"))
-    s.rows("gs", "users", "update", COLUMNS, ("1", "alice", "a@x"), ("1", "alice", "new@x"))
-    s.rows("gs", "users", "delete", COLUMNS, ("2", "bob", "b@x"))
-    base = spark.createDataFrame([(Decimal(1), "alice", "a@x"), (Decimal(2), "bob", "b@x")], USERS)
-    df = changes(spark, s, "users", USERS)
-    want = [(Decimal(1), "alice", "new@x"), (Decimal(3), "carol", "c@x")]
+    s.rows("yard", "crews", "insert", COLUMNS, ("3", "west", "pier 2"))
+    s.rows("yard", "crews", "update", COLUMNS, ("1", "north", "pier 4"), ("1", "north", "pier 5"))
+    s.rows("yard", "crews", "delete", COLUMNS, ("2", "south", "pier 9"))
+    base = spark.createDataFrame([(Decimal(1), "north", "pier 4"), (Decimal(2), "south", "pier 9")], CREWS)
+    df = changes(spark, s, "crews", CREWS)
+    want = [(Decimal(1), "north", "pier 5"), (Decimal(3), "west", "pier 2")]
     assert rows(ct.latest_by_key(df, ["id"], base)) == want
     assert rows(ct.replay(df, base).drop("copies")) == want
 
 
 def test_thousand_rows_in_one_event(spark):
     s = Source()
-    s.rows("gs", "txn", "insert", ("id", "note"), *[(str(i), f"batch-{i}") for i in range(1, 1001)])
-    df = changes(spark, s, "txn", NOTES)
+    s.rows("yard", "tallies", "insert", ("id", "note"), *[(str(i), f"load {i}") for i in range(1, 1001)])
+    df = changes(spark, s, "tallies", TALLIES)
     assert ct.latest_by_key(df, ["id"]).count() == 1000
     assert df.select("ordinal").distinct().count() == 1000
 
 
 def _filter_workload():
     s = Source()
-    for table in ("allow_table", "deny_table"):
-        s.rows("gf", table, "insert", ("id", "note"), ("1", "x"), ("2", "y"))
+    for table in ("open_ledger", "shut_ledger"):
+        s.rows("dock", table, "insert", ("id", "note"), ("1", "x"), ("2", "y"))
     return s
 
 
 @pytest.mark.parametrize(
     "lists,allowed,denied",
     [
-        (dict(whitelist_dbs=["gf"], whitelist_tables=["allow_table"]), 2, 2),  # the lists widen each other
-        (dict(whitelist_tables=["allow_table"]), 2, 0),
-        (dict(whitelist_dbs=["gf"], blacklist_tables=["deny_table"]), 2, 0),
-        (dict(whitelist_dbs=["gf"], blacklist_dbs=["gf"]), 0, 0),
+        (dict(whitelist_dbs=["dock"], whitelist_tables=["open_ledger"]), 2, 2),  # the lists widen each other
+        (dict(whitelist_tables=["open_ledger"]), 2, 0),
+        (dict(whitelist_dbs=["dock"], blacklist_tables=["shut_ledger"]), 2, 0),
+        (dict(whitelist_dbs=["dock"], blacklist_dbs=["dock"]), 0, 0),
         ({}, 2, 2),
     ],
 )
 def test_filters(spark, lists, allowed, denied):
     flt = ct.TableFilter(**lists)
-    for table, n in (("allow_table", allowed), ("deny_table", denied)):
-        assert changes(spark, _filter_workload(), table, NOTES, flt).count() == n
+    for table, n in (("open_ledger", allowed), ("shut_ledger", denied)):
+        assert changes(spark, _filter_workload(), table, TALLIES, flt).count() == n
 
 
 def _epochs(spark, s):
@@ -99,92 +99,92 @@ def _epochs(spark, s):
 
 def test_ddl_create_alter_drop_leaves_nothing(spark):
     s = Source()
-    s.query("gs", "CREATE TABLE ddl_tbl (id int, note varchar(10))")
-    s.rows("gs", "ddl_tbl", "insert", ("id", "note"), ("1", "x"))
-    s.query("gs", "ALTER TABLE ddl_tbl ADD COLUMN extra int")
-    s.rows("gs", "ddl_tbl", "insert", ("id", "note", "extra"), ("2", "y", "1"))
-    s.query("gs", "DROP TABLE ddl_tbl")
-    s.rows("gs", "other", "insert", ("id", "note"), ("1", "kept"))
+    s.query("yard", "CREATE TABLE berths (id int, note varchar(10))")
+    s.rows("yard", "berths", "insert", ("id", "note"), ("1", "x"))
+    s.query("yard", "ALTER TABLE berths ADD COLUMN extra int")
+    s.rows("yard", "berths", "insert", ("id", "note", "extra"), ("2", "y", "1"))
+    s.query("yard", "DROP TABLE berths")
+    s.rows("yard", "other", "insert", ("id", "note"), ("1", "kept"))
     assert [r.final_table for r in _epochs(spark, s).collect()] == ["other"]
 
 
 def test_truncate_rename_and_drop_database(spark):
     s = Source()
     insert = lambda schema, table, i: s.rows(schema, table, "insert", ("id", "note"), (str(i), "x"))
-    insert("gs", "a", 1)
-    s.query("gs", "TRUNCATE a")
-    insert("gs", "a", 2)
-    s.query("gs", "RENAME TABLE a TO tmp, b TO a, tmp TO b")
-    insert("gs", "a", 3)
-    insert("gs", "b", 4)
-    insert("gx", "c", 5)
-    s.query("", "RENAME TABLE gx.c TO gs.c")
-    insert("gx", "d", 6)
-    s.query("", "DROP DATABASE gx")
-    s.query("gs", "ALTER TABLE c RENAME TO e")
+    insert("yard", "a", 1)
+    s.query("yard", "TRUNCATE a")
+    insert("yard", "a", 2)
+    s.query("yard", "RENAME TABLE a TO tmp, b TO a, tmp TO b")
+    insert("yard", "a", 3)
+    insert("yard", "b", 4)
+    insert("pier", "c", 5)
+    s.query("", "RENAME TABLE pier.c TO yard.c")
+    insert("pier", "d", 6)
+    s.query("", "DROP DATABASE pier")
+    s.query("yard", "ALTER TABLE c RENAME TO e")
     got = _epochs(spark, s).select(F.col("after")["id"].alias("i"), "final_schema", "final_table")
-    assert rows(got) == [("2", "gs", "b"), ("3", "gs", "a"), ("4", "gs", "b"), ("5", "gs", "e")]
+    assert rows(got) == [("2", "yard", "b"), ("3", "yard", "a"), ("4", "yard", "b"), ("5", "yard", "e")]
 
 
 def test_many_renames_resolve_by_doubling(spark):
     s = Source()
-    s.rows("gs", "t0", "insert", ("id", "note"), ("1", "x"))
+    s.rows("yard", "t0", "insert", ("id", "note"), ("1", "x"))
     for i in range(40):
-        s.query("gs", f"RENAME TABLE t{i} TO t{i + 1}")
+        s.query("yard", f"RENAME TABLE t{i} TO t{i + 1}")
     assert [r.final_table for r in _epochs(spark, s).collect()] == ["t40"]
 
 
 def test_filtered_ddl_never_reaches_the_destination(spark):
     s = Source()
-    s.query("gf", "CREATE TABLE ddl_filtered (id int)")
-    s.query("gf", "ALTER TABLE ddl_filtered ADD COLUMN extra int")
-    s.query("gf", "DROP TABLE ddl_filtered")
+    s.query("dock", "CREATE TABLE tolls (id int)")
+    s.query("dock", "ALTER TABLE tolls ADD COLUMN extra int")
+    s.query("dock", "DROP TABLE tolls")
     ddl = with_ddl(s.log(spark))
-    flt = ct.TableFilter(blacklist_dbs=["gf"])
+    flt = ct.TableFilter(blacklist_dbs=["dock"])
     assert ddl.filter(flt.allow_query(F.col("schema_name"), F.col("ddl_database"), F.col("ddl_tables"))).isEmpty()
 
 
 def test_reserved_names(spark):
     s = Source()
-    s.rows("gr", "order", "insert", ("id", "note"), ("1", "select"))
-    s.rows("gr", "user-log", "insert", ("id", "note"), ("2", "from"))
+    s.rows("mole", "order", "insert", ("id", "note"), ("1", "select"))
+    s.rows("mole", "user-log", "insert", ("id", "note"), ("2", "from"))
     for table, want in (("order", (Decimal(1), "select")), ("user-log", (Decimal(2), "from"))):
-        assert rows(ct.latest_by_key(changes(spark, s, table, NOTES), ["id"])) == [want]
+        assert rows(ct.latest_by_key(changes(spark, s, table, TALLIES), ["id"])) == [want]
 
 
 def test_write_after_schema_change(spark):
     s = Source()
-    s.rows("gs", "users", "insert", COLUMNS, ("1", "alice", "a@x"))
-    s.query("gs", "ALTER TABLE users ADD COLUMN nickname varchar(64)")
-    s.rows("gs", "users", "insert", (*COLUMNS, "nickname"), ("4", "dave", "d@x", "dd"))
-    steps = [{"at": (1, 104), "action": "add", "column": "nickname", "type": "string"}]
+    s.rows("yard", "crews", "insert", COLUMNS, ("1", "north", "pier 4"))
+    s.query("yard", "ALTER TABLE crews ADD COLUMN berth varchar(64)")
+    s.rows("yard", "crews", "insert", (*COLUMNS, "berth"), ("4", "east", "pier 7", "B12"))
+    steps = [{"at": (1, 104), "action": "add", "column": "berth", "type": "string"}]
     log = ct.decode_rows(s.log(spark).filter("kind = 'rows'"))
     evolved = log.withColumn("after", ct.evolve_images(F.col("after"), F.struct("file_seq", "pos"), steps))
-    fields = T.StructType([*USERS.fields, T.StructField("nickname", T.StringType())])
+    fields = T.StructType([*CREWS.fields, T.StructField("berth", T.StringType())])
     got = ct.latest_by_key(ct.typed_changes(evolved, fields), ["id"])
-    assert rows(got) == [(Decimal(1), "alice", "a@x", None), (Decimal(4), "dave", "d@x", "dd")]
+    assert rows(got) == [(Decimal(1), "north", "pier 4", None), (Decimal(4), "east", "pier 7", "B12")]
 
 
 def test_cross_database_ddl_is_seen_with_its_own_schema(spark):
     s = Source()
-    s.query("gs", "CREATE DATABASE gc")
-    s.query("gs", "CREATE TABLE gc.cross_tbl (id int, note varchar(10))")
-    s.rows("gc", "cross_tbl", "insert", ("id", "note"), ("1", "x"))
+    s.query("yard", "CREATE DATABASE quay")
+    s.query("yard", "CREATE TABLE quay.cranes (id int, note varchar(10))")
+    s.rows("quay", "cranes", "insert", ("id", "note"), ("1", "x"))
     targets = with_ddl(s.log(spark)).selectExpr("explode(targets) as t").select("t.*")
-    assert rows(targets) == [("gc", "cross_tbl")]
-    assert changes(spark, s, "cross_tbl", NOTES, ct.TableFilter(["gc"])).count() == 1
+    assert rows(targets) == [("quay", "cranes")]
+    assert changes(spark, s, "cranes", TALLIES, ct.TableFilter(["quay"])).count() == 1
 
 
 def test_transactions_do_not_change_the_result(spark):
     s = Source()
-    s.query("gs", "BEGIN")
-    s.rows("gs", "txn", "insert", ("id", "note"), ("1", "a"))
-    s.rows("gs", "txn", "update", ("id", "note"), ("1", "a"), ("1", "b"))
-    s.query("gs", "COMMIT")
-    s.query("gs", " begin ")
-    s.rows("gs", "txn", "insert", ("id", "note"), ("2", "c"))
-    s.query("gs", "commit")
-    assert rows(ct.latest_by_key(changes(spark, s, "txn", NOTES), ["id"])) == [(Decimal(1), "b"), (Decimal(2), "c")]
+    s.query("yard", "BEGIN")
+    s.rows("yard", "tallies", "insert", ("id", "note"), ("1", "a"))
+    s.rows("yard", "tallies", "update", ("id", "note"), ("1", "a"), ("1", "b"))
+    s.query("yard", "COMMIT")
+    s.query("yard", " begin ")
+    s.rows("yard", "tallies", "insert", ("id", "note"), ("2", "c"))
+    s.query("yard", "commit")
+    assert rows(ct.latest_by_key(changes(spark, s, "tallies", TALLIES), ["id"])) == [(Decimal(1), "b"), (Decimal(2), "c")]
     log = s.log(spark).withColumn("source_id", F.lit("s"))
     got = ct.with_txn_id(log, segment_bytes=150).orderBy("pos")
     assert [r.txn_id for r in got.collect()] == [1, 1, 1, 1, 2, 2, 2]
@@ -195,10 +195,10 @@ def test_replay_after_a_crash_is_idempotent(spark, tmp_path):
     from changetables.streaming.apply import apply_batch
 
     s = Source()
-    s.rows("gs", "txn", "insert", ("id", "note"), ("1", "a"), ("2", "b"))
-    s.rows("gs", "txn", "delete", ("id", "note"), ("1", "a"))
-    df = changes(spark, s, "txn", NOTES)
-    target = ct.Target(str(tmp_path / "t"), ("id",), NOTES)
+    s.rows("yard", "tallies", "insert", ("id", "note"), ("1", "a"), ("2", "b"))
+    s.rows("yard", "tallies", "delete", ("id", "note"), ("1", "a"))
+    df = changes(spark, s, "tallies", TALLIES)
+    target = ct.Target(str(tmp_path / "t"), ("id",), TALLIES)
     for batch_id in (0, 1):
         apply_batch(latest_actions(df, ["id"]), batch_id, target)
     assert rows(ct.read_current(spark, target)) == [(Decimal(2), "b")]

@@ -63,12 +63,12 @@ def metrics_up(spark, sf):
     f"""{_AUDIT}, b as (select unnest([0.005,0.01,0.025,0.05,0.1,0.25,0.5,1.0,2.5,5.0,10.0]::double[]) as bound,
   unnest(['0.005','0.01','0.025','0.05','0.1','0.25','0.5','1','2.5','5','10']) as le
   union all select 'infinity'::double, '+Inf')
- select label as event_type, le, count(*) filter (seconds <= bound) as events, count(*) as total
- from a, b where label is not null group by 1, 2"""
+ select label as event_type, le, count(*) filter (seconds <= bound) as events, count(*) as total,
+  round(sum(seconds), 4) as seconds from a, b where label is not null group by 1, 2"""
 )
 def lag_histogram(spark, sf):
     found = metrics.duration_histogram(_audit(spark, sf))
-    return found.select("event_type", "le", "events", F.col("count").alias("total"))
+    return found.select("event_type", "le", "events", F.col("count").alias("total"), F.round("sum", 4).alias("seconds"))
 
 
 _LAG = "greatest(0, (epoch_us(ts) - epoch_us(date_trunc('second', event_ts))) / 1000000.0)"

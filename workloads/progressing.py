@@ -170,19 +170,41 @@ def resume_log(spark, sf):
     return progress.resume_log(logs.account_log(logs.events(spark, sf)), plan).select("event_id")
 
 
-@query(f"select c_custkey, {_KEY} as source_key from customer where c_nationkey <> 5")
+@query(
+    f"""select event_id from (select event_id, {logs.SOURCE} as source_id from events) q
+ where (source_id = 'src-0' and event_id >= 2500 + 1200)
+ or (source_id = 'src-1' and event_id > 3000 and event_id not between 4000 and 4500)
+ or (source_id = 'src-2' and event_id > 6000)"""
+)
+def resume_log_gtid(spark, sf):
+    """Positions and transaction sets of both flavors, a set for each source."""
+    plan = spark.createDataFrame(
+        [
+            ("src-0", "pos", "mysql", "", "log-bin.000002", 120004),
+            ("src-1", "GTID", "mysql", "src-1:1-3000:4000-4500,src-2:1-9999999", "", 0),
+            ("src-2", "gtid", "MariaDB", "src-1-6000", "", 0),
+        ],
+        "source_id string, mode string, flavor string, gtid_set string, binlog_file string, binlog_pos long",
+    )
+    log = logs.account_log(logs.events(spark, sf))
+    domain = F.when(F.col("source_id") == "src-2", "src").otherwise(F.col("gtid_source"))
+    return progress.resume_log(log.withColumn("gtid_source", domain), plan).select("event_id")
+
+
+@query(
+    """select c_custkey, (case when c_nationkey = 3 then 'unknown' else 'host-' || cast(c_nationkey as string) end)
+ || ':3306#' || cast(c_custkey as string) as source_key from customer"""
+)
 def source_keys(spark, sf):
-    customers = logs.table(spark, sf, "customer").filter("c_nationkey <> 5")
-    return customers.select(
+    return logs.table(spark, sf, "customer").select(
         "c_custkey",
         progress.source_key(F.expr(_HOST), F.lit(3306), F.col("c_custkey")).alias("source_key"),
     )
 
 
 @query(
-    f"""select {_KEY} as source_id, case when c_nationkey > 12 then 'new' when {_WHERE} then 'mysql' end as flavor,
- case when c_nationkey > 12 then 1 else c_custkey + 1 end as version from customer
- where {_WHERE} and c_nationkey <> 9"""
+    f"""select {_KEY} as source_id, case when c_nationkey > 12 then 'new' else {_SAVED['flavor']} end as flavor,
+ case when c_nationkey > 12 then 1 else c_custkey + 1 end as version from customer where {_WHERE}"""
 )
 def ledger_upsert(spark, sf):
     updates = (
@@ -192,7 +214,7 @@ def ledger_upsert(spark, sf):
         .withColumns({"flavor": F.lit("new"), "version": F.lit(1).cast("long")})
     )
     merged = ledgers.save_checkpoint(_ledger(spark, sf), updates)
-    return merged.filter("flavor <> ' '").select("source_id", "flavor", "version")
+    return merged.select("source_id", "flavor", "version")
 
 
 _JSON = f"""'{{"source_id":"' || {_KEY} || '","flavor":"' || {_SAVED['flavor']} || '","mode":"' || {_SAVED_MODE} || '"'
