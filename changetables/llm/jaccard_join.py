@@ -425,7 +425,7 @@ def _across(members: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
     """
     groups = members.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.max_by("set", F.struct("met", "set")).alias("center"))
     groups = groups.withColumn("chunks", F.ceil(F.col("n") / how.block).cast("int"))
-    tasks = groups.groupBy("center").agg(F.ceil(F.sum("n") / (32 * how.block)).alias("tasks"))
+    tasks = groups.groupBy("center").agg(F.ceil(F.sum("n") / (8 * how.block)).alias("tasks"))
     task = F.concat_ws("/", "center", F.pmod(F.xxhash64("mark"), F.col("tasks")))
     chunk = F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int")
     pair = lambda k: F.concat_ws("/", "mark", F.least(k, F.col("chunk")), F.greatest(k, F.col("chunk")))
