@@ -18,6 +18,7 @@ from changetables.schema import (
     segment_before_all,
     segment_key,
 )
+from changetables.session import materialise
 
 
 def _moves_key(keys: Sequence[str]) -> Column:
@@ -90,13 +91,18 @@ def key_actions_with_liveness(
     base: DataFrame | None = None,
     segment_bytes: int = SEGMENT_BYTES,
     hot_rows: int = HOT_ROWS,
+    idle: DataFrame | None = None,
 ) -> DataFrame:
     """Actions plus ``was_live``: did the key exist just before the action?
 
     Inserts, removals and key moves change whether a key exists; an update in place
-    does not.
+    does not, nor do the moves at the positions ``idle`` (at), which found no row.
     """
-    actions = split_key_updates(changes, keys, ["file_seq", "pos"], rows=False).select(
+    split = split_key_updates(changes, keys, ["file_seq", "pos"], rows=False)
+    if idle is not None:
+        unmoved = idle.select("at", F.lit("update").alias("op"), F.lit(1).alias("sub"))
+        split = split.join(unmoved, ["at", "op", "sub"], "left_anti")
+    actions = split.select(
         *keys,
         "op",
         "at",
@@ -127,6 +133,12 @@ def key_actions_with_liveness(
     )
 
 
+def _idle_moves(actions: DataFrame) -> DataFrame:
+    """Positions of key moves whose old key was not there."""
+    found = actions.filter("op = 'update' and sub = 0 and not was_live").select("at")
+    return materialise(found, "idle-moves")
+
+
 def conflicts(
     changes: DataFrame,
     keys: Sequence[str],
@@ -134,8 +146,21 @@ def conflicts(
     segment_bytes: int = SEGMENT_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Inserts, and updates moving a row, into a key that exists already."""
+    """Inserts, and updates moving a row, into a key that exists already.
+
+    A move whose old key does not exist finds no row and creates nothing. Whether it
+    exists may depend on earlier moves, so the idle ones are looked for until they stay
+    the same; each round settles one more link of such a chain.
+    """
     actions = key_actions_with_liveness(changes, keys, base, segment_bytes, hot_rows)
+    if not changes.filter(_moves_key(keys)).isEmpty():
+        idle = _idle_moves(actions)
+        while count := idle.count():
+            actions = key_actions_with_liveness(changes, keys, base, segment_bytes, hot_rows, idle)
+            again = _idle_moves(actions)
+            if again.count() == count and again.join(idle, "at", "left_anti").isEmpty():
+                break
+            idle = again
     return actions.filter("creates and was_live").select(*keys, "op", "at.*")
 
 

@@ -85,6 +85,8 @@ def _first_conflict(base, log):
         if op == "delete":
             live.discard(before[0])
         elif op == "update" and before[0] != after[0]:
+            if before[0] not in live:
+                continue  # no row to move
             live.discard(before[0])
             if after[0] in live:
                 found.append(tuple(at))
@@ -109,6 +111,16 @@ def test_conflicts_and_halt(spark, seed):
     assert kept.count() == sum(tuple(c[:3]) < min(want) for c in log)
 
 
+def test_a_move_without_a_row_creates_nothing(spark):
+    """Also when that hangs on other moves, in a chain."""
+    log = [(1, 1, 0, "update", (5, "a"), (6, "a"))]
+    log += [(1, k, 0, "update", (k + 4, "a"), (k + 5, "a")) for k in range(2, 7)]
+    log += [(1, 7 + k, 0, "insert", None, (k, "b")) for k in range(6, 12)] + [(1, 99, 0, "insert", None, (11, "c"))]
+    df = changes(spark, log)
+    assert rows(ct.conflicts(df, ["k"]).select("pos")) == [(99,)]
+    assert ct.halt_at_first_conflict(df, ["k"]).count() == len(log) - 1
+
+
 def test_no_conflict_keeps_the_whole_log(spark):
     base, log, _ = keyed_changes(41, 60)
     df = changes(spark, log)
