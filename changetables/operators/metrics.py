@@ -102,13 +102,10 @@ def pipeline_up(audit: DataFrame) -> DataFrame:
     )
 
 
-def duration_histogram(audit: DataFrame, bounds: Sequence[float] = BUCKETS) -> DataFrame:
-    """Apply durations by label: cumulative counts per upper bound, sum and count.
-
-    One row per label and bound; the last bound, ``+Inf``, holds the count.
-    """
+def _durations(audit: DataFrame, bounds: Sequence[float]) -> DataFrame:
+    """One row per label: how many durations are within each bound, sum and count."""
     seconds = F.col("seconds")
-    counted = (
+    return (
         audit.filter("label is not null and seconds is not null")
         .groupBy(label_or_unknown(F.col("label")).alias("event_type"))
         .agg(
@@ -117,14 +114,24 @@ def duration_histogram(audit: DataFrame, bounds: Sequence[float] = BUCKETS) -> D
             F.sum(seconds).alias("sum"),
         )
     )
-    buckets = [
-        F.struct(F.lit(_bound_text(b)).alias("le"), F.col(f"le_{i}").alias("events"))
-        for i, b in enumerate(bounds)
-    ]
-    buckets.append(F.struct(F.lit("+Inf").alias("le"), F.col("count").alias("events")))
-    return counted.select(
-        "event_type", "sum", "count", F.explode(F.array(*buckets)).alias("b")
-    ).select("event_type", "b.le", "b.events", "sum", "count")
+
+
+def _buckets(bounds: Sequence[float]) -> list[tuple[str, str]]:
+    """(le, column of ``_durations``) of every bucket."""
+    return [*((_bound_text(b), f"le_{i}") for i, b in enumerate(bounds)), ("+Inf", "count")]
+
+
+def duration_histogram(audit: DataFrame, bounds: Sequence[float] = BUCKETS) -> DataFrame:
+    """Apply durations by label: cumulative counts per upper bound, sum and count.
+
+    One row per label and bound; the last bound, ``+Inf``, holds the count.
+    """
+    buckets = [F.struct(F.lit(le).alias("le"), F.col(c).alias("events")) for le, c in _buckets(bounds)]
+    return (
+        _durations(audit, bounds)
+        .select("event_type", "sum", "count", F.explode(F.array(*buckets)).alias("b"))
+        .select("event_type", "b.le", "b.events", "sum", "count")
+    )
 
 
 def _bound_text(bound: float) -> str:
@@ -166,6 +173,28 @@ def last_checkpoint(audit: DataFrame) -> DataFrame:
     )
 
 
+# The names of the metrics.
+EVENTS_READ = "binlog_events_read_total"
+READ_ERRORS = "binlog_read_errors_total"
+EVENTS_FILTERED = "events_filtered_total"
+EVENTS_APPLIED = "events_applied_total"
+APPLY_ERRORS = "event_apply_errors_total"
+CHECKPOINTS = "state_checkpoint_total"
+APPLY_SECONDS = "event_apply_duration_seconds"
+WORKER_UP = "worker_up"
+LAG_SECONDS = "replication_lag_seconds"
+LAST_CHECKPOINT = "state_last_checkpoint_timestamp_seconds"
+
+
+def _samples(rows: DataFrame, samples: Sequence[tuple[str, Column, str]]) -> DataFrame:
+    """(metric, label, value) for each (metric, label, column) of every row; none for null."""
+    made = [
+        F.struct(F.lit(metric).alias("metric"), label.alias("label"), F.col(column).cast("double").alias("value"))
+        for metric, label, column in samples
+    ]
+    return rows.select(F.explode(F.array(*made)).alias("s")).select("s.*").filter("value is not null")
+
+
 def metrics_snapshot(
     audit: DataFrame, allowed: Column | None = None, prefix: str = "", bounds: Sequence[float] = BUCKETS
 ) -> DataFrame:
@@ -173,8 +202,9 @@ def metrics_snapshot(
 
     ``audit`` is the classified event log plus lifecycle and checkpoint rows (columns
     source_id, ts, file_seq, pos, event_ts, event_type, kind, label, op, schema_name,
-    table_name, query, error, error_stage, seconds, checkpoint_result, up). Counters
-    are taken in one pass; a histogram bucket's label reads ``event_type|le``.
+    table_name, query, error, error_stage, seconds, checkpoint_result, up). The log is
+    read three times: for counters, for gauges by source and for the histogram, whose
+    buckets' labels read ``event_type|le``.
     """
     allowed = F.lit(True) if allowed is None else allowed
     none = F.lit("")
@@ -183,18 +213,18 @@ def metrics_snapshot(
     )
     is_event = F.col("event_type").isNotNull()
     applied = F.col("label").isNotNull() & F.col("error").isNull() & F.col("error_stage").isNull()
-    failed, errors = F.col("error_stage"), "event_apply_errors_total"
+    failed, errors = F.col("error_stage"), APPLY_ERRORS
     hits = [
-        one(is_event, "binlog_events_read_total", event_type_label(F.col("event_type"))),
-        one(failed == "read", "binlog_read_errors_total", none),
-        one(is_event & is_filtered(allowed), "events_filtered_total", label_or_unknown(F.col("kind"))),
-        one(applied, "events_applied_total", F.col("label")),
+        one(is_event, EVENTS_READ, event_type_label(F.col("event_type"))),
+        one(failed == "read", READ_ERRORS, none),
+        one(is_event & is_filtered(allowed), EVENTS_FILTERED, label_or_unknown(F.col("kind"))),
+        one(applied, EVENTS_APPLIED, F.col("label")),
         one(failed == "exec", errors, F.lit("exec")),
         one(failed.isin("exec", "bind"), errors, label_or_unknown(F.col("kind"))),
         one(failed == "state", errors, F.lit("state")),
         one(
             F.col("checkpoint_result").isNotNull(),
-            "state_checkpoint_total",
+            CHECKPOINTS,
             label_or_unknown(F.col("checkpoint_result")),
         ),
     ]
@@ -203,27 +233,22 @@ def metrics_snapshot(
         .groupBy("h.metric", "h.label")
         .agg(F.count(F.lit(1)).cast("double").alias("value"))
     )
-    hist = duration_histogram(audit, bounds)
-    name = "event_apply_duration_seconds"
-    gauge = lambda df, metric, value: df.select(
-        F.lit(metric).alias("metric"), F.col("source_id").alias("label"), F.col(value).cast("double").alias("value")
-    ).filter("value is not null")
-    samples = {
-        f"{name}_bucket": (hist, F.concat_ws("|", "event_type", "le"), "events"),
-        f"{name}_sum": (hist.filter("le = '+Inf'"), F.col("event_type"), "sum"),
-        f"{name}_count": (hist.filter("le = '+Inf'"), F.col("event_type"), "count"),
-    }
+    lag = lag_seconds(F.col("ts"), F.col("event_ts"))
+    done = F.when(F.col("checkpoint_result") == "success", F.col("ts"))
+    gauges = audit.groupBy("source_id").agg(
+        F.max_by(F.col("up").cast("int"), F.when(F.col("up").isNotNull(), F.col("ts"))).alias("up"),
+        F.max_by(lag, F.when(lag.isNotNull(), F.struct("file_seq", "pos"))).alias("lag"),
+        F.floor(F.unix_micros(F.max(done)) / F.lit(1_000_000)).alias("done"),
+    )
+    source, label = F.col("source_id"), F.col("event_type")
+    buckets = [(f"{APPLY_SECONDS}_bucket", F.concat_ws("|", label, F.lit(le)), c) for le, c in _buckets(bounds)]
     parts = [
         counters,
-        gauge(pipeline_up(audit), "worker_up", "up"),
-        gauge(current_lag(audit, "ts"), "replication_lag_seconds", "lag_seconds"),
-        gauge(last_checkpoint(audit), "state_last_checkpoint_timestamp_seconds", "last_checkpoint"),
-        *[
-            df.select(
-                F.lit(metric).alias("metric"), label.alias("label"), F.col(value).cast("double").alias("value")
-            )
-            for metric, (df, label, value) in samples.items()
-        ],
+        _samples(gauges, [(WORKER_UP, source, "up"), (LAG_SECONDS, source, "lag"), (LAST_CHECKPOINT, source, "done")]),
+        _samples(
+            _durations(audit, bounds),
+            [*buckets, (f"{APPLY_SECONDS}_sum", label, "sum"), (f"{APPLY_SECONDS}_count", label, "count")],
+        ),
     ]
     table = reduce(lambda a, b: a.unionByName(b), parts)
     return table.withColumn("metric", F.concat(F.lit(prefix), F.col("metric")))
