@@ -23,7 +23,7 @@ from changetables.operators.metrics import alerts, metrics_snapshot
 from changetables.operators.progress import checkpoints, resume_log, resume_plan, running_position
 from changetables.operators.reconcile import compare_counts, diff_tables, duplicates, missing_columns, missing_tables
 from changetables.operators.transactions import with_txn_id
-from changetables.operators.validate import split_valid, validate
+from changetables.operators.validate import check_types, split_valid, validate
 from changetables.schema import EVENT_SCHEMA, LEDGER_SCHEMA, LOG_SCHEMA, METRICS_SCHEMA
 from changetables.sources.catalogue import schema_asof, schema_history, table_columns
 from changetables.sources.changelog import after_gtid_set, from_position, read_changelog, resume_after

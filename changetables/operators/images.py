@@ -83,6 +83,8 @@ def decode_rows(events: DataFrame) -> DataFrame:
 def typed_changes(log: DataFrame, fields: T.StructType) -> DataFrame:
     """Turn name/value images into typed structs; values that do not fit raise.
 
+    ``validate.check_types`` sets changes with such values aside before.
+
     Structs can be grouped and joined, and only the columns a query needs are read.
     """
 

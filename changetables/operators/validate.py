@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changetables.functions.rows import skipped_of
 from changetables.functions.text import let
@@ -20,6 +23,7 @@ ZERO_SET = "update_zero_set_columns"
 ZERO_WHERE = "update_zero_where_columns"
 WHERE_MISMATCH = "where_column_value_mismatch"
 JSON_DIFF = "json_diff_unsupported"
+BAD_VALUE = "value_type_mismatch"
 
 
 def early_error(log: DataFrame) -> Column:
@@ -98,6 +102,23 @@ def image_error(before: Column, before_present: Column) -> Column:
     return F.when(F.size(before_present) != F.size(F.map_keys(before)), WHERE_MISMATCH)
 
 
+def check_types(changes: DataFrame, fields: T.StructType) -> DataFrame:
+    """Name/value changes with ``error``, set where a value does not fit its column's type.
+
+    ``split_valid`` then sets such changes aside, so one bad value does not fail the job
+    that types the others. A code that is there already stays.
+    """
+
+    def misfit(image: str) -> Column:
+        values = [F.col(image)[f.name] for f in fields]
+        tests = [v.isNotNull() & v.try_cast(f.dataType).isNull() for v, f in zip(values, fields)]
+        return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
+
+    found = F.when(misfit("before") | misfit("after"), BAD_VALUE)
+    known = F.col("error") if "error" in changes.columns else F.lit(None).cast("string")
+    return changes.withColumn("error", F.coalesce(known, found))
+
+
 def split_valid(events: DataFrame, mode: str = "reject") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) events by their ``error`` column.
 

@@ -159,3 +159,17 @@ def test_evolving_a_table(spark):
     assert ct.evolve_schema(df, steps).first().asDict() == {"id": 1, "number": 7, "nickname": None}
     with pytest.raises(ValueError, match="unknown schema change"):
         ct.evolve_schema(df, [{"action": "twist", "column": "n"}])
+
+
+def test_values_of_the_wrong_type_are_set_aside(spark):
+    fields = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("day", T.DateType())])
+    log = [
+        (1, "insert", None, {"id": "7", "day": "2024-02-29"}),
+        (2, "insert", None, {"id": "seven", "day": None}),
+        (3, "update", {"id": "7", "day": "2024-02-30"}, {"id": "7", "day": "2024-03-01"}),
+        (4, "delete", {"id": "7"}, None),
+    ]
+    df = spark.createDataFrame(log, "pos long, op string, before map<string,string>, after map<string,string>")
+    ok, bad = ct.split_valid(ct.check_types(df, fields))
+    assert rows(bad.select("pos", "error")) == [(2, "value_type_mismatch"), (3, "value_type_mismatch")]
+    assert rows(ct.typed_changes(ok, fields).select("pos", "after.id", "before.id")) == [(1, 7, None), (4, None, 7)]
