@@ -1,11 +1,12 @@
 """Approximate nearest neighbours by a hash-prefix forest, for the largest inner product.
 
-Each tree gives every vector a long string of bits, the sides of random hyperplanes, and
-keeps the strings sorted. A query descends to the vectors that share its longest prefix
-and all trees ascend together, to shorter and shorter prefixes, for more candidates. How
-far they ascend is fitted on a bounded sample of queries, compared with all vectors, to
-reach the wanted recall at the least work. Trees are cut into blocks by prefix, so a
-block is a task's work; a crowded block is cut by a longer prefix, which holds enough.
+Each tree gives every vector a long string of bits, the sides of random hyperplanes. A
+query descends to the block of vectors that share a long prefix with it; a crowded block
+is cut by a longer prefix, ``step`` bits at a time. Queries that do not expect enough of
+their neighbours there, judged by the angles of those they found, ascend together in all
+trees: a round compares them with the vectors of a prefix shorter by ``rise`` bits, down to
+none, which is all vectors. Trees and first depth are fitted on a bounded sample of
+queries, compared with all vectors, to reach the wanted recall at the least work.
 
 Vectors get one more component that makes all of one length, so that the angle to a query
 orders them as the inner product does. Equal vectors are indexed once.
@@ -16,31 +17,39 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changetables.session import materialise
+from changetables.session import fits, materialise
 
 
 @dataclass(frozen=True)
 class Forest:
     """Bounds of the index: at most ``trees`` trees of ``bits`` bits, fitted on ``sample`` queries.
 
-    ``recall`` is what the fit aims at. A block above ``crowd`` times the mean and
-    ``block`` vectors is cut by ``step`` more bits.
+    ``recall`` is what the fit aims at in the mean; a query ascends by ``rise`` bits while it
+    expects less than ``least``. A block above ``crowd`` times the mean and ``block`` vectors
+    is cut by ``step`` more bits. Blocks without queries are left out if at most ``few``
+    queries are open.
     """
 
     recall: float = 0.96
+    least: float = 0.9
     trees: int = 40
     bits: int = 32
     sample: int = 64
     block: int = 4096
     crowd: int = 4
     step: int = 4
+    rise: int = 2
+    few: int = 4096
     seed: int = 7
 
 
@@ -143,6 +152,23 @@ class Hasher:
         return sides.astype(np.uint64) @ (np.uint64(1) << np.arange(self.bits - 1, -1, -1, dtype=np.uint64))
 
 
+@dataclass(frozen=True)
+class Round:
+    """One level of the ascent: the first ``trees`` trees at ``depth``, with the blocks that are cut further."""
+
+    trees: int
+    depth: int
+    crowded: dict[int, set]
+
+
+def _rounds(trees: int, depth: int, crowded: dict[int, set], how: Forest) -> list[Round]:
+    """Levels from the deepest up; the last is all vectors, where the trees would compare as many."""
+    if not depth:
+        return [Round(1, 0, {})]
+    above = [Round(trees, d, {}) for d in range(depth - how.rise, 0, -how.rise) if trees < 2**d]
+    return [Round(trees, depth, crowded), *above, Round(1, 0, {})]
+
+
 def _place(strings: np.ndarray, tree: int, depth: int, crowded: dict[int, set], how: Forest) -> tuple[np.ndarray, np.ndarray]:
     """(depth, prefix) of each string's block: longer where the shorter prefix is crowded."""
     depths = np.full(len(strings), depth, np.int64)
@@ -183,6 +209,124 @@ def _crowded(vectors: DataFrame, hasher: Hasher, depth: int, n: int, how: Forest
     return crowded
 
 
+def _blocks(hasher: Hasher, level: Round, query: bool, wanted: dict[int, np.ndarray] | None, how: Forest):
+    """Task that puts (id, v) into the blocks of a level; only those of ``wanted`` prefixes, if given."""
+
+    def pieces(batch: pa.RecordBatch):
+        ids, x = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
+        strings = hasher.strings(x, query)
+        for tree in range(level.trees):
+            depths, prefixes = _place(strings[:, tree], tree, level.depth, level.crowded, how)
+            order = np.lexsort((prefixes, depths))
+            if wanted is not None:
+                order = order[np.isin(depths[order] << how.bits | prefixes[order].astype(np.int64), wanted[tree])]
+            if not len(order):
+                continue
+            change = (np.diff(depths[order]) != 0) | (np.diff(prefixes[order]) != 0)
+            for part in np.split(order, np.flatnonzero(change) + 1):
+                yield f"{tree}/{depths[part[0]]}/{prefixes[part[0]]}", ids[part].astype("<i8").tobytes(), x[part].tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found = pieces(batch)
+            while out := list(islice(found, 256)):
+                names, *data = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names), pa.array([query] * len(names))] + [pa.array(d, pa.binary()) for d in data],
+                    names=["block", "query", "ids", "v"],
+                )
+
+    return run
+
+
+def _wanted(queries: DataFrame, hasher: Hasher, level: Round, how: Forest) -> dict[int, np.ndarray] | None:
+    """Blocks of the queries by tree, as numbers of depth and prefix; None if there are many queries."""
+    if not fits(queries, how.few):
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                strings = hasher.strings(_matrix(batch.column(0)), True)
+                for tree in range(level.trees):
+                    depths, prefixes = _place(strings[:, tree], tree, level.depth, level.crowded, how)
+                    block = np.unique(depths << how.bits | prefixes.astype(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array([tree] * len(block), pa.int32()), pa.array(block)], names=["tree", "block"])
+
+    found = queries.select("v").mapInArrow(run, "tree int, block long").distinct().toPandas()
+    return {tree: found["block"][found["tree"] == tree].to_numpy(np.int64) for tree in range(level.trees)}
+
+
+def _best(vectors: DataFrame, queries: DataFrame, hasher: Hasher, level: Round, k: int, how: Forest) -> DataFrame:
+    """(q, best): the k + 1 best vectors, as (-score, rep), of each query's blocks of a level."""
+    schema = "block string, query boolean, ids binary, v binary"
+    wanted = _wanted(queries, hasher, level, how)
+    placed = vectors.select("rep", "v").mapInArrow(_blocks(hasher, level, False, wanted, how), schema)
+    placed = placed.unionByName(queries.mapInArrow(_blocks(hasher, level, True, None, how), schema))
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        """The best of the vectors that share the block's prefix."""
+
+        def joined(of: pd.DataFrame):
+            ids = np.frombuffer(b"".join(of["ids"]), "<i8")
+            return ids, np.frombuffer(b"".join(of["v"]), "<f8").reshape(len(ids), -1)
+
+        of_queries = part[part["query"]]
+        if not len(of_queries) or len(of_queries) == len(part):
+            return pd.DataFrame({"q": [], "ids": [], "scores": []}, dtype=object)
+        ids, x = joined(part[~part["query"]])
+        q_ids, q = joined(of_queries)
+        found_ids, found_scores = [], []
+        for start in range(0, len(q), 256):
+            scores = np.einsum("ij,kj->ik", q[start : start + 256], x, optimize=True)
+            for row in scores:
+                best = np.argpartition(-row, k)[: k + 1] if len(row) > k + 1 else np.arange(len(row))
+                edge = row[best].min()
+                best = np.flatnonzero(row >= edge) if len(row) > k + 1 else best  # ties at the edge all stay
+                best = best[np.lexsort((ids[best], -row[best]))][: k + 1]
+                found_ids.append(ids[best])
+                found_scores.append(row[best])
+        return pd.DataFrame({"q": q_ids, "ids": found_ids, "scores": found_scores})
+
+    found = placed.groupBy("block").applyInPandas(compare, "q long, ids array<long>, scores array<double>")
+    each = found.select("q", F.explode(F.arrays_zip("ids", "scores")).alias("x"))
+    each = each.groupBy("q", F.col("x.ids").alias("rep")).agg(F.max("x.scores").alias("score"))
+    return each.groupBy("q").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "rep"))), 1, k + 1).alias("best")
+    )
+
+
+def _rated(best: DataFrame, queries: DataFrame, hasher: Hasher, level: Round, k: int, n: int, how: Forest) -> DataFrame:
+    """``best`` with ``expected``, the share of its neighbours that a query found at least, in the mean.
+
+    True neighbours are at least as near as those found, so the chance to find vectors at
+    the found angles does not overrate them; each one that is missing counts as not found.
+    """
+    need = min(k, n - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            q, x = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
+            row = np.repeat(np.arange(len(q)), pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
+            flat = batch.column(2).flatten()
+            other = flat.field("rep").to_numpy(zero_copy_only=False) != q[row]
+            row, score = row[other], -flat.field("s").to_numpy(zero_copy_only=False)[other]
+            near = np.arange(len(row)) - np.searchsorted(row, row) < need
+            row, score = row[near], score[near]
+            cosines = score / (np.linalg.norm(x, axis=1)[row] * hasher.longest)
+            agree = 1 - np.arccos(np.clip(cosines, -1, 1)) / math.pi
+            found = 1 - (1 - agree**level.depth) ** level.trees
+            expected = np.bincount(row, found, len(q)) / need if need else np.ones(len(q))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(expected)], names=["q", "best", "expected"])
+
+    joined = queries.join(best, queries["rep"] == best["q"]).select("q", "v", "best")
+    return joined.mapInArrow(run, "q long, best array<struct<s:double,rep:bigint>>, expected double")
+
+
 def search(
     rows: DataFrame, is_query: Column, k: int = 20, how: Forest = Forest(), key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
@@ -219,70 +363,17 @@ def search(
         cosines = _nearest(vectors, unit, k) / longest
     trees, depth = fit(cosines, n, how)
     hasher = Hasher(size // 8, trees, longest, how)
-    crowded = _crowded(vectors, hasher, depth, n, how)
-
-    def blocks(query: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                ids, x = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
-                strings = hasher.strings(x, query)
-                out = []
-                for tree in range(hasher.trees):
-                    depths, prefixes = _place(strings[:, tree], tree, depth, crowded, how)
-                    order = np.lexsort((strings[:, tree], prefixes, depths))
-                    change = (np.diff(depths[order]) != 0) | (np.diff(prefixes[order]) != 0)
-                    for part in np.split(order, np.flatnonzero(change) + 1):
-                        block = f"{tree}/{depths[part[0]]}/{prefixes[part[0]]}"
-                        out.append((block, ids[part].astype("<i8").tobytes(), strings[part, tree].tobytes(), x[part].tobytes()))
-                for start in range(0, len(out), 256):
-                    names, *data = zip(*out[start : start + 256])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(names), pa.array([query] * len(names))] + [pa.array(d, pa.binary()) for d in data],
-                        names=["block", "query", "ids", "strings", "v"],
-                    )
-
-        return run
-
-    schema = "block string, query boolean, ids binary, strings binary, v binary"
-    placed = vectors.select("rep", "v").mapInArrow(blocks(False), schema)
-    placed = placed.unionByName(queries.mapInArrow(blocks(True), schema))
-
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        """The best of the vectors that share the prefix down to which this block's tree ascends."""
-
-        def joined(of: pd.DataFrame):
-            ids = np.frombuffer(b"".join(of["ids"]), "<i8")
-            return ids, np.frombuffer(b"".join(of["strings"]), "<u8"), np.frombuffer(b"".join(of["v"]), "<f8").reshape(len(ids), -1)
-
-        of_queries = part[part["query"]]
-        if not len(of_queries) or len(of_queries) == len(part):
-            return pd.DataFrame({"q": [], "ids": [], "scores": []})
-        ids, strings, x = joined(part[~part["query"]])
-        order = np.lexsort((ids, strings))
-        ids, strings, x = ids[order], strings[order], x[order]
-        q_ids, q_strings, q = joined(of_queries)
-        near = np.argsort(q_strings, kind="stable")
-        q_ids, q = q_ids[near], q[near]
-        found_ids, found_scores = [], []
-        for start in range(0, len(q), 256):
-            scores = np.einsum("ij,kj->ik", q[start : start + 256], x, optimize=True)
-            for row in scores:
-                best = np.argpartition(-row, k)[: k + 1] if len(row) > k + 1 else np.arange(len(row))
-                edge = row[best].min()
-                best = np.flatnonzero(row >= edge) if len(row) > k + 1 else best  # ties at the edge all stay
-                best = best[np.lexsort((ids[best], -row[best]))][: k + 1]
-                found_ids.append(ids[best])
-                found_scores.append(row[best])
-        return pd.DataFrame({"q": q_ids, "ids": found_ids, "scores": found_scores})
-
-    found = placed.groupBy("block").applyInPandas(compare, "q long, ids array<long>, scores array<double>")
-    each = found.select("q", F.explode(F.arrays_zip("ids", "scores")).alias("x"))
-    each = each.groupBy("q", F.col("x.ids").alias("rep")).agg(F.max("x.scores").alias("score"))
-    best = each.groupBy("q").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "rep"))), 1, k + 1).alias("best")
-    )
+    rounds = _rounds(trees, depth, _crowded(vectors, hasher, depth, n, how), how)
+    settled, waiting = [], queries
+    for level in rounds:
+        rated = _rated(_best(vectors, waiting, hasher, level, k, how), waiting, hasher, level, k, n, how)
+        rated = materialise(rated, "rated")
+        settled.append((rated if level is rounds[-1] else rated.where(F.col("expected") >= how.least)).select("q", "best"))
+        if level is not rounds[-1]:
+            waiting = materialise(waiting.join(settled[-1], waiting["rep"] == settled[-1]["q"], "left_anti"), "waiting-queries")
+            if waiting.isEmpty():
+                break
+    best = reduce(DataFrame.unionByName, settled)
     copies = vectors.where(F.size("ids") > 1).select("rep", "ids")
     spread = (
         best.select("q", F.explode("best").alias("x"))

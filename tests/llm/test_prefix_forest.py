@@ -71,3 +71,24 @@ def test_few_rows(spark):
     got = found(prefix_forest.search(rows, F.pmod("vec_id", F.lit(20)) == 0))
     assert got == {0: [(3, 1.0), (20, 0.0)], 20: [(3, 1.0), (0, 0.0)]}
     assert prefix_forest.search(rows.limit(0), F.pmod("vec_id", F.lit(20)) == 0).count() == 0
+
+
+def clustered(n, seed):
+    """Unit vectors: 200 clusters, and 2 % that lie alone."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((200, 64))[rng.integers(0, 200, n)] + 0.15 * rng.standard_normal((n, 64))
+    alone = rng.random(n) < 0.02
+    x[alone] = rng.standard_normal((alone.sum(), 64))
+    return x / np.linalg.norm(x, axis=1, keepdims=True), alone
+
+
+def test_lonely_queries_ascend(spark):
+    """One depth fits the clusters; vectors alone need shorter prefixes."""
+    x, alone = clustered(6000, 3)
+    asked = np.flatnonzero(alone | (np.arange(6000) % 100 == 0))
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(6)
+    got = found(prefix_forest.search(rows, F.col("vec_id").isin([int(q) for q in asked])))
+    want = brute(np.arange(6000), x, asked)
+    assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
+    assert recall(got, {q: w for q, w in want.items() if alone[q]}) >= 0.9
+    assert recall(got, want) >= 0.9
