@@ -166,7 +166,8 @@ def _rounds(trees: int, depth: int, crowded: dict[int, set], how: Forest) -> lis
     if not depth:
         return [Round(1, 0, {})]
     above = [Round(trees, d, {}) for d in range(depth - how.rise, 0, -how.rise) if trees < 2**d]
-    return [Round(trees, depth, crowded), *above, Round(1, 0, {})]
+    uncut = [Round(trees, depth, {})] if crowded else []
+    return [Round(trees, depth, crowded), *uncut, *above, Round(1, 0, {})]
 
 
 def _place(strings: np.ndarray, tree: int, depth: int, crowded: dict[int, set], how: Forest) -> tuple[np.ndarray, np.ndarray]:
@@ -301,7 +302,7 @@ def _best(vectors: DataFrame, queries: DataFrame, hasher: Hasher, level: Round,
 def _rated(best: DataFrame, queries: DataFrame, hasher: Hasher, level: Round, k: int, n: int, how: Forest) -> DataFrame:
     """``best`` with ``expected``, the share of its neighbours that a query found at least, in the mean.
 
-    True neighbours are at least as near as those found, so the chance to find vectors at
+    Crowded blocks count with the depth they were cut to. True neighbours are at least as near as those found, so the chance to find vectors at
     the found angles does not overrate them; each one that is missing counts as not found.
     """
     need = min(k, n - 1)
@@ -319,8 +320,10 @@ def _rated(best: DataFrame, queries: DataFrame, hasher: Hasher, level: Round, k:
             row, score = row[near], score[near]
             cosines = score / (np.linalg.norm(x, axis=1)[row] * hasher.longest)
             agree = 1 - np.arccos(np.clip(cosines, -1, 1)) / math.pi
-            found = 1 - (1 - agree**level.depth) ** level.trees
-            expected = np.bincount(row, found, len(q)) / need if need else np.ones(len(q))
+            missed, strings = np.ones(len(row)), hasher.strings(x, True)
+            for tree in range(level.trees):
+                missed *= 1 - agree ** _place(strings[:, tree], tree, level.depth, level.crowded, how)[0][row]
+            expected = np.bincount(row, 1 - missed, len(q)) / need if need else np.ones(len(q))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(expected)], names=["q", "best", "expected"])
 
     joined = queries.join(best, queries["rep"] == best["q"]).select("q", "v", "best")

@@ -92,3 +92,14 @@ def test_lonely_queries_ascend(spark):
     assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
     assert recall(got, {q: w for q, w in want.items() if alone[q]}) >= 0.9
     assert recall(got, want) >= 0.9
+
+
+def test_recall_in_crowded_blocks(spark):
+    """With a common component blocks are uneven; those that are cut hold fewer neighbours."""
+    x = np.random.default_rng(5).standard_normal((6000, 64)) / 8
+    x[:, 0] += 1.2
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(6)
+    got = found(prefix_forest.search(rows, F.pmod("vec_id", F.lit(100)) == 0, how=prefix_forest.Forest(block=300, crowd=2)))
+    want = brute(np.arange(6000), x, range(0, 6000, 100))
+    assert got.keys() == want.keys() and recall(got, want) >= 0.9
