@@ -36,7 +36,8 @@ class Forest:
 
     ``recall`` is what the fit aims at in the mean; a query ascends by ``rise`` bits while it
     expects less than ``least``. A block above ``crowd`` times the mean and ``block`` vectors
-    is cut by ``step`` more bits. Blocks without queries are left out if at most ``few``
+    is cut by ``step`` more bits. A task compares parts of about ``block`` vectors and as many
+    queries of a block at most. Blocks without queries are left out if at most ``few``
     queries are open.
     """
 
@@ -210,22 +211,36 @@ def _crowded(vectors: DataFrame, hasher: Hasher, depth: int, n: int, how: Forest
     return crowded
 
 
-def _blocks(hasher: Hasher, level: Round, query: bool, wanted: dict[int, np.ndarray] | None, how: Forest):
-    """Task that puts (id, v) into the blocks of a level; only those of ``wanted`` prefixes, if given."""
+def _blocks(
+    hasher: Hasher, level: Round, query: bool, wanted: dict[int, np.ndarray] | None, parts: list[dict[tuple[int, int], int]], how: Forest
+):
+    """Task that puts (id, v) into the blocks of a level; only those of ``wanted`` prefixes, if given.
+
+    ``parts`` are the numbers of parts of large blocks' vectors and queries; a vector goes to
+    all parts of the queries, and a query to all parts of the vectors.
+    """
 
     def pieces(batch: pa.RecordBatch):
         ids, x = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
         strings = hasher.strings(x, query)
+        spread = (ids.astype("<i8").view("<u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
         for tree in range(level.trees):
-            depths, prefixes = _place(strings[:, tree], tree, level.depth, level.crowded, how)
-            order = np.lexsort((prefixes, depths))
+            numbers = _numbers(strings, tree, level, how)
+            order = np.argsort(numbers, kind="stable")
             if wanted is not None:
-                order = order[np.isin(depths[order] << how.bits | prefixes[order].astype(np.int64), wanted[tree])]
+                order = order[np.isin(numbers[order], wanted[tree])]
             if not len(order):
                 continue
-            change = (np.diff(depths[order]) != 0) | (np.diff(prefixes[order]) != 0)
-            for part in np.split(order, np.flatnonzero(change) + 1):
-                yield f"{tree}/{depths[part[0]]}/{prefixes[part[0]]}", ids[part].astype("<i8").tobytes(), x[part].tobytes()
+            for block in np.split(order, np.flatnonzero(np.diff(numbers[order])) + 1):
+                number = int(numbers[block[0]])
+                vectors, queries = (p.get((tree, number), 1) for p in parts)
+                own, others = (queries, vectors) if query else (vectors, queries)
+                for a in range(own):
+                    part = block[spread[block] % np.uint64(own) == a]
+                    if len(part):
+                        data = ids[part].astype("<i8").tobytes(), x[part].tobytes()
+                        for b in range(others):
+                            yield f"{tree}/{number}/" + (f"{b}/{a}" if query else f"{a}/{b}"), *data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,30 +257,49 @@ def _blocks(hasher: Hasher, level: Round, query: bool, wanted: dict[int, np.ndar
     return run
 
 
-def _wanted(queries: DataFrame, hasher: Hasher, level: Round, how: Forest) -> dict[int, np.ndarray] | None:
-    """Blocks of the queries by tree, as numbers of depth and prefix; None if there are many queries."""
-    if not fits(queries, how.few):
-        return None
+def _numbers(strings: np.ndarray, tree: int, level: Round, how: Forest) -> np.ndarray:
+    """Each string's block as a number of depth and prefix."""
+    depths, prefixes = _place(strings[:, tree], tree, level.depth, level.crowded, how)
+    return depths << how.bits | prefixes.astype(np.int64)
+
+
+def _sizes(rows: DataFrame, hasher: Hasher, level: Round, query: bool, how: Forest) -> DataFrame:
+    """(tree, block, n): how many vectors or queries each block of a level has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                strings = hasher.strings(_matrix(batch.column(0)), True)
+                strings = hasher.strings(_matrix(batch.column(0)), query)
                 for tree in range(level.trees):
-                    depths, prefixes = _place(strings[:, tree], tree, level.depth, level.crowded, how)
-                    block = np.unique(depths << how.bits | prefixes.astype(np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array([tree] * len(block), pa.int32()), pa.array(block)], names=["tree", "block"])
+                    block, count = np.unique(_numbers(strings, tree, level, how), return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([tree] * len(block), pa.int32()), pa.array(block), pa.array(count)], names=["tree", "block", "n"]
+                    )
 
-    found = queries.select("v").mapInArrow(run, "tree int, block long").distinct().toPandas()
+    return rows.select("v").mapInArrow(run, "tree int, block long, n long").groupBy("tree", "block").agg(F.sum("n").alias("n"))
+
+
+def _wanted(queries: DataFrame, hasher: Hasher, level: Round, how: Forest) -> dict[int, np.ndarray] | None:
+    """Blocks of the queries by tree; None if there are many queries."""
+    if not fits(queries, how.few):
+        return None
+    found = _sizes(queries, hasher, level, True, how).toPandas()
     return {tree: found["block"][found["tree"] == tree].to_numpy(np.int64) for tree in range(level.trees)}
 
 
+def _parts(rows: DataFrame, hasher: Hasher, level: Round, query: bool, how: Forest) -> dict[tuple[int, int], int]:
+    """How many parts of about ``block`` rows the larger blocks have, by tree and block."""
+    found = _sizes(rows, hasher, level, query, how).where(F.col("n") > how.block).collect()
+    return {(r["tree"], r["block"]): math.ceil(r["n"] / how.block) for r in found}
+
+
 def _best(vectors: DataFrame, queries: DataFrame, hasher: Hasher, level: Round, k: int, how: Forest) -> DataFrame:
     """(q, best): the k + 1 best vectors, as (-score, rep), of each query's blocks of a level."""
     schema = "block string, query boolean, ids binary, v binary"
     wanted = _wanted(queries, hasher, level, how)
-    placed = vectors.select("rep", "v").mapInArrow(_blocks(hasher, level, False, wanted, how), schema)
-    placed = placed.unionByName(queries.mapInArrow(_blocks(hasher, level, True, None, how), schema))
+    parts = [_parts(vectors, hasher, level, False, how), _parts(queries, hasher, level, True, how)]
+    placed = vectors.select("rep", "v").mapInArrow(_blocks(hasher, level, False, wanted, parts, how), schema)
+    placed = placed.unionByName(queries.mapInArrow(_blocks(hasher, level, True, None, parts, how), schema))
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         """The best of the vectors that share the block's prefix."""

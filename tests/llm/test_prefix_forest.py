@@ -103,3 +103,22 @@ def test_recall_in_crowded_blocks(spark):
     got = found(prefix_forest.search(rows, F.pmod("vec_id", F.lit(100)) == 0, how=prefix_forest.Forest(block=300, crowd=2)))
     want = brute(np.arange(6000), x, range(0, 6000, 100))
     assert got.keys() == want.keys() and recall(got, want) >= 0.9
+
+
+def test_parts_of_large_blocks(spark):
+    """No group has many more than ``block`` vectors or queries, and the parts' best are the block's."""
+    x = np.random.default_rng(6).standard_normal((1000, 8))
+    rows = spark.createDataFrame([(i, v.astype("<f8").tobytes()) for i, v in enumerate(x)], "rep long, v binary")
+    how = prefix_forest.Forest(block=100)
+    hasher = prefix_forest.Hasher(8, 1, np.linalg.norm(x, axis=1).max(), how)
+    everything = prefix_forest.Round(1, 0, {})
+    parts = [prefix_forest._parts(rows, hasher, everything, query, how) for query in (False, True)]
+    assert parts == [{(0, 0): 10}] * 2
+    schema = "block string, query boolean, ids binary, v binary"
+    for query in (False, True):
+        placed = rows.mapInArrow(prefix_forest._blocks(hasher, everything, query, None, parts, how), schema)
+        sizes = placed.groupBy("block").agg(F.sum(F.length("ids") / 8).alias("n")).collect()
+        assert len(sizes) == 100 and max(r.n for r in sizes) < 150 and sum(r.n for r in sizes) == 10_000
+    got = prefix_forest._best(rows, rows, hasher, everything, 5, how).collect()
+    want = np.sort(x @ x.T, axis=1)[:, :-7:-1]
+    assert len(got) == 1000 and all(np.allclose([-b.s for b in r.best], want[r.q]) for r in got)
