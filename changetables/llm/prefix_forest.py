@@ -120,9 +120,9 @@ def fit(cosines: np.ndarray, n: int, how: Forest) -> tuple[int, int]:
 
     Two vectors at angle t agree in a bit with chance 1 - t / pi, so a neighbour is found
     by one of L trees at depth d with chance 1 - (1 - p^d)^L. Work is the vectors compared
-    with a query, and a visit for each tree. Few vectors are one block.
+    with a query, and a visit for each tree.
     """
-    if n <= how.block or not len(cosines):
+    if not len(cosines):
         return 1, 0
     agree = 1 - np.arccos(np.clip(cosines, -1, 1)) / math.pi
     best = (math.inf, 1, 0)
@@ -394,7 +394,7 @@ def search(
     longest, n = math.sqrt(total[0] or 1.0) * (1 + 1e-12), total[1] or 0
     sample = [bytes(r["v"]) for r in queries.orderBy(F.xxhash64("rep"), "rep").limit(how.sample).select("v").collect()]
     cosines = np.zeros(0)
-    if n > how.block and sample:
+    if n > k + 1 and sample:
         asked_for = np.frombuffer(b"".join(sample), "<f8").reshape(len(sample), -1)
         unit = asked_for / np.linalg.norm(asked_for, axis=1, keepdims=True)
         cosines = _nearest(vectors, unit, k) / longest

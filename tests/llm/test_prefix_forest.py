@@ -122,3 +122,9 @@ def test_parts_of_large_blocks(spark):
     got = prefix_forest._best(rows, rows, hasher, everything, 5, how).collect()
     want = np.sort(x @ x.T, axis=1)[:, :-7:-1]
     assert len(got) == 1000 and all(np.allclose([-b.s for b in r.best], want[r.q]) for r in got)
+
+
+def test_forest_at_every_size():
+    """Few vectors go through trees too."""
+    cosines = np.full(640, 0.4)
+    assert all(prefix_forest.fit(cosines, n, prefix_forest.Forest())[1] > 0 for n in (100, 500, 2000, 5000))
