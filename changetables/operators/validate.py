@@ -49,6 +49,7 @@ def _has_diff(index: Column) -> Column:
 
 
 def _row_errors(names: Column) -> Column:
+    """The error of each row, or pair of rows, of an event; null where it passes."""
     rows = F.col("rows")
     fits = lambda row: F.size(row) == F.size(names)
 
@@ -70,10 +71,9 @@ def _row_errors(names: Column) -> Column:
         )
 
     pairs = F.when(F.size(rows) >= 2, F.sequence(F.lit(0), F.size(rows) - 2, F.lit(2)))
-    found = F.when(F.col("op") == "update", F.transform(pairs, pair)).when(
+    return F.when(F.col("op") == "update", F.transform(pairs, pair)).when(
         F.col("op").isin("insert", "delete"), F.transform(rows, single)
     )
-    return F.get(F.filter(found, lambda e: e.isNotNull()), F.lit(0))
 
 
 def validate(events: DataFrame, names: Column | None = None, allowed: Column | None = None) -> DataFrame:
@@ -91,7 +91,7 @@ def validate(events: DataFrame, names: Column | None = None, allowed: Column | N
         names,
         lambda n: F.when(n.isNull(), COUNT_MISMATCH)
         .when(is_odd, ODD_UPDATE_ROWS)
-        .otherwise(_row_errors(n)),
+        .otherwise(F.get(F.filter(_row_errors(n), lambda e: e.isNotNull()), F.lit(0))),
     )
     checked = F.coalesce(early_error(events), F.when(allowed, late))
     return events.withColumn("error", F.when(F.col("kind") == "rows", checked))
@@ -119,11 +119,15 @@ def check_types(changes: DataFrame, fields: T.StructType) -> DataFrame:
     return changes.withColumn("error", F.coalesce(known, found))
 
 
-def split_valid(events: DataFrame, mode: str = "reject") -> tuple[DataFrame, DataFrame]:
+def split_valid(
+    events: DataFrame, mode: str = "reject", names: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) events by their ``error`` column.
 
-    ``reject`` sets bad events aside and keeps all others. ``halt`` stops at the
-    first bad event of the log: nothing at or after it is accepted.
+    ``reject`` sets bad events aside and keeps all others. ``halt`` stops at the first bad
+    row of the log: nothing at or after it is accepted. If it has good rows before it in
+    its event, the event is accepted with these and rejected with the others; changes
+    with an ``ordinal`` are cut there. ``names`` are as for ``validate``.
     """
     if mode not in ("reject", "halt"):
         raise ValueError(f"mode must be 'reject' or 'halt', not {mode!r}")
@@ -135,4 +139,17 @@ def split_valid(events: DataFrame, mode: str = "reject") -> tuple[DataFrame, Dat
         bad.select(position_key(events).alias("at")).agg(F.min("at").alias("first")).scalar()
     )
     good = F.coalesce(F.col("__at") < first, F.lit(True))
-    return keyed.filter(good).drop("__at"), keyed.filter(~good).drop("__at")
+    lists = ["rows", "skipped", "json_diffs"]
+    needed = {"op", *lists} | ({"columns"} if names is None else set())
+    if not needed <= set(events.columns):
+        return keyed.filter(good).drop("__at"), keyed.filter(~good).drop("__at")
+    found = _row_errors(F.col("columns") if names is None else names)
+    entries = F.coalesce(F.array_position(found, F.col("error")) - 1, F.lit(0))
+    before = F.greatest(entries, F.lit(0)) * F.when(F.col("op") == "update", 2).otherwise(1)
+    halted = F.col("error").isNotNull() & F.coalesce(F.col("__at") == first, F.lit(False))
+    keyed = keyed.withColumn("__good", F.when(halted, before).otherwise(0).cast("int"))
+    is_cut = F.col("__good") > 0
+    head = {c: F.when(is_cut, F.slice(c, F.lit(1), F.col("__good"))).otherwise(F.col(c)) for c in lists}
+    tail = {c: F.when(is_cut, F.slice(c, F.col("__good") + 1, F.size(c))).otherwise(F.col(c)) for c in lists}
+    accepted = keyed.filter(good | is_cut).withColumns({**head, "error": F.when(~is_cut, F.col("error"))})
+    return accepted.drop("__at", "__good"), keyed.filter(~good).withColumns(tail).drop("__at", "__good")

@@ -69,6 +69,27 @@ def test_reject_and_halt(spark):
     assert (positions(ok), positions(rest)) == ([1, 2, 4], [])
 
 
+def test_halt_keeps_good_rows_of_the_failing_event(spark):
+    """Rows before the first bad row are accepted, with what belongs to them; the others are not."""
+    data = [
+        event("insert", [["1", "2"]], 1),
+        event("insert", [["3", "4"], ["5", "6"], ["7"], ["8", "9"]], 2, skipped=[[], [1], [], [0]]),
+        event("insert", [["1", "2"]], 3),
+    ]
+    get = lambda df: rows(df.select("pos", "rows", "skipped", "error"))
+    ok, rest = ct.split_valid(ct.validate(spark.createDataFrame(data, EVENT)), "halt")
+    assert get(ok.filter("pos > 1")) == [(2, [["3", "4"], ["5", "6"]], [[], [1]], None)]
+    assert [r.pos for r in ok.orderBy("pos").collect()] == [1, 2]
+    assert [(r.pos, r.rows) for r in rest.orderBy("pos").collect()] == [(2, [["7"], ["8", "9"]]), (3, [["1", "2"]])]
+    pairs = [event("update", [["1", "2"], ["1", "3"], ["4", "5"], ["4"]], 1), event("insert", [["1"], ["2", "3"]], 2)]
+    ok, rest = ct.split_valid(ct.validate(spark.createDataFrame(pairs, EVENT)), "halt")
+    assert [(r.pos, r.rows) for r in ok.collect()] == [(1, [["1", "2"], ["1", "3"]])]
+    assert rest.count() == 2
+    changes = spark.createDataFrame([(1, 0, None), (1, 1, "x"), (1, 2, None), (0, 5, None)], "pos long, ordinal int, error string")
+    ok, rest = ct.split_valid(changes.selectExpr("0 as file_seq", "*"), "halt")
+    assert rows(ok.select("pos", "ordinal")) == [(0, 5), (1, 0)] and rest.count() == 2
+
+
 def test_images_of_every_operation(spark):
     data = [
         event("insert", [["1", None], ["2", "x"]], 1, skipped=[[], [1]]),
