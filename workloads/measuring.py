@@ -88,6 +88,16 @@ def metrics_lag_windows(spark, sf):
     return found.select(F.unix_micros("start").alias("day"), F.round("lag_max", 3).alias("lag_max"))
 
 
+@query(
+    f"""{_AUDIT} select epoch_us(date_trunc('day', event_ts)) as day, round(max({_LAG}), 3) as lag_max,
+  round(quantile_disc({_LAG}, 0.5), 3) as lag_p50, round(quantile_disc({_LAG}, 0.95), 3) as lag_p95 from a group by 1"""
+)
+def metrics_lag_windows_all(spark, sf):
+    found = metrics.lag_quantiles(_audit(spark, sf), "1 day", "ts")
+    lags = [F.round(c, 3).alias(c) for c in ("lag_max", "lag_p50", "lag_p95")]
+    return found.select(F.unix_micros("start").alias("day"), *lags)
+
+
 @query(
     f"""{_AUDIT} select case when k = 5 then 'fail' else 'success' end as result, count(*) as checkpoints
  from a where k between 5 and 9 group by 1"""

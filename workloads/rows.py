@@ -109,6 +109,25 @@ def typed_changes(spark, sf):
     )
 
 
+@query(
+    f"""{_BASE}, c as ({_INSERTS} union all {_DELETES} union all {_UPDATES})
+ select pos, ordinal, op, case when op <> 'insert' then cast(pos as varchar) end as b_id, b_status, b_price,
+  case when op <> 'delete' then cast(pos as varchar) end as a_id, a_status, a_price from c"""
+)
+def typed_changes_all(spark, sf):
+    fields = T.StructType(
+        [
+            T.StructField("id", T.DecimalType(20, 0)),
+            T.StructField("status", T.StringType()),
+            T.StructField("price", T.DecimalType(12, 2)),
+        ]
+    )
+    image = lambda side, c: F.col(f"{side}.{c}").cast("string").alias(f"{side[0]}_{c}")
+    return typed(decode(_valid(spark, sf)), fields).select(
+        "pos", "ordinal", "op", *[image(side, c) for side in ("before", "after") for c in ("id", "status", "price")]
+    )
+
+
 @query(
     """select o_orderkey as pos, case when o_orderpriority = '5-LOW' then 'id,status' else 'id,status,price' end
  as second_image, 'id,status,price' as third_image from orders"""
