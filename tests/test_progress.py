@@ -9,7 +9,7 @@ from changetables.functions import times
 from changetables.operators import metrics
 from changetables.schema import LEDGER_SCHEMA
 from changetables.sources import ledger as ledgers
-from conftest import rows
+from helpers import rows
 
 LOG = (
     "source_id string, file string, file_seq long, pos long, end_pos long, gtid_set string, event_ts timestamp, "

@@ -3,7 +3,7 @@ from collections import Counter
 
 import changetables as ct
 from changetables.operators import reconcile
-from conftest import rows
+from helpers import rows
 
 
 def test_diff_with_nulls_duplicates_and_changes(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import changetables as ct
 from changetables.operators.exact import net_copies
 from changetables.operators.keyed import key_actions_with_liveness
-from conftest import rows
+from helpers import rows
 from simulator import CHANGES, IMAGE, bag_changes, keyed_changes, replay_bag
 
 

@@ -8,7 +8,7 @@ import changetables as ct
 from changetables.functions import rows as images
 from changetables.operators.images import normalise_rows
 from changetables.operators.validate import image_error
-from conftest import rows
+from helpers import rows
 
 EVENT = (
     "file_seq long, pos long, kind string, op string, schema_name string, table_name string, column_count int, "

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from changetables.plans.asof import asof_lookup
 from changetables.plans.chase import reachable, resolve_roots
 from changetables.plans.scan import Scan, keyed_scan, segmented_scan
-from conftest import rows
+from helpers import rows
 
 
 def _frame(spark, n=400, seed=1):

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 import changetables as ct
 from changetables.functions.ddl import with_ddl
-from conftest import rows
+from helpers import rows
 
 ID = T.StructField("id", T.DecimalType(20, 0))
 CREWS = T.StructType([ID, T.StructField("name", T.StringType()), T.StructField("place", T.StringType())])

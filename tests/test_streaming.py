@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 import changetables as ct
 from changetables.operators.keyed import latest_actions
 from changetables.streaming.apply import apply_batch, create, merge_state, read_state, read_unlisted
-from conftest import rows
+from helpers import rows
 from simulator import CHANGES, IMAGE, keyed_changes
 
 

@@ -5,7 +5,7 @@ import changetables as ct
 from changetables.functions import ddl, events
 from changetables.functions.text import label_or_unknown, trim_space
 from changetables.operators.filters import TableFilter
-from conftest import rows
+from helpers import rows
 
 # One statement of our own for each rule of the statement grammar.
 CREATES_DATABASE = {
