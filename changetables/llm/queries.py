@@ -16,12 +16,15 @@ from changetables.llm import (
     pseudonyms,
     quality_classifier,
     quality_rules,
+    ranked_search,
     secrets,
     sentencepiece_unigram,
     sharding,
+    simhash_variants,
+    spelling_variants,
     url_filters,
 )
-from changetables.session import scratch_root
+from changetables.session import materialise, scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -283,3 +286,51 @@ def op10_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every twentieth vector, among all vectors."""
     return prefix_forest.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
+
+
+RANKED_SEARCH_SQL = r"""
+with docs as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents),
+held as (select rid, doc_id, w, len(w) as n from docs where len(w) > 0),
+total as (select count(*) as big_n, sum(n) as big_l from held),
+counts as (select rid, t, count(*) as tf from (select rid, unnest(w) as t from held) group by all),
+weights as (
+  select t, cast(floor(1000 * ln((2 * any_value(big_n) + 2)::double / (2 * count(*) + 1)::double)) as bigint) as w
+  from counts, total group by t),
+norms as (select rid, doc_id, 100 - 25 + cast((25 * n * big_n) // big_l as bigint) as m from held, total),
+asked as (
+  select q, item_id, t, count(*) as r from (
+    select row_number() over () as q, item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from benchmark) group by all),
+scored as (
+  select q, item_id, rid, doc_id, sum(r * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+  from asked join counts using (t) join weights using (t) join norms using (rid) group by all),
+ranked as (
+  select *, row_number() over (partition by q order by score desc, doc_id) as rank from scored where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 20
+"""
+
+
+@query(RANKED_SEARCH_SQL)
+def op11_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    index = materialise(ranked_search.build_index(table(spark, sf_dir, "documents")), "index")
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op12_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component of near duplicates."""
+    found = simhash_variants.classes(table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", simhash_variants.as_hex(F.col("fingerprint")))
+
+
+@query()
+def op13_count_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its form and root, a letter dropped from one run in 97."""
+    how = spelling_variants.Variants(drop_one_in=97)
+    return spelling_variants.group(spelling_variants.count_words(table(spark, sf_dir, "documents"), how), how)
