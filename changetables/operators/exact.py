@@ -9,12 +9,14 @@ their successors at once and the links are followed by pointer doubling.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changetables.functions.rows import explode_present
+from changetables.operators.partial import partial_kinds, replay_partial
 from changetables.plans.chase import reachable, resolve_roots
 from changetables.plans.scan import HOT_ROWS, Scan, keyed_scan
 from changetables.schema import (
@@ -116,17 +118,25 @@ def replay(
     match: str = "all",
     segment_bytes: int = SEGMENT_BYTES,
     hot_rows: int = HOT_ROWS,
+    defaults: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """The bag of rows after replaying ``changes`` onto ``base``.
 
     Returns the distinct rows with their number of ``copies``; see ``expand_copies``.
     ``match="all"``: a change acts on all equal rows and on nothing if there are
-    none. ``match="one"``: a change stands for exactly one row, as at its source.
+    none. ``match="one"``: a change stands for exactly one row, as at its source, and
+    needs whole images. Where images carry only some columns (``before_present``,
+    ``after_present``), those are matched and set, see ``partial``; an insert takes
+    ``defaults`` for the others.
     """
+    if match not in ("all", "one"):
+        raise ValueError(f"match must be 'all' or 'one', not {match!r}")
+    if partial_kinds(changes)[0]:
+        if match == "one":
+            raise ValueError("match='one' needs whole images")
+        return replay_partial(changes, base, defaults, segment_bytes, hot_rows)
     if match == "one":
         return net_copies(changes, base).filter("copies > 0")
-    if match != "all":
-        raise ValueError(f"match must be 'all' or 'one', not {match!r}")
     found = link(changes, base, segment_bytes, hot_rows)
     links = Links(materialise(found.rows, "replay"), found.values)
     untouched = (

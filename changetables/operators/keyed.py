@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changetables.functions.rows import explode_present
+from changetables.operators import exact
+from changetables.operators.partial import carries, is_whole, partial_kinds
 from changetables.plans.scan import HOT_ROWS, Scan, keyed_scan
 from changetables.schema import (
     SEGMENT_BYTES,
@@ -21,11 +23,27 @@ from changetables.schema import (
 from changetables.session import materialise
 
 
-def _moves_key(keys: Sequence[str]) -> Column:
+def _moves_key(keys: Sequence[str], may_lack: bool = False) -> Column:
+    """Updates to another key; a key that the after image may lack stays as it was."""
     same = [F.col(f"before.{k}").eqNullSafe(F.col(f"after.{k}")) for k in keys]
+    if may_lack:
+        same = [~carries("after", k) | s for k, s in zip(keys, same)]
     return (F.col("op") == "update") & ~reduce(lambda a, b: a & b, same)
 
 
+def _lists_columns(changes: DataFrame) -> bool:
+    return "after_present" in changes.columns
+
+
+def _whole_row(changes: DataFrame) -> Column:
+    """The after image; raises for an update that carries only some columns."""
+    if not _lists_columns(changes):
+        return F.col("after")
+    whole = (F.col("op") != "update") | is_whole("after", image_columns(changes))
+    message = "an update carries only some columns; see latest_by_key, fold_partial or replay"
+    return F.when(whole, F.col("after")).otherwise(F.raise_error(F.lit(message)))
+
+
 def split_key_updates(
     changes: DataFrame, keys: Sequence[str], keep: Sequence[str] = (), rows: bool = True
 ) -> DataFrame:
@@ -33,24 +51,33 @@ def split_key_updates(
 
     An update that moves the key removes the old key (sub 0) and writes the new one
     (sub 1), in this order. ``creates`` marks actions that need their key to be free.
-    Without ``rows`` only the keys of the images are read.
+    Without ``rows`` only the keys of the images are read. An update whose after image
+    lacks the key (``after_present``) keeps it; one that lacks other columns has no new
+    row by itself and raises if ``rows`` are wanted.
     """
     row_type = changes.schema["after"].dataType.simpleString()
-    moves = _moves_key(keys)
+    may_lack = _lists_columns(changes)
+    moves = _moves_key(keys, may_lack)
     deletes, inserts = F.col("op") == "delete", F.col("op") == "insert"
 
+    def key(side: str, name: str) -> Column:
+        if side == "after" and may_lack:
+            kept = (F.col("op") == "update") & ~carries("after", name)
+            return F.when(kept, F.col(f"before.{name}")).otherwise(F.col(f"after.{name}"))
+        return F.col(f"{side}.{name}")
+
     def action(sub: int, row: Column, creates: Column, side: str) -> Column:
         return F.struct(
             F.lit(sub).alias("sub"),
             F.lit(sub == 0).alias("removes"),
             creates.alias("creates"),
             *([row.cast(row_type).alias("row")] if rows else []),
-            *[F.col(f"{side}.{k}").alias(k) for k in keys],
+            *[key(side, k).alias(k) for k in keys],
         )
 
     actions = [
         F.when(deletes | moves, action(0, F.lit(None), F.lit(False), "before")),
-        F.when(inserts | (F.col("op") == "update"), action(1, F.col("after"), inserts | moves, "after")),
+        F.when(inserts | (F.col("op") == "update"), action(1, _whole_row(changes), inserts | moves, "after")),
     ]
     header = [*keep, "op", order_key().alias("at")]
     return explode_present(changes, header, actions, "a").select(*keep, "op", "at", "a.*")
@@ -70,14 +97,27 @@ def latest_actions(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def latest_by_key(
-    changes: DataFrame, keys: Sequence[str], base: DataFrame | None = None
+    changes: DataFrame,
+    keys: Sequence[str],
+    base: DataFrame | None = None,
+    defaults: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Current rows: the last writer of each key wins; keys are never NULL.
 
     Equals the ordered replay if ``base`` was consistent with the log's start. The
     base is only anti-joined with the changed keys; if adaptive execution finds
     those small, they are broadcast.
+
+    Images that carry only some columns (``before_present``, ``after_present``) are
+    folded per column, see ``fold_partial``; an insert takes ``defaults`` for those it
+    lacks. If one of them moves a row whose other columns it does not carry, or lacks the
+    key in its before image, the whole log is replayed exactly.
     """
+    partial, keys_leave_open = partial_kinds(changes, keys)
+    if keys_leave_open:
+        return exact.expand_copies(exact.replay(changes, base, defaults=defaults))
+    if partial:
+        return fold_partial(changes, base, keys, defaults)
     rows = latest_actions(changes, keys).filter("row is not null").select("row.*")
     if base is None:
         return rows
@@ -153,7 +193,7 @@ def conflicts(
     the same; each round settles one more link of such a chain.
     """
     actions = key_actions_with_liveness(changes, keys, base, segment_bytes, hot_rows)
-    if not changes.filter(_moves_key(keys)).isEmpty():
+    if not changes.filter(_moves_key(keys, _lists_columns(changes))).isEmpty():
         idle = _idle_moves(actions)
         while count := idle.count():
             actions = key_actions_with_liveness(changes, keys, base, segment_bytes, hot_rows, idle)
@@ -179,7 +219,7 @@ def halt_at_first_conflict(
 
 def fold_partial(
     changes: DataFrame,
-    base: DataFrame,
+    base: DataFrame | None,
     keys: Sequence[str],
     defaults: Mapping[str, Column] | None = None,
 ) -> DataFrame:
@@ -193,11 +233,10 @@ def fold_partial(
     defaults = defaults or {}
     names = image_columns(changes)
     others = [c for c in names if c not in keys]
-    whole = F.size(F.array_intersect(F.col("after_present"), F.array(*map(F.lit, names)))) == len(names)
-    key_given = reduce(
-        lambda a, b: a & b, [F.array_contains("after_present", F.lit(k)) for k in keys]
-    )
-    moves = F.coalesce(_moves_key(keys) & key_given, F.lit(False))
+    if base is None:
+        base = changes.sparkSession.createDataFrame([], changes.schema["after"].dataType)
+    whole = is_whole("after", names)
+    moves = F.coalesce(_moves_key(keys, True), F.lit(False))
     checked = F.when(
         moves & ~whole, F.raise_error(F.lit("an update that moves the key needs a whole row"))
     ).otherwise(moves)
@@ -228,7 +267,7 @@ def fold_partial(
     when = F.struct("at", "sub")
     folded = []
     for name in others:
-        given = F.array_contains("after_present", F.lit(name))
+        given = carries("after", name)
         value = F.when(given, F.col(f"after.{name}")).otherwise(defaults.get(name, F.lit(None)))
         touched = F.when((F.col("kind") == "reset") | ((F.col("kind") == "set") & given), when)
         folded.append(F.max_by(F.struct(value.alias("v")), touched).alias(f"__{name}"))

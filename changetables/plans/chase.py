@@ -8,6 +8,7 @@ is written to the shared scratch folder, nothing passes through the driver.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -20,12 +21,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def resolve_roots(links: DataFrame) -> DataFrame:
+def resolve_roots(links: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """(id, next, next_erases) -> (id, root): where a chain starting at id ends.
 
     A chain ends at the id without ``next``; ``root`` is null where the chain runs
     into an erasing successor, which itself has no row in ``links``. ``links`` is read
-    more than once and should come from a written table.
+    more than once and should come from a written table. ``carried`` columns come along:
+    each id gets the value of the last link on its way that has one, its own and the
+    end's included.
     """
     target = (
         F.when(F.col("next").isNull(), F.col("id"))
@@ -33,17 +36,19 @@ def resolve_roots(links: DataFrame) -> DataFrame:
         .otherwise(F.col("next"))
     )
     is_open = F.col("next").isNotNull() & ~F.coalesce(F.col("next_erases"), F.lit(False))
-    state = links.select("id", is_open.alias("open"), target.alias("target"))
+    state = links.select("id", is_open.alias("open"), target.alias("target"), *carried)
     closed, pending = [state.filter(~F.col("open"))], state.filter("open")
     while not pending.isEmpty():
         known = _union(closed + [pending]).select(
-            F.col("id").alias("target"), F.col("open"), F.col("target").alias("further")
-        )
-        step = pending.select("id", "target").join(known, "target")
-        state = materialise(step.select("id", "open", F.col("further").alias("target")), "links")
+            F.col("id").alias("target"), F.col("open"), F.col("target").alias("further"),
+            *[F.col(c).alias(f"later_{c}") for c in carried],
+        )
+        step = pending.select("id", "target", *carried).join(known, "target")
+        latest = [F.coalesce(f"later_{c}", c).alias(c) for c in carried]
+        state = materialise(step.select("id", "open", F.col("further").alias("target"), *latest), "links")
         closed.append(state.filter(~F.col("open")))
         pending = state.filter("open")
-    return _union(closed).select("id", F.col("target").alias("root"))
+    return _union(closed).select("id", F.col("target").alias("root"), *carried)
 
 
 def reachable(links: DataFrame, starts: DataFrame) -> DataFrame:

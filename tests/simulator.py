@@ -85,3 +85,51 @@ def keyed_changes(seed, n, keys=12, moves=0.2):
             k = rnd.choice(sorted(table))
             log.append((*at, "delete", (k, table.pop(k)), None))
     return base, log, sorted(table.items())
+
+
+ROW = T.StructType([*IMAGE, T.StructField("w", T.IntegerType())])
+NAMES = T.ArrayType(T.StringType())
+PARTIAL = T.StructType(
+    [
+        *CHANGES.fields[:4],
+        T.StructField("before", ROW),
+        T.StructField("after", ROW),
+        T.StructField("before_present", NAMES),
+        T.StructField("after_present", NAMES),
+    ]
+)
+
+
+def partial_changes(seed, n, patterns, inserts=3):
+    """Random changes whose images carry only some of the columns k, v, w."""
+    rnd = random.Random(seed)
+    names = ROW.names
+
+    def image(present):
+        full = (rnd.choice([None, 0, 1]), rnd.choice(["a", None]), rnd.choice([7, 8]))
+        return tuple(x if c in present else None for c, x in zip(names, full)), list(present)
+
+    log = []
+    for at in positions(n, rnd):
+        op = rnd.choices(["insert", "update", "delete"], weights=[inserts, 4, 1])[0]
+        before, b = image(rnd.choice(patterns)) if op != "insert" else (None, None)
+        after, a = image(rnd.sample(names, rnd.randint(1, 3))) if op != "delete" else (None, None)
+        log.append((*at, op, before, after, b, a))
+    return log
+
+
+def replay_partial_bag(base, log, defaults):
+    """The bag of rows; absent columns of an insert take ``defaults`` (by name)."""
+    bag, names = [dict(zip(ROW.names, r)) for r in base], ROW.names
+    for *_, op, before, after, b, a in log:
+        if op == "insert":
+            bag.append({c: x if c in a else defaults.get(c) for c, x in zip(names, after)})
+            continue
+        wanted = {c: x for c, x in zip(names, before) if c in b}
+        hit = [all(r[c] == x for c, x in wanted.items()) for r in bag]
+        if op == "update":
+            new = {c: x for c, x in zip(names, after) if c in a}
+            bag = [{**r, **new} if h else r for r, h in zip(bag, hit)]
+        else:
+            bag = [r for r, h in zip(bag, hit) if not h]
+    return sorted((tuple(r[c] for c in names) for r in bag), key=repr)
