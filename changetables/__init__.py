@@ -33,6 +33,7 @@ from changetables.sources.versions import read_table, write_table
 from changetables.streaming.apply import (
     TableSet,
     Target,
+    clean,
     compact,
     drain,
     read_current,

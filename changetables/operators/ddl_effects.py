@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from changetables.functions.ddl import parse_table
 from changetables.plans.asof import SMALL_LOOKUP, asof_lookup
 from changetables.plans.chase import resolve_roots
-from changetables.schema import SEGMENT_BYTES, order_key, segment_key
+from changetables.schema import SEGMENT_BYTES, before_all, order_key, segment_key
 from changetables.session import fits, materialise
 
 TABLE = ["schema_name", "table_name"]
@@ -93,14 +93,24 @@ def apply_ddl_epochs(
     effects: DataFrame,
     segment_bytes: int = SEGMENT_BYTES,
     small: int = SMALL_LOOKUP,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Changes that survive the DDL, with ``final_schema`` and ``final_table``.
 
+    ``base`` holds rows of all tables (``schema_name``, ``table_name`` and any columns of
+    the log) that were there before the log starts. They are subject to every statement,
+    and come along as rows before the first position, with ``is_base``.
+
     A change stays with its table until the table's next TRUNCATE, DROP or RENAME; a
     rename hands it on to the new name, whose own later DDL decides further. This is
     the same successor structure as in exact replay, with table names for values. A
     database that is dropped erases every table the log knows in it.
     """
+    if base is not None:
+        before = before_all()
+        first = {"file_seq": before["file_seq"], "pos": before["pos"], "ordinal": before["ordinal"]}
+        start = base.withColumns({**first, "is_base": F.lit(True)})
+        changes = changes.withColumn("is_base", F.lit(False)).unionByName(start, allowMissingColumns=True)
     # the effects are read several times below; their texts are classified once
     effects = materialise(effects, "ddl")
     steps = effects.filter("action <> 'erase_database'")

@@ -23,7 +23,7 @@ from changetables.schema import (
 from changetables.session import materialise
 
 
-def _moves_key(keys: Sequence[str], may_lack: bool = False) -> Column:
+def moves_key(keys: Sequence[str], may_lack: bool = False) -> Column:
     """Updates to another key; a key that the after image may lack stays as it was."""
     same = [F.col(f"before.{k}").eqNullSafe(F.col(f"after.{k}")) for k in keys]
     if may_lack:
@@ -57,7 +57,7 @@ def split_key_updates(
     """
     row_type = changes.schema["after"].dataType.simpleString()
     may_lack = _lists_columns(changes)
-    moves = _moves_key(keys, may_lack)
+    moves = moves_key(keys, may_lack)
     deletes, inserts = F.col("op") == "delete", F.col("op") == "insert"
 
     def key(side: str, name: str) -> Column:
@@ -193,7 +193,7 @@ def conflicts(
     the same; each round settles one more link of such a chain.
     """
     actions = key_actions_with_liveness(changes, keys, base, segment_bytes, hot_rows)
-    if not changes.filter(_moves_key(keys, _lists_columns(changes))).isEmpty():
+    if not changes.filter(moves_key(keys, _lists_columns(changes))).isEmpty():
         idle = _idle_moves(actions)
         while count := idle.count():
             actions = key_actions_with_liveness(changes, keys, base, segment_bytes, hot_rows, idle)
@@ -236,7 +236,7 @@ def fold_partial(
     if base is None:
         base = changes.sparkSession.createDataFrame([], changes.schema["after"].dataType)
     whole = is_whole("after", names)
-    moves = F.coalesce(_moves_key(keys, True), F.lit(False))
+    moves = F.coalesce(moves_key(keys, True), F.lit(False))
     checked = F.when(
         moves & ~whole, F.raise_error(F.lit("an update that moves the key needs a whole row"))
     ).otherwise(moves)

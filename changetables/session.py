@@ -68,6 +68,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of the library's own."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows, stopping at one more."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -2,117 +2,120 @@
 
 Every micro-batch is reduced to one action per key, written to a fresh delta folder and
 then recorded in the target's progress ledger, which gives it the target's own next
-number. Readers see recorded folders only. A batch that comes again is known by its query
-and number: recorded, it is skipped; unrecorded, its first attempt is never read. A new
-query with a new checkpoint folder goes on numbering where the last one stopped. Every
-action keeps its log position, and readers take the highest one per key, so the
-result does not depend on how files were cut into batches or in which order they
+number (see ``state``). Readers see recorded folders only. A batch that comes again is
+known by its query and number: recorded, it is skipped; unrecorded, its first attempt is
+never read. A new query with a new checkpoint folder goes on numbering where the last one
+stopped. Every action keeps its log position, and readers take the highest one per key, so
+the result does not depend on how files were cut into batches or in which order they
 came. Removals are kept as rows without content for the same reason. A target has one
 running query at a time.
+
+A log of many tables may hold DDL statements. What they erase or rename is decided when the
+tables are read, by position, so a TRUNCATE or DROP may arrive in any order. A RENAME must
+not arrive after changes that follow it in the log, since a name's rows before and after it
+are kept apart from then on; such a batch raises.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from changetables.functions.ddl import with_ddl
 from changetables.functions.rows import explode_present
-from changetables.operators.keyed import latest_actions
-from changetables.schema import ORDER_TYPE, before_all, order_key
-from changetables.session import fits
-from changetables.sources.versions import last_recorded, read_or_empty, record
-
-#: Up to this many changed keys are sent to every executor when they are merged.
-SMALL_DELTA = 100_000
-
-_AT = T.StructType([T.StructField("at", ORDER_TYPE), T.StructField("sub", T.IntegerType())])
-
-
-@dataclass(frozen=True)
-class Target:
-    """A keyed destination table: its folder, key and column types."""
-
-    root: str
-    keys: tuple[str, ...]
-    fields: T.StructType
-
-    partitions = ()
-
-    @property
-    def state_schema(self) -> T.StructType:
-        by_name = {f.name: f for f in self.fields}
-        return T.StructType(
-            [by_name[k] for k in self.keys]
-            + [T.StructField("row", self.fields), T.StructField("at", _AT)]
-        )
-
-
-@dataclass(frozen=True)
-class TableSet:
-    """Many keyed tables of one log under one folder: (schema, table) -> key columns.
-
-    Rows are kept as name/value maps and typed when a table is read, so a batch takes
-    one plan and one write for any number of tables.
+from changetables.operators.ddl_effects import ddl_effects
+from changetables.operators.keyed import latest_actions, moves_key
+from changetables.operators.partial import carries, is_whole
+from changetables.plans.asof import asof_lookup
+from changetables.schema import SEGMENT_BYTES, before_all, order_key, segment_key
+from changetables.session import materialise
+from changetables.sources.versions import read_or_empty
+from changetables.streaming.state import (
+    RESET,
+    TableSet,
+    Target,
+    applied,
+    cell_of,
+    clean,
+    compact,
+    create,
+    latest,
+    live_rows,
+    merge_state,
+    progress,
+    read_current,
+    read_current_table,
+    read_effects,
+    read_state,
+    write_batch,
+)
+
+__all__ = [
+    "TableSet", "Target", "apply_batch", "clean", "compact", "create", "drain", "latest_actions", "live_rows",
+    "merge_state", "read_current", "read_current_table", "read_state", "read_unlisted", "start_apply",
+    "start_apply_tables", "table_actions", "target_actions", "unlisted_changes",
+]
+
+apply_batch = write_batch
+
+
+def _at(sub: int) -> Column:
+    return F.struct(order_key().alias("at"), F.lit(sub).alias("sub"))
+
+
+def _reset(at: Column, alive: bool) -> Column:
+    return F.struct(at.alias("at"), F.lit(alive).alias("alive"))
+
+
+def target_actions(changes: DataFrame, target: Target) -> DataFrame:
+    """The last action per key of typed changes, as the target's state holds it.
+
+    For a partial target: each column's last value and the last insert or removal. An
+    update that moves the key must carry the whole row, and before images their key.
     """
-
-    root: str
-    tables: Mapping[tuple[str, str], Sequence[str]]
-
-    partitions = ("schema_name", "table_name")
-    keys = ("schema_name", "table_name", "key")
-
-    @property
-    def state_schema(self) -> T.StructType:
-        text = T.StringType()
-        return T.StructType(
-            [
-                T.StructField("schema_name", text),
-                T.StructField("table_name", text),
-                T.StructField("key", T.ArrayType(text)),
-                T.StructField("row", T.MapType(text, text)),
-                T.StructField("at", _AT),
-            ]
-        )
-
-
-def create(target: Target, base: DataFrame) -> None:
-    """Fill a new target with rows that were there before the log starts."""
-    rows = base.select(
-        *target.keys,
-        F.struct(*target.fields.names).alias("row"),
-        F.struct(before_all().alias("at"), F.lit(0).alias("sub")).alias("at"),
+    keys = list(target.keys)
+    if not target.partial:
+        return latest_actions(changes, keys)
+    for side in ("before", "after"):
+        if f"{side}_present" not in changes.columns:
+            changes = changes.withColumn(f"{side}_present", F.lit(None).cast("array<string>"))
+    op = F.col("op")
+    moves = F.coalesce(moves_key(keys, True), F.lit(False))
+    unknown = (op != "insert") & ~is_whole("before", keys)
+    checked = (
+        F.when(unknown, F.raise_error(F.lit("a before image lacks the key")))
+        .when(moves & ~is_whole("after", target.fields.names), F.raise_error(F.lit("an update that moves the key needs a whole row")))
+        .otherwise(moves)
     )
-    rows.write.mode("overwrite").parquet(f"{target.root}/state/upto=-1")
-    record(base.sparkSession, f"{target.root}/compactions", "upto", -1)
-
-
-def _writer(actions: DataFrame, target: Target | TableSet) -> DataFrameWriter:
-    if target.partitions:
-        # rows of one table go into few files; a large table is split by its size
-        actions = actions.hint("rebalance", *[F.col(c) for c in target.partitions])
-    return actions.write.mode("overwrite").partitionBy(*target.partitions)
-
-
-_PROGRESS = "number long, query string, batch long, folder string, file_seq long, pos long"
 
+    def action(sub: int, side: str, alive: bool | None, filled: bool) -> Column:
+        at, cells = _at(sub), []
+        for f in target.others:
+            given = F.col(f"after.`{f.name}`")
+            default = F.lit(target.defaults.get(f.name)).cast(f.dataType)
+            cell = F.struct(at.alias("at"), F.when(carries("after", f.name), given).otherwise(default).alias("v"))
+            use = F.lit(True) if filled else (carries("after", f.name) if alive is None else F.lit(False))
+            cells.append(F.when(use, cell).cast(cell_of(f.dataType)).alias(f.name))
+        return F.struct(
+            *[F.col(f"{side}.`{k}`").alias(k) for k in keys],
+            F.lit(None).cast(RESET).alias("reset") if alive is None else _reset(at, alive).alias("reset"),
+            F.struct(*cells).alias("cells"),
+            at.alias("at"),
+        )
 
-def _progress(spark: SparkSession, target: Target | TableSet) -> DataFrame:
-    """The ledger: one row per applied batch."""
-    try:
-        return spark.read.schema(_PROGRESS).option("mode", "FAILFAST").json(f"{target.root}/progress")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _PROGRESS)
+    moved = F.col("__moves")
+    steps = [
+        F.when((op == "delete") | moved, action(0, "before", False, False)),
+        F.when((op == "insert") | moved, action(1, "after", True, True)),
+        F.when((op == "update") & ~moved, action(1, "before", None, False)),
+    ]
+    actions = explode_present(changes.withColumn("__moves", checked), [], steps, "a").select("a.*")
+    return latest(actions, target)
 
 
 def _query_of(spark: SparkSession, checkpoint: str) -> str:
@@ -120,30 +123,6 @@ def _query_of(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def apply_batch(actions: DataFrame, batch_id: int, target: Target | TableSet, query: str = "") -> None:
-    """Write one batch of per-key actions, then record it: applied first, saved second.
-
-    ``query`` tells apart the batch numbers of different queries. A recorded batch is
-    not applied again.
-    """
-    spark = actions.sparkSession
-    progress = _progress(spark, target)
-    if progress.where((F.col("query") == query) & (F.col("batch") == batch_id)).take(1):
-        return
-    number = max(_recorded(spark, target)) + 1
-    folder = f"attempt={uuid.uuid4().hex}"
-    seen = Observation()
-    actions = actions.select(*target.state_schema.names).observe(
-        seen, F.max("at.at").alias("last"), F.count(F.lit(1)).alias("actions")
-    )
-    _writer(actions, target).parquet(f"{target.root}/deltas/{folder}")
-    last = seen.get["last"]
-    spark.createDataFrame(
-        [(number, query, batch_id, folder, last["file_seq"] if last else None, last["pos"] if last else None)],
-        _PROGRESS,
-    ).coalesce(1).write.mode("append").json(f"{target.root}/progress")
-
-
 def start_apply(
     stream: DataFrame,
     target: Target,
@@ -161,45 +140,87 @@ def start_apply(
     """
     if engine not in ("deltas", "state"):
         raise ValueError(f"engine must be 'deltas' or 'state', not {engine!r}")
-    keys = list(target.keys)
 
     def apply(actions: DataFrame, batch_id: int) -> None:
-        apply_batch(actions, batch_id, target, _query_of(actions.sparkSession, checkpoint))
+        write_batch(actions, batch_id, target, _query_of(actions.sparkSession, checkpoint))
 
     if engine == "state":
-        writer = latest_actions(stream, keys).writeStream.outputMode("update").foreachBatch(apply)
+        writer = target_actions(stream, target).writeStream.outputMode("update").foreachBatch(apply)
     else:
-        writer = stream.writeStream.foreachBatch(lambda batch, batch_id: apply(latest_actions(batch, keys), batch_id))
+        writer = stream.writeStream.foreachBatch(lambda batch, batch_id: apply(target_actions(batch, target), batch_id))
     return writer.option("checkpointLocation", checkpoint).trigger(
         **(trigger or {"availableNow": True})
     ).start()
 
 
-def table_actions(changes: DataFrame, tables: TableSet) -> DataFrame:
-    """The last action per table and key of name/value changes to many tables.
+def table_actions(changes: DataFrame, tables: TableSet, renames: DataFrame | None = None) -> DataFrame:
+    """The last action per table, epoch and key of name/value changes to many tables.
 
     The list of tables comes from the driver and is broadcast; ``unlisted_changes`` are
-    the others.
+    the others. A name that an after image lacks was not changed. ``renames`` are the
+    effects that start a new epoch for a name.
     """
+    if renames is None:
+        changes = changes.withColumn("epoch", before_all())
+    else:
+        changes = _with_epochs(changes, renames)
     known = changes.join(F.broadcast(_listed(changes.sparkSession, tables)), ["schema_name", "table_name"])
-    key_of = lambda image: F.transform("key_names", lambda n: F.col(image)[n])
-    op = F.col("op")
-    keyed = known.withColumns({"__old": key_of("before"), "__new": key_of("after")})
+    op, before, after = F.col("op"), F.col("before"), F.col("after")
+    new = lambda n: F.when((op == "update") & ~F.map_contains_key(after, n), before[n]).otherwise(after[n])
+    keyed = known.withColumns(
+        {"__old": F.transform("key_names", lambda n: before[n]), "__new": F.transform("key_names", new)}
+    )
     moves = (op == "update") & (F.col("__old") != F.col("__new"))
-
-    def action(sub: int, key: Column, row: Column) -> Column:
-        typed = row.cast("map<string,string>")
-        return F.struct(F.lit(sub).alias("sub"), key.alias("key"), typed.alias("row"))
-
-    steps = [
-        F.when((op == "delete") | moves, action(0, F.col("__old"), F.lit(None))),
-        F.when(op.isin("insert", "update"), action(1, F.col("__new"), F.col("after"))),
-    ]
-    header = ["schema_name", "table_name", order_key().alias("at")]
-    actions = explode_present(keyed, header, steps, "a").select(
-        "schema_name", "table_name", "a.key", "a.row", F.struct("at", "a.sub").alias("at")
+    lacking = F.size(F.array_except(F.map_keys(before), F.map_keys(after))) > 0
+    text = "map<string,string>"
+    if not tables.partial:
+
+        def action(sub: int, key: Column, row: Column) -> Column:
+            return F.struct(key.alias("key"), row.cast(text).alias("row"), _at(sub).alias("at"))
+
+        message = "an update carries only some columns; use a partial set of tables"
+        row = F.when((op == "update") & lacking, F.raise_error(F.lit(message))).otherwise(after)
+        steps = [
+            F.when((op == "delete") | moves, action(0, F.col("__old"), F.lit(None))),
+            F.when(op.isin("insert", "update"), action(1, F.col("__new"), row)),
+        ]
+    else:
+        cells = F.transform_values(after, lambda _, v: F.struct(_at(1).alias("at"), v.alias("v")))
+        none = F.lit(None)
+
+        def action(sub: int, key: Column, alive: bool | None, cells: Column) -> Column:
+            reset = none.cast(RESET) if alive is None else _reset(_at(sub), alive)
+            held = cells.cast(T.MapType(T.StringType(), cell_of(T.StringType())))
+            return F.struct(key.alias("key"), reset.alias("reset"), held.alias("cells"), _at(sub).alias("at"))
+
+        message = "an update that moves the key needs a whole row"
+        moved_cells = F.when(~lacking, cells).otherwise(F.raise_error(F.lit(message)))
+        steps = [
+            F.when((op == "delete") | moves, action(0, F.col("__old"), False, none)),
+            F.when(op == "insert", action(1, F.col("__new"), True, cells)),
+            F.when(moves, action(1, F.col("__new"), True, moved_cells)),
+            F.when((op == "update") & ~moves, action(1, F.col("__old"), None, cells)),
+        ]
+    actions = explode_present(keyed, ["schema_name", "table_name", "epoch"], steps, "a")
+    return latest(actions.select("schema_name", "table_name", "epoch", "a.*"), tables)
+
+
+def _with_epochs(changes: DataFrame, renames: DataFrame) -> DataFrame:
+    """``epoch``: the last rename to or from a change's table before it."""
+    names = F.array(
+        F.struct(F.col("schema_name").alias("s"), F.col("table_name").alias("t")),
+        F.struct(F.col("to_schema").alias("s"), F.col("to_table").alias("t")),
+    )
+    marks = renames.select("file_seq", "pos", "ordinal", F.explode(names).alias("x")).select(
+        F.col("x.s").alias("schema_name"),
+        F.col("x.t").alias("table_name"),
+        order_key().alias("__at"),
+        segment_key().alias("__segment"),
+        order_key().alias("__epoch"),
     )
-    return _latest(actions, tables)
+    placed = changes.withColumns({"__at": order_key(), "__segment": segment_key(SEGMENT_BYTES)})
+    found = asof_lookup(placed, marks.distinct(), ["schema_name", "table_name"], "__at", "__segment", "__epoch")
+    return found.withColumn("epoch", F.coalesce("__epoch", before_all())).drop("__at", "__segment", "__epoch")
 
 
 def _listed(spark: SparkSession, tables: TableSet) -> DataFrame:
@@ -220,22 +241,49 @@ def read_unlisted(spark: SparkSession, tables: TableSet, schema: T.StructType) -
     return read_or_empty(spark, f"{tables.root}/unlisted", marked).select(*schema.names)
 
 
+def apply_tables_batch(batch: DataFrame, batch_id: int, tables: TableSet, query: str = "") -> None:
+    """Apply one batch of row changes and, where it has a column ``query``, statements."""
+    spark = batch.sparkSession
+    if batch_id <= applied(spark, tables, query)[1]:
+        return
+    changes, effects, renames = batch, None, None
+    if "query" in batch.columns:
+        changes = batch.filter("op is not null")
+        found = ddl_effects(with_ddl(batch.filter("op is null and query is not null")))
+        effects = materialise(found, "effects")
+        known = read_effects(spark, tables)
+        renames = (effects if known is None else known.unionByName(effects)).filter("action = 'rename'").distinct()
+        if renames.isEmpty():
+            renames = None
+        else:
+            _refuse_late(effects, tables)
+    others = unlisted_changes(changes, tables)
+    if others.take(1):
+        others.write.mode("overwrite").parquet(f"{tables.root}/unlisted/query={query}/batch={batch_id}")
+    write_batch(table_actions(changes, tables, renames), batch_id, tables, query, effects)
+
+
+def _refuse_late(effects: DataFrame, tables: TableSet) -> None:
+    """Raise if a rename precedes a position that was applied already."""
+    at = F.struct("file_seq", "pos")
+    first = effects.filter("action = 'rename'").agg(F.min(at)).first()[0]
+    last = progress(effects.sparkSession, tables).agg(F.max(F.when(F.col("pos").isNotNull(), at))).first()[0]
+    if first is not None and last is not None and tuple(first) < tuple(last):
+        raise ValueError(f"a RENAME at {tuple(first)} came after changes up to {tuple(last)} were applied")
+
+
 def start_apply_tables(
     stream: DataFrame, tables: TableSet, checkpoint: str, trigger: Mapping | None = None
 ) -> StreamingQuery:
     """Apply one log of name/value changes to many tables, routed by table name.
 
-    Changes to tables that are not listed go whole to the folder ``unlisted`` under the
-    set's root, by query and batch, so a table that appears while the stream runs is kept.
+    Rows without ``op`` are statements: their column ``query`` is read for DDL. Changes to
+    tables that are not listed go whole to the folder ``unlisted`` under the set's root, by
+    query and batch, so a table that appears while the stream runs is kept.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        query = _query_of(spark, checkpoint)
-        others = unlisted_changes(batch, tables)
-        if others.take(1):
-            others.write.mode("overwrite").parquet(f"{tables.root}/unlisted/query={query}/batch={batch_id}")
-        apply_batch(table_actions(batch, tables), batch_id, tables, query)
+        apply_tables_batch(batch, batch_id, tables, _query_of(batch.sparkSession, checkpoint))
 
     return (
         stream.writeStream.foreachBatch(apply)
@@ -250,100 +298,3 @@ def drain(query: StreamingQuery, timeout: float | None = None) -> None:
     query.awaitTermination(timeout)
     if query.exception():
         raise query.exception()
-
-
-def read_state(spark: SparkSession, target: Target | TableSet) -> DataFrame:
-    """The last action of every key, removals included, of all recorded batches."""
-    upto, last = _recorded(spark, target)
-    names = target.state_schema.names
-    state = _read(spark, target, "state", "upto").filter(F.col("upto") == upto).select(*names)
-    recorded = _progress(spark, target).where((F.col("number") > upto) & (F.col("number") <= last))
-    folders = [f"{target.root}/deltas/{r.folder}" for r in recorded.select("folder").collect()]
-    if folders:
-        schema = T.StructType([*target.state_schema.fields, T.StructField("attempt", T.StringType())])
-        fresh = spark.read.schema(schema).option("basePath", f"{target.root}/deltas").parquet(*folders).select(*names)
-    else:
-        fresh = spark.createDataFrame([], target.state_schema)
-    return merge_state(state, _latest(fresh, target), list(target.keys))
-
-
-def read_current(spark: SparkSession, target: Target) -> DataFrame:
-    """The table's current rows."""
-    return read_state(spark, target).filter("row is not null").select("row.*")
-
-
-def read_current_table(
-    spark: SparkSession, tables: TableSet, schema: str, table: str, fields: T.StructType
-) -> DataFrame:
-    """Current rows of one table of a set; only its own folders are read."""
-    mine = (F.col("schema_name") == schema) & (F.col("table_name") == table)
-    state = read_state(spark, tables).filter(mine & F.col("row").isNotNull())
-    return state.select(*[F.col("row")[f.name].cast(f.dataType).alias(f.name) for f in fields])
-
-
-def merge_state(
-    state: DataFrame, latest: DataFrame, keys: Sequence[str], small: int = SMALL_DELTA
-) -> DataFrame:
-    """Two sets of per-key actions as one, the later position winning.
-
-    Both sides hold a key once. A newer side counted to be small is broadcast, so the
-    older, larger one is scanned without a shuffle; otherwise the two meet in one full
-    outer join.
-    """
-    pairs = [F.col(f"s.{k}") == F.col(f"n.{k}") for k in keys]
-    same = reduce(lambda a, b: a & b, pairs)
-    if not fits(latest, small):
-        return _later(state.alias("s").join(latest.alias("n"), same, "full_outer"), keys)
-    latest = F.broadcast(latest)
-    updated = _later(state.alias("s").join(latest.alias("n"), same, "left"), keys)
-    held = state.select(*keys).join(latest.select(*keys), list(keys), "left_semi")
-    return updated.unionByName(latest.join(F.broadcast(held), list(keys), "left_anti"))
-
-
-def _later(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
-    is_newer = F.coalesce(F.col("s.at") <= F.col("n.at"), F.col("s.at").isNull())
-    return joined.select(
-        *[F.coalesce(f"s.{k}", f"n.{k}").alias(k) for k in keys],
-        *[
-            F.when(is_newer, F.col(f"n.{c}")).otherwise(F.col(f"s.{c}")).alias(c)
-            for c in ("row", "at")
-        ],
-    )
-
-
-def compact(
-    spark: SparkSession, target: Target | TableSet, forget_before: tuple[int, int] | None = None
-) -> int:
-    """Fold the recorded batches into a new state version; returns its last batch.
-
-    The new version is a folder of its own and becomes valid with its ledger row, so
-    readers and a crash see either the old or the new one. ``forget_before`` drops
-    removals logged before a position no late file can precede any more.
-    """
-    _, last = _recorded(spark, target)
-    state = read_state(spark, target)
-    if forget_before:
-        moment = F.struct(*[F.lit(x).cast("long") for x in forget_before])
-        is_old = F.struct("at.at.file_seq", "at.at.pos") < moment
-        state = state.filter(F.col("row").isNotNull() | ~is_old)
-    _writer(state, target).parquet(f"{target.root}/state/upto={last}")
-    record(spark, f"{target.root}/compactions", "upto", last)
-    return last
-
-
-def _latest(actions: DataFrame, target: Target | TableSet) -> DataFrame:
-    return actions.groupBy(*target.keys).agg(
-        F.max_by(F.struct("row"), "at")["row"].alias("row"), F.max("at").alias("at")
-    )
-
-
-def _read(spark: SparkSession, target: Target | TableSet, part: str, version: str) -> DataFrame:
-    schema = T.StructType([*target.state_schema.fields, T.StructField(version, T.LongType())])
-    return read_or_empty(spark, f"{target.root}/{part}", schema)
-
-
-def _recorded(spark: SparkSession, target: Target | TableSet) -> tuple[int, int]:
-    """The last batch in the state, and the last batch applied."""
-    upto = last_recorded(spark, f"{target.root}/compactions", "upto")
-    applied = _progress(spark, target).agg(F.max("number")).first()[0]
-    return upto, upto if applied is None else max(upto, applied)
