@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from changetables.functions.rows import explode_present
 from changetables.operators import exact
 from changetables.operators.partial import carries, is_whole, partial_kinds
+from changetables.plans.chase import reachable
 from changetables.plans.scan import HOT_ROWS, Scan, keyed_scan
 from changetables.schema import (
     SEGMENT_BYTES,
@@ -173,10 +174,53 @@ def key_actions_with_liveness(
     )
 
 
-def _idle_moves(actions: DataFrame) -> DataFrame:
-    """Positions of key moves whose old key was not there."""
-    found = actions.filter("op = 'update' and sub = 0 and not was_live").select("at")
-    return materialise(found, "idle-moves")
+def idle_moves(
+    changes: DataFrame,
+    keys: Sequence[str],
+    base: DataFrame | None = None,
+    segment_bytes: int = SEGMENT_BYTES,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Positions (at) of key moves whose old key did not exist, so that they changed nothing.
+
+    A key exists if its row was inserted, or moved there by a move that did find a row,
+    since its last removal. What a move puts down is taken away by the next removal of the
+    new key: if that is a move, too, the first leads to it. So every move has at most one
+    successor, and the moves that found a row are those that can be reached from one whose
+    key was inserted. One scan finds inserts and successors; following them takes a
+    logarithmic number of joins of moves only.
+    """
+    op, removes = F.col("op"), F.col("removes")
+    actions = split_key_updates(changes, keys, ["file_seq", "pos"], rows=False).select(
+        *keys,
+        "op",
+        "at",
+        "sub",
+        "removes",
+        "creates",
+        segment_key(segment_bytes).alias("segment"),
+        F.when(removes, False).when(op == "insert", True).alias("__sure"),
+        F.when(removes, F.struct("at", (op == "update").alias("moves"))).alias("__gone"),
+    )
+    if base is not None:
+        start = base.select(
+            *keys,
+            before_all().alias("at"),
+            F.lit(0).alias("sub"),
+            segment_before_all().alias("segment"),
+            F.lit(True).alias("__sure"),
+        )
+        actions = actions.unionByName(start, allowMissingColumns=True)
+    scans = [Scan("sure", "last_before", F.col("__sure")), Scan("gone", "next_after", F.col("__gone"))]
+    scanned = keyed_scan(actions, keys, ["at", "sub"], "segment", scans, hot_rows)
+    moves = materialise(
+        scanned.filter((op == "update") & (removes | F.col("creates"))).select("at", "removes", "sure", "gone"), "moves"
+    )
+    starts = moves.filter(removes & F.col("sure")).select(F.col("at").alias("id"))
+    led = F.when(F.col("gone.moves"), F.col("gone.at"))
+    links = moves.filter(~removes).select(F.col("at").alias("id"), led.alias("next"))
+    found = reachable(links, starts).withColumnRenamed("id", "at")
+    return moves.filter("removes").select("at").join(found, "at", "left_anti")
 
 
 def conflicts(
@@ -188,19 +232,13 @@ def conflicts(
 ) -> DataFrame:
     """Inserts, and updates moving a row, into a key that exists already.
 
-    A move whose old key does not exist finds no row and creates nothing. Whether it
-    exists may depend on earlier moves, so the idle ones are looked for until they stay
-    the same; each round settles one more link of such a chain.
+    A move whose old key does not exist finds no row and creates nothing; whether it
+    exists may depend on a chain of earlier moves, see ``idle_moves``.
     """
-    actions = key_actions_with_liveness(changes, keys, base, segment_bytes, hot_rows)
+    idle = None
     if not changes.filter(moves_key(keys, _lists_columns(changes))).isEmpty():
-        idle = _idle_moves(actions)
-        while count := idle.count():
-            actions = key_actions_with_liveness(changes, keys, base, segment_bytes, hot_rows, idle)
-            again = _idle_moves(actions)
-            if again.count() == count and again.join(idle, "at", "left_anti").isEmpty():
-                break
-            idle = again
+        idle = materialise(idle_moves(changes, keys, base, segment_bytes, hot_rows), "idle-moves")
+    actions = key_actions_with_liveness(changes, keys, base, segment_bytes, hot_rows, idle)
     return actions.filter("creates and was_live").select(*keys, "op", "at.*")
 
 

@@ -121,6 +121,22 @@ def test_a_move_without_a_row_creates_nothing(spark):
     assert ct.halt_at_first_conflict(df, ["k"]).count() == len(log) - 1
 
 
+@pytest.mark.parametrize("first", ["insert", "delete"])
+def test_a_chain_of_a_thousand_moves(spark, monkeypatch, first):
+    """Settled in a logarithmic number of rounds, whether its row exists or not."""
+    from changetables.plans import chase
+
+    rounds = []
+    monkeypatch.setattr(chase, "materialise", lambda df, label, f=chase.materialise: (rounds.append(label), f(df, label))[1])
+    row = (0, "a")
+    log = [(1, 1, 0, first, None if first == "insert" else row, row if first == "insert" else None)]
+    log += [(1, k + 2, 0, "update", (k, "a"), (k + 1, "a")) for k in range(1000)]
+    log += [(1, 2000, 0, "insert", None, (1000, "b")), (1, 2001, 0, "insert", None, (500, "b"))]
+    found = ct.conflicts(changes(spark, log), ["k"])
+    assert rows(found.select("pos")) == ([(2000,)] if first == "insert" else [])
+    assert rounds.count("jump") <= 12
+
+
 def test_no_conflict_keeps_the_whole_log(spark):
     base, log, _ = keyed_changes(41, 60)
     df = changes(spark, log)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from changetables.functions.ddl import with_ddl
@@ -171,6 +172,25 @@ def conflicts_cut(spark, sf):
     return found.select("user_id", "file_seq", "pos")
 
 
+@query(
+    """with c as (select *, max(case when o_orderstatus = 'O' then 1 else 0 end) over (partition by o_custkey
+   order by o_orderkey) as moved, lead(o_orderkey) over w as next, lead(o_orderstatus) over w as next_status
+   from orders window w as (partition by o_custkey order by o_orderkey))
+ select next as o_orderkey, o_orderkey as pos from c where moved = 1 and next_status = 'O'"""
+)
+def conflict_chains(spark, sf):
+    """Each order's row moves to the customer's next order, in turn; open ones exist before."""
+    orders = logs.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    ahead = F.lead("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    image = lambda key: F.struct(key.alias("o_orderkey"), "o_custkey")
+    moves = orders.withColumn("next", ahead).filter("next is not null").select(
+        F.lit(2).cast("long").alias("file_seq"), F.col("o_orderkey").alias("pos"), F.lit(0).alias("ordinal"),
+        F.lit("update").alias("op"), image(F.col("o_orderkey")).alias("before"), image(F.col("next")).alias("after"),
+    )
+    base = orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_custkey")
+    return keyed.conflicts(moves, ["o_orderkey"], base).select("o_orderkey", "pos")
+
+
 @query(
     """select o_orderkey, case when o_orderstatus = 'O' then -1 else o_custkey end as o_custkey,
  case o_orderpriority when '1-URGENT' then 'U' when '2-HIGH' then null else o_orderstatus end as o_orderstatus,
