@@ -51,19 +51,24 @@ class Evolution:
 
 
 class ByteBpe:
-    """Ids of a byte-level BPE vocabulary file; special strings in a text are ordinary text."""
+    """Ids of a byte-level BPE vocabulary file, as the public library gives them.
+
+    ``special``: a special string in a text is its one id; else it is ordinary text.
+    """
 
     #: Longer runs without or of white space go to the engine whose time does not grow with their square.
     LONG_RUN = 1000
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, special: bool = True):
         import re
 
         import tiktoken
         import tokenizers
 
         self.whole = tokenizers.Tokenizer.from_str(definition)
-        self.whole.encode_special_tokens = True
+        self.whole.encode_special_tokens = not special
+        added = [t["content"] for t in json.loads(definition).get("added_tokens", []) if t["content"]]
+        self.special = re.compile("|".join(map(re.escape, added))) if special and added else None
         model = json.loads(definition)["model"]
         self.long_run = re.compile(rf"\S{{{self.LONG_RUN}}}|\s{{{self.LONG_RUN}}}")
         vocabulary = model["vocab"]
@@ -85,24 +90,32 @@ class ByteBpe:
         return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
     def encode(self, text: str) -> np.ndarray:
-        if self.fast is None or self.long_run.search(text):
+        if self.fast is None or self.long_run.search(text) or (self.special and self.special.search(text)):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.array(self.fast.encode_ordinary(text), dtype="<u4")
 
 
 def tokenised_pieces(
-    docs: DataFrame, tokenizer: str, limit: int, end_id: int, key: str = "doc_id", text: str = "text", keep_ids: bool = False
+    docs: DataFrame,
+    tokenizer: str,
+    limit: int,
+    end_id: int,
+    key: str = "doc_id",
+    text: str = "text",
+    keep_ids: bool = False,
+    special: bool = True,
 ) -> DataFrame:
     """Pieces of at most ``limit`` tokens: key, piece, start, length, ids_crc32, ids if kept.
 
     A document is the ids of its text (null: empty) and ``end_id``. Only longer ones are
     cut, into pieces of ``limit``, of which the first may be shorter. Repeated rows give
-    repeated pieces. The vocabulary file is read once, by the driver.
+    repeated pieces. The vocabulary file is read once, by the driver. ``special`` strings
+    in a text are their own ids, or ordinary text.
     """
     definition = Path(tokenizer).read_text()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        engine = ByteBpe(definition)
+        engine = ByteBpe(definition, special)
         for batch in batches:
             rows, numbers, starts, lengths, sums, kept = [], [], [], [], [], []
             for row, value in enumerate(batch.column(1)):

@@ -1,5 +1,6 @@
 """Packing: every token once, in order, in near the least number of sequences."""
 
+import json
 import zlib
 from collections import defaultdict
 
@@ -15,7 +16,6 @@ SF = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(queries.vocabulary())
-    tokenizer.encode_special_tokens = True
     return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
 
 
@@ -107,3 +107,15 @@ def test_crossover_beats_its_parents():
     best = packing.evolve(lengths, 1000, seeds, packing.Evolution(), rng)[0]
     assert np.bincount(best, weights=lengths).max() <= 1000
     assert packing.fitness(best, lengths) < min(packing.fitness(s, lengths) for s in seeds)
+
+
+@pytest.mark.parametrize("special", [True, False])
+def test_special_strings(special):
+    definition = open(queries.vocabulary()).read()
+    plain = Tokenizer.from_str(definition)
+    plain.encode_special_tokens = not special
+    names = [t["content"] for t in json.loads(definition)["added_tokens"]]
+    engine = packing.ByteBpe(definition, special)
+    for text in ["", *names, *(f"a{n}b {n}{n} c" for n in names), names[0][:-1], "a" * 3000 + names[0]]:
+        assert engine.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert (len(engine.encode(f"a{names[0]}b")) == 3) == special
