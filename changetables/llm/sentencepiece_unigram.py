@@ -25,7 +25,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 #: Words up to this many bytes are segmented together; longer ones one by one.
 SHORT = 48
-#: Words that a task remembers at most; beyond it starts afresh.
+#: Words of up to ``SHORT`` bytes that a task remembers at most; beyond it starts afresh.
 REMEMBERED = 400_000
 
 
@@ -152,19 +152,23 @@ class DoubleArray:
 
 
 class Encoder:
-    """Segments texts; built once on the driver and sent to the tasks with its arrays."""
+    """Segments texts; built once on the driver and sent to the tasks with its arrays.
+
+    As in the public library, unused pieces are never given. A user's own piece competes by
+    its score, where the library always prefers it.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         v = vocabulary
-        keys = [(p.encode(), i) for i, (p, k) in enumerate(zip(v.pieces, v.kinds)) if k in (NORMAL, USER, UNUSED) and p]
+        keys = [(p.encode(), i) for i, (p, k) in enumerate(zip(v.pieces, v.kinds)) if k in (NORMAL, USER) and p]
         self.trie = DoubleArray(keys)
-        self.scores = v.scores
         self.dummy_prefix = v.dummy_prefix
         normal = [s for s, k in zip(v.scores, v.kinds) if k == NORMAL]
+        self.scores = v.scores
         self.unknown_score = (min(normal) if normal else 0.0) - 10.0
         self.unknown = v.unknown
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(v.pieces, v.kinds)) if k == BYTE}
-        self.cuttable = all(MARK not in p.lstrip(MARK) for p, k in zip(v.pieces, v.kinds) if k in (NORMAL, USER, UNUSED))
+        self.cuttable = all(MARK not in p.lstrip(MARK) for p, k in zip(v.pieces, v.kinds) if k in (NORMAL, USER))
         raw = {i: bytes([b]) for b, i in self.bytes.items()}
         self.raw = [
             raw.get(i, b"" if k == CONTROL else p.replace(MARK, " ").encode()) for i, (p, k) in enumerate(zip(v.pieces, v.kinds))
@@ -266,7 +270,8 @@ class Encoder:
         starts, pieces = starts.tolist(), pieces.tolist()
         return [self._path(w, s, p) for w, s, p in zip(words, starts, pieces)]
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Remember short words; the longer ones are given back."""
         if len(self.known) + len(words) > REMEMBERED:
             self.known.clear()
         raw = [(w, w.encode("utf-8", "replace")) for w in words]
@@ -275,9 +280,7 @@ class Encoder:
             part = short[start : start + 8192]
             for (word, _), ids in zip(part, self._many([r for _, r in part])):
                 self.known[word] = np.array(ids, "<i4").tobytes()
-        for word, data in raw:
-            if len(data) > SHORT:
-                self.known[word] = np.array(self._one(data), "<i4").tobytes()
+        return {w: np.array(self._one(data), "<i4").tobytes() for w, data in raw if len(data) > SHORT}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -285,10 +288,9 @@ class Encoder:
         new = {w for words in cut for w in words if w not in self.known}
         if len(self.known) + len(new) > REMEMBERED:
             new = {w for words in cut for w in words}
-        if new:
-            self._learn(new)
-        look = self.known.__getitem__
-        return [b"".join(map(look, words)) for words in cut]
+        long = self._learn(new) if new else {}
+        known = self.known
+        return [b"".join([known[w] if w in known else long[w] for w in words]) for words in cut]
 
     def decode(self, ids) -> str:
         """Text of ids: markers as blanks, byte pieces as UTF-8, the added first blank removed."""

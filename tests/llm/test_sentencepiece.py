@@ -59,6 +59,28 @@ def test_equals_library(encoder, library, spark):
         assert encoder.decode(got) == library.decode(got) == text
 
 
+def test_unused_pieces(tmp_path, spark):
+    """Every seventh ASCII piece is unused; the library gives the same ids."""
+    known = s.read_vocabulary(MODEL)
+    unused = {i for i, p in enumerate(known.pieces) if i > 300 and i % 7 == 0 and s.MARK not in p and p.isascii()}
+    out, i = b"", 0
+    for number, value in s.fields(open(MODEL, "rb").read()):
+        if number == 1:
+            value += b"\x15" + struct.pack("<f", known.scores[i]) + (b"\x18" + bytes([s.UNUSED]) if i in unused else b"")
+            i += 1
+        if number == 2:
+            value += b"\x18\x01"
+        out += framed(number, value)
+    (tmp_path / "model").write_bytes(out)
+    library = sentencepiece.SentencePieceProcessor(model_proto=out)
+    encoder = s.Encoder(s.read_vocabulary(str(tmp_path / "model")))
+    docs = [r.text for r in queries.table(spark, SF, "documents").collect()]
+    texts = EDGES + [known.pieces[k] for k in sorted(unused)[:500]] + [t for t in docs if len(t) < 3000][:80]
+    got = ids(encoder, texts)
+    assert got == [library.encode(t) for t in texts]
+    assert not unused & {k for x in got for k in x}
+
+
 def test_one_and_many_agree(encoder, spark):
     words = {w.encode() for r in queries.table(spark, SF, "documents").limit(50).collect() for w in encoder.words(r.text)}
     words = sorted(w for w in words if len(w) <= s.SHORT)
