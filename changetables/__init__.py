@@ -1,5 +1,6 @@
 """Change-log replay on Spark: current tables, history, progress and checks."""
 
+from changetables.functions.types import declared_fields, source_type
 from changetables.operators.apply import apply_to_table
 from changetables.operators.ddl_effects import apply_ddl_epochs, ddl_effects, evolve_images, evolve_schema
 from changetables.operators.exact import (

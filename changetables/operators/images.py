@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changetables.functions.rows import normalise, present, skipped_of
+from changetables.functions.types import DECLARED, parse_value, wire_value
 from changetables.sources.catalogue import bound_columns, schema_asof
 
 _HEADER_DROPPED = ("rows", "skipped", "json_diffs", "column_count", "catalogue_columns")
@@ -80,16 +81,25 @@ def decode_rows(events: DataFrame) -> DataFrame:
     return _with_images(events, images)
 
 
+def _typed(value: Column, field: T.StructField) -> Column:
+    if DECLARED not in (field.metadata or {}):
+        return value.cast(field.dataType)
+    parsed = parse_value(value, field)
+    message = F.concat(F.lit(f"column {field.name}: "), value)
+    return F.when(value.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
+
+
 def typed_changes(log: DataFrame, fields: T.StructType) -> DataFrame:
     """Turn name/value images into typed structs; values that do not fit raise.
 
     ``validate.check_types`` sets changes with such values aside before.
 
     Structs can be grouped and joined, and only the columns a query needs are read.
+    Fields from ``declared_fields`` are read as their source writes them.
     """
 
     def typed(image: str) -> Column:
-        cast = [F.col(image)[f.name].cast(f.dataType).alias(f.name) for f in fields]
+        cast = [_typed(F.col(image)[f.name], f).alias(f.name, metadata=f.metadata) for f in fields]
         return F.when(F.col(image).isNotNull(), F.struct(*cast)).alias(image)
 
     rest = [c for c in log.columns if c not in ("before", "after")]
@@ -97,5 +107,8 @@ def typed_changes(log: DataFrame, fields: T.StructType) -> DataFrame:
 
 
 def normalise_rows(rows: DataFrame) -> DataFrame:
-    """Rows as they are written and matched: date-times as text of whole seconds."""
-    return rows.select(*[normalise(F.col(f.name), f.dataType).alias(f.name) for f in rows.schema])
+    """Rows as they are written and matched: date-times as text of whole seconds, declared
+    binary columns and times of day as text, too."""
+    return rows.select(
+        *[normalise(wire_value(F.col(f.name), f), f.dataType).alias(f.name) for f in rows.schema]
+    )

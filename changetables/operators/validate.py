@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changetables.functions.types import parse_value
 from changetables.functions.rows import skipped_of
 from changetables.functions.text import let
 from changetables.schema import position_key
@@ -111,7 +112,7 @@ def check_types(changes: DataFrame, fields: T.StructType) -> DataFrame:
 
     def misfit(image: str) -> Column:
         values = [F.col(image)[f.name] for f in fields]
-        tests = [v.isNotNull() & v.try_cast(f.dataType).isNull() for v, f in zip(values, fields)]
+        tests = [v.isNotNull() & parse_value(v, f).isNull() for v, f in zip(values, fields)]
         return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
     found = F.when(misfit("before") | misfit("after"), BAD_VALUE)

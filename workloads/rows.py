@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changetables.functions import rows as images
+from changetables.functions.types import declared_fields
 from changetables.operators import validate as checks
 from changetables.operators.images import (
     bind_columns as bind,
@@ -17,7 +18,7 @@ from changetables.operators.images import (
 )
 from changetables.sources.catalogue import schema_history
 from workloads import logs
-from workloads.registry import query
+from workloads.registry import ORACLES, query
 
 
 def _history(events):
@@ -91,30 +92,12 @@ def decode_rows(spark, sf):
     return _flat(decode(_valid(spark, sf)))
 
 
-@query(
-    f"""{_BASE} select pos, ordinal, cast(pos as varchar) as id, a_status as status, a_price as price from ({_INSERTS}) q"""
-)
-def typed_changes(spark, sf):
-    fields = T.StructType(
-        [
-            T.StructField("id", T.DecimalType(20, 0)),
-            T.StructField("status", T.StringType()),
-            T.StructField("price", T.DecimalType(12, 2)),
-        ]
-    )
-    changes = typed(explode_images(_valid(spark, sf)), fields)
-    return changes.filter("op = 'insert'").select(
-        "pos", "ordinal", F.col("after.id").cast("string").alias("id"), "after.status",
-        F.col("after.price").cast("string").alias("price"),
-    )
-
-
 @query(
     f"""{_BASE}, c as ({_INSERTS} union all {_DELETES} union all {_UPDATES})
  select pos, ordinal, op, case when op <> 'insert' then cast(pos as varchar) end as b_id, b_status, b_price,
   case when op <> 'delete' then cast(pos as varchar) end as a_id, a_status, a_price from c"""
 )
-def typed_changes_all(spark, sf):
+def typed_changes(spark, sf):
     fields = T.StructType(
         [
             T.StructField("id", T.DecimalType(20, 0)),
@@ -128,6 +111,73 @@ def typed_changes_all(spark, sf):
     )
 
 
+@query(ORACLES["typed_changes"])
+def typed_changes_all(spark, sf):
+    return typed_changes(spark, sf)
+
+
+ALL_TYPES = {
+    "id": "bigint unsigned",
+    "c_int": "int not null",
+    "c_varchar": "varchar(255)",
+    "c_json": "json",
+    "c_decimal": "decimal(10,2)",
+    "c_bool": "tinyint(1)",
+    "c_blob": "blob",
+    "c_date": "date",
+    "c_time": "time(3)",
+    "c_ts": "timestamp null",
+}
+
+
+@query(
+    """select cast(o_orderkey + 9223372036854775808 as varchar) as id, -(o_orderkey % 100) as c_int,
+  case when o_orderpriority = '5-LOW' then null else o_orderpriority end as c_varchar,
+  '{"a":[1,2.5,{"n":null}],"k":' || o_orderkey || ',"s":"' || o_orderstatus || '"}' as c_json,
+  cast(cast(o_totalprice as decimal(10,2)) as varchar) as c_decimal, o_custkey % 2 as c_bool,
+  to_base64(encode(o_orderpriority)) as c_blob, o_orderdate::date::varchar as c_date,
+  case when o_orderkey % 3 = 0 then '-' else '' end || lpad((o_orderkey % 839)::varchar, greatest(2, length((o_orderkey % 839)::varchar))::int, '0')
+    || ':' || lpad((o_custkey % 60)::varchar, 2, '0') || ':07' || case when o_custkey % 2 = 1 then '.25' else '' end as c_time,
+  o_orderdate::date::varchar || ' 01:02:03' as c_ts, false as bad from orders where o_orderkey % 839 <> 0
+ union all
+ select null, null, null, null, null, null, null, null, null, null, true from orders where o_orderkey % 839 = 0"""
+)
+def typed_all(spark, sf):
+    """Values of every column type, typed and written again; unfit ones are set aside."""
+    key, sign = F.col("o_orderkey"), F.when(F.col("o_orderkey") % 3 == 0, "-").otherwise("")
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    day = F.to_date("o_orderdate").cast("string")
+    values = {
+        "id": (key.cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"),
+        "c_int": (-(key % 100)).cast("string"),
+        "c_varchar": F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")),
+        "c_json": F.concat(
+            F.lit('{ "s": "'), "o_orderstatus", F.lit('", "k": '), key.cast("string"), F.lit(', "a": [1, 2.50,{"n" : null}]}')
+        ),
+        "c_decimal": F.col("o_totalprice").cast("decimal(12,2)").cast("string"),
+        "c_bool": (F.col("o_custkey") % 2).cast("string"),
+        "c_blob": F.base64(F.col("o_orderpriority").cast("binary")),
+        "c_date": day,
+        "c_time": F.when(key % 839 == 0, "839:60:00").otherwise(
+            F.concat(
+                sign, F.when(key % 839 < 10, two(key % 839)).otherwise((key % 839).cast("string")), F.lit(":"),
+                two(F.col("o_custkey") % 60), F.lit(":07"), F.when(F.col("o_custkey") % 2 == 1, ".25").otherwise(""),
+            )
+        ),
+        "c_ts": F.concat(day, F.lit(" 01:02:03")),
+    }
+    image = F.map_from_arrays(F.array(*map(F.lit, values)), F.array(*values.values()))
+    fields = declared_fields(ALL_TYPES)
+    log = logs.table(spark, sf, "orders").select(
+        F.lit("insert").alias("op"), F.lit(None).cast("map<string,string>").alias("before"), image.alias("after")
+    )
+    good, bad = checks.split_valid(checks.check_types(log, fields))
+    rows = normalise(typed(good, fields).select("after.*"))
+    text = rows.withColumns({c: F.col(c).cast("string") for c in ("id", "c_decimal", "c_date")})
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in text.schema]
+    return text.withColumn("bad", F.lit(False)).unionByName(bad.select(*nothing, F.lit(True).alias("bad")))
+
+
 @query(
     """select o_orderkey as pos, case when o_orderpriority = '5-LOW' then 'id,status' else 'id,status,price' end
  as second_image, 'id,status,price' as third_image from orders"""
