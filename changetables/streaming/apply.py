@@ -28,11 +28,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changetables.functions.ddl import with_ddl
 from changetables.functions.rows import explode_present
+from changetables.functions.text import trim_space
 from changetables.operators.ddl_effects import ddl_effects
 from changetables.operators.keyed import latest_actions, moves_key
 from changetables.operators.partial import carries, is_whole
 from changetables.plans.asof import asof_lookup
-from changetables.schema import SEGMENT_BYTES, before_all, order_key, segment_key
+from changetables.schema import SEGMENT_BYTES, before_all, order_key, position_key, segment_key
 from changetables.session import materialise
 from changetables.sources.versions import read_or_empty
 from changetables.streaming.state import (
@@ -44,7 +45,9 @@ from changetables.streaming.state import (
     clean,
     compact,
     create,
+    last_attempt,
     latest,
+    list_names,
     live_rows,
     merge_state,
     progress,
@@ -56,7 +59,7 @@ from changetables.streaming.state import (
 )
 
 __all__ = [
-    "TableSet", "Target", "apply_batch", "clean", "compact", "create", "drain", "latest_actions", "live_rows",
+    "TableSet", "Target", "apply_batch", "clean", "committed", "compact", "create", "drain", "latest_actions", "live_rows",
     "merge_state", "read_current", "read_current_table", "read_state", "read_unlisted", "start_apply",
     "start_apply_tables", "table_actions", "target_actions", "unlisted_changes",
 ]
@@ -123,6 +126,36 @@ def _query_of(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
+def committed(
+    batch: DataFrame, target: Target | TableSet, query: str, batch_id: int
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The changes of committed transactions, and what the next batch needs.
+
+    A change waits until its source logs a commit (an XID event, or the statement COMMIT)
+    behind it. Changes that wait are written beside the batch, whole, and join the next one;
+    they are one open transaction per source if the log arrives in order. A change that comes
+    after its commit is applied at once.
+    """
+    spark = batch.sparkSession
+    before = last_attempt(spark, target) if batch_id > applied(spark, target, query)[1] else None
+    statement = F.lower(trim_space(F.coalesce("query", F.lit("")))) if "query" in batch.columns else F.lit("")
+    is_commit = (F.col("event_type") == "XIDEvent") | (statement == "commit")
+    at = position_key(batch)
+    marks = batch.filter(is_commit).select("source_id", at.alias("upto"))
+    rows = batch.filter(~F.coalesce(is_commit, F.lit(False)))
+    if before is not None and list_names(spark, f"{target.root}/held/{before}"):
+        rows = spark.read.schema(batch.schema).parquet(f"{target.root}/held/{before}").unionByName(rows)
+        marks = spark.read.schema(marks.schema).parquet(f"{target.root}/commits/{before}").unionByName(marks)
+    marks = materialise(marks.groupBy("source_id").agg(F.max("upto").alias("upto")), "commits")
+    placed = rows.withColumn("__at", position_key(rows)).join(
+        marks.withColumnRenamed("source_id", "__source"), F.col("source_id").eqNullSafe(F.col("__source")), "left"
+    )
+    is_ready = F.coalesce(F.col("__at") <= F.col("upto"), F.lit(False))
+    sides = placed.withColumn("__ready", is_ready).drop("__at", "upto", "__source")
+    waiting = sides.filter("not __ready").drop("__ready")
+    return sides.filter("__ready").drop("__ready"), {"held": waiting, "commits": marks}
+
+
 def start_apply(
     stream: DataFrame,
     target: Target,
@@ -130,22 +163,34 @@ def start_apply(
     *,
     engine: str = "deltas",
     trigger: Mapping | None = None,
+    commits: bool = False,
 ) -> StreamingQuery:
     """Apply a stream of typed changes to one table until stopped.
 
     ``deltas`` reduces each micro-batch by itself. ``state`` keeps the last action of
     every key in the state store and emits each key's current action as it changes;
     it suits short triggers. ``trigger`` takes ``DataStreamWriter.trigger`` arguments
-    and defaults to ``availableNow``, which drains what has arrived and stops.
+    and defaults to ``availableNow``, which drains what has arrived and stops. With
+    ``commits`` (of the engine ``deltas``) the stream also has the log's commit events, and
+    readers never see a part of a transaction, see ``committed``.
     """
+    if commits and engine != "deltas":
+        raise ValueError("commits needs the engine 'deltas'")
     if engine not in ("deltas", "state"):
         raise ValueError(f"engine must be 'deltas' or 'state', not {engine!r}")
 
     def apply(actions: DataFrame, batch_id: int) -> None:
         write_batch(actions, batch_id, target, _query_of(actions.sparkSession, checkpoint))
 
+    def whole(batch: DataFrame, batch_id: int) -> None:
+        query = _query_of(batch.sparkSession, checkpoint)
+        ready, beside = committed(batch, target, query, batch_id)
+        write_batch(target_actions(ready.filter("op is not null"), target), batch_id, target, query, beside=beside)
+
     if engine == "state":
         writer = target_actions(stream, target).writeStream.outputMode("update").foreachBatch(apply)
+    elif commits:
+        writer = stream.writeStream.foreachBatch(whole)
     else:
         writer = stream.writeStream.foreachBatch(lambda batch, batch_id: apply(target_actions(batch, target), batch_id))
     return writer.option("checkpointLocation", checkpoint).trigger(

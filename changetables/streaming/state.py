@@ -113,6 +113,8 @@ EFFECTS = (
     "to_schema string, to_table string"
 )
 _PROGRESS = "number long, query string, batch long, folder string, file_seq long, pos long, ddl boolean"
+#: Folders of what a batch leaves to the next one.
+BESIDE = ("held", "commits")
 _VERSIONS = "upto long, buckets int, held array<struct<bucket:int,version:string>>"
 
 
@@ -240,13 +242,26 @@ def applied(spark: SparkSession, target: Target | TableSet, query: str) -> tuple
     return -1 if last[0] is None else last[0], -1 if last[1] is None else last[1]
 
 
+def last_attempt(spark: SparkSession, target: Target | TableSet) -> str | None:
+    """The folder name of the last recorded batch."""
+    row = progress(spark, target).where("folder is not null").orderBy(F.desc("number")).select("folder").first()
+    return row[0] if row else None
+
+
 def write_batch(
-    actions: DataFrame, batch_id: int, target: Target | TableSet, query: str = "", effects: DataFrame | None = None
+    actions: DataFrame,
+    batch_id: int,
+    target: Target | TableSet,
+    query: str = "",
+    effects: DataFrame | None = None,
+    beside: Mapping[str, DataFrame] | None = None,
 ) -> None:
     """Write one batch of per-key actions, then record it: applied first, saved second.
 
     ``query`` tells apart the batch numbers of different queries, which ascend. A recorded
-    batch is not applied again. ``effects`` are those of the batch's DDL statements.
+    batch is not applied again. ``effects`` are those of the batch's DDL statements;
+    ``beside`` are tables by folder that become valid with the batch and replace those of
+    the batch before.
     """
     spark = actions.sparkSession
     upto, _ = _last_version(spark, target)
@@ -257,6 +272,8 @@ def write_batch(
     folder = f"attempt={uuid.uuid4().hex}"
     path = f"{target.root}/deltas/{folder}"
     _writer(actions.select(*target.state_schema.names), target.partitions).parquet(path)
+    for name, table in (beside or {}).items():
+        table.write.parquet(f"{target.root}/{name}/{folder}")
     last = read_or_empty(spark, path, target.state_schema).agg(F.max("at.at")).first()[0]
     has_ddl = effects is not None and not effects.isEmpty()
     if has_ddl:
@@ -428,7 +445,6 @@ def clean(spark: SparkSession, target: Target | TableSet, keep: int = 1) -> int:
         return 0
     oldest = records[-1]["upto"]
     needed = {(h["version"], h["bucket"]) for r in records for h in r["held"]}
-    done = progress(spark, target).where(F.col("number") <= oldest)
     fresh = {r[0] for r in progress(spark, target).where(F.col("number") > oldest).select("folder").collect()}
     deleted = 0
     for version, bucket, path in list_folders(spark, f"{target.root}/state"):
@@ -439,13 +455,21 @@ def clean(spark: SparkSession, target: Target | TableSet, keep: int = 1) -> int:
         if name.startswith("attempt=") and name not in fresh:
             delete_path(spark, f"{target.root}/deltas/{name}")
             deleted += 1
+    last = last_attempt(spark, target)
+    for part in BESIDE:
+        for name in list_names(spark, f"{target.root}/{part}"):
+            if name.startswith("attempt=") and name != last:
+                delete_path(spark, f"{target.root}/{part}/{name}")
+                deleted += 1
     if not list_names(spark, f"{target.root}/progress"):
         return deleted
     # one row stands for the batches of a query that are in the state; those with DDL keep theirs
     files = _ledger(spark, f"{target.root}/progress", _PROGRESS).select("*", F.col("_metadata.file_path").alias("file"))
     old = files.groupBy("file").agg(F.max("number").alias("n"), F.max("ddl").alias("ddl")).where(F.col("n") <= oldest)
-    old = [r["file"] for r in old.where("not ddl").collect()]
+    newest = applied(spark, target, "")[0]
+    old = [r["file"] for r in old.where(~F.col("ddl") & (F.col("n") < newest)).collect()]
     if len(old) > 1:
+        done = progress(spark, target).where((F.col("number") <= oldest) & (F.col("number") < newest))
         folded = done.groupBy("query").agg(F.max("number").alias("number"), F.max("batch").alias("batch"))
         folded = folded.selectExpr("number", "query", "batch", "null as folder", "null as file_seq", "null as pos", "false as ddl")
         folded.coalesce(1).write.mode("append").json(f"{target.root}/progress")

@@ -195,3 +195,39 @@ def test_partial_maps_in_a_set_of_tables(spark, tmp_path):
         apply_tables_batch(spark.createDataFrame([row(2, "update", "a", {"k": "1", "v": "x"}, {"v": "uno"})][:1], LOG), 0, whole) or (
             apply_tables_batch(spark.createDataFrame([row(3, "update", "a", {"k": "1", "w": "x"}, {"v": "uno"})], LOG), 1, whole)
         )
+
+
+COMMITS = "source_id string, event_type string, file_seq long, pos long, ordinal int, op string, before struct<k:int,v:string>, after struct<k:int,v:string>"
+
+
+@pytest.mark.parametrize("upkeep", [False, True])
+def test_readers_see_whole_transactions(spark, tmp_path, upkeep):
+    """Two sources, transactions cut anywhere between files, the last one left open."""
+    rnd = random.Random(8)
+    log, want, states = [], {}, []
+    for txn in range(12):
+        source = rnd.choice("ab")
+        for i in range(rnd.randint(1, 4)):
+            log.append((source, "WriteRowsEventV2", 1, len(log), 0, "insert", None, (100 * (source == "a") + i, f"t{txn}")))
+        if txn < 11:
+            log.append((source, "XIDEvent", 1, len(log), 0, None, None, None))
+    target = ct.Target(str(tmp_path / "t"), ("k",), IMAGE, buckets=2)
+    folder, at = str(tmp_path / "log"), 0
+    while at < len(log):
+        n = rnd.randint(3, 9)
+        spark.createDataFrame(log[at : at + n], COMMITS).coalesce(1).write.mode("append").parquet(folder)
+        stream = ct.read_changelog(spark, folder, streaming=True, schema=spark.createDataFrame([], COMMITS).schema)
+        ct.drain(ct.start_apply(stream, target, str(tmp_path / "c"), commits=True))
+        at += n
+        want, open_rows = {}, {"a": [], "b": []}
+        for source, kind, *_, after in log[:at]:
+            if kind == "XIDEvent":
+                want.update(open_rows[source])
+                open_rows[source] = []
+            else:
+                open_rows[source].append(after)
+        assert rows(ct.read_current(spark, target)) == sorted(want.items(), key=repr)
+        if upkeep:
+            ct.compact(spark, target)
+            ct.clean(spark, target)
+    assert any(open_rows.values())

@@ -139,6 +139,33 @@ def partial_stream(spark, sf):
     return apply.read_current(spark, target)
 
 
+@query(
+    """with c as (select max(event_id) as last from events where event_id % 7 = 6),
+ r as (select *, row_number() over (partition by user_id order by event_id desc) as r from events, c where event_id <= last)
+ select user_id, event_type, value from r where r = 1 and event_type <> 'error'"""
+)
+def stream_commits(spark, sf):
+    """Transactions of seven events, cut between files; the last one has no commit yet."""
+    folder = _folder(spark)
+    target = apply.Target(f"{folder}/accounts", ("user_id",), ACCOUNT)
+    count = logs.events(spark, sf).count()
+    for turn in range(3):
+        part = logs.events(spark, sf).filter(F.floor(F.col("event_id") * 3 / count) == turn)
+        log = logs.account_log(part).withColumn("source_id", F.lit("src"))
+        commit = log.filter("event_id % 7 = 6").withColumns(
+            {
+                "event_type": F.lit("XIDEvent"),
+                "op": F.lit(None).cast("string"),
+                "pos": F.col("pos") + 50,
+                **{c: F.lit(None).cast(log.schema[c].dataType) for c in ("before", "after")},
+            }
+        )
+        log.unionByName(commit).coalesce(1).write.mode("append").parquet(f"{folder}/log")
+        stream = read_changelog(spark, f"{folder}/log", streaming=True, schema=log.schema, max_files=1)
+        apply.drain(apply.start_apply(stream, target, f"{folder}/checkpoint", commits=True))
+    return apply.read_current(spark, target)
+
+
 # -- DDL over rows that are there -----------------------------------------------------
 
 _BASE_NAMES = (
