@@ -52,7 +52,7 @@ class Join:
     direct: int = 8
     block: int = 2048
     bucket: int = 500_000
-    flush: int = 1_500_000
+    flush: int = 300_000
 
 
 def _poisson(mean: float, most: int) -> float:
@@ -110,9 +110,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingles:
-    """Sets of word shingles as sorted 64-bit hashes."""
+    """Sets of word shingles as sorted 64-bit hashes.
 
-    REMEMBERED = 1_000_000
+    Hashes of up to ``REMEMBERED`` words of up to ``LONGEST`` bytes are kept.
+    """
+
+    REMEMBERED, LONGEST = 100_000, 40
 
     def __init__(self, words: int):
         self.words = words
@@ -124,10 +127,13 @@ class Shingles:
         try:
             return np.array([known[w] for w in words], np.uint64)
         except KeyError:
-            if len(known) > self.REMEMBERED:
-                known.clear()
-            known.update((w, xxhash.xxh64_intdigest(w)) for w in set(words) if w not in known)
-            return np.array([known[w] for w in words], np.uint64)
+            pass
+        fresh = {w: xxhash.xxh64_intdigest(w) for w in set(words) if w not in known}
+        found = np.array([known[w] if w in known else fresh[w] for w in words], np.uint64)
+        if len(known) + len(fresh) > self.REMEMBERED:
+            known.clear()
+        known.update((w, h) for w, h in fresh.items() if len(w) <= self.LONGEST)
+        return found
 
     def of(self, text: str | None) -> np.ndarray:
         """Words are runs without ASCII white space, A to Z in lower case."""
@@ -144,6 +150,13 @@ class Shingles:
         return np.unique(_mixed(total))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches a few rows at a time, so that little of one is decoded at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def identity(shingles: np.ndarray) -> int:
     """A set's own signed 64-bit number."""
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes())).astype(np.int64))
@@ -218,7 +231,9 @@ PAIR = np.dtype([("x", "<i8"), ("y", "<i8")])
 
 def _groups(postings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Postings by signature and set, each once; group number of each; size of each group."""
-    postings = postings[np.lexsort((postings["set"], postings["mark"]))]
+    order = np.lexsort((postings["set"], postings["mark"]))
+    postings = postings[order]
+    del order
     same = (postings["mark"][1:] == postings["mark"][:-1]) & (postings["set"][1:] == postings["set"][:-1])
     more = postings["more"].copy()
     if same.any():
@@ -266,7 +281,10 @@ def _postings(docs: DataFrame, how: Join, text: str, buckets: int) -> DataFrame:
         count = 0
 
         def rows() -> Iterator[pa.RecordBatch]:
-            postings, group, sizes = _groups(np.concatenate(held))
+            joined = np.concatenate(held)
+            held.clear()
+            postings, group, sizes = _groups(joined)
+            del joined
             crowded = sizes > how.direct
             pairs, members = _star(postings, group, crowded, reach)
             firsts = np.concatenate([[True], group[1:] != group[:-1]])
@@ -297,7 +315,7 @@ def _postings(docs: DataFrame, how: Join, text: str, buckets: int) -> DataFrame:
                 number = identity(found)
                 if number in seen:
                     continue
-                if len(seen) > 2_000_000:
+                if len(seen) > 200_000:
                     seen.clear()
                 seen.add(number)
                 marks = signatures(found, bands)
@@ -308,7 +326,7 @@ def _postings(docs: DataFrame, how: Join, text: str, buckets: int) -> DataFrame:
                 count += len(marks)
                 if count >= how.flush:
                     yield from rows()
-                    held, count = [], 0
+                    count = 0
         if count:
             yield from rows()
 
@@ -354,14 +372,13 @@ def shingle_counts(docs: DataFrame, how: Join, key: str, text: str) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(how.words)
         for batch in batches:
-            found = [shingles.of(v.as_py()) for v in batch.column(1)]
+            sizes, sets = [], []
+            for value in batch.column(1):
+                found = shingles.of(value.as_py())
+                sizes.append(len(found))
+                sets.append(identity(found) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(f) for f in found], pa.int64()),
-                    pa.array([identity(f) if len(f) else None for f in found], pa.int64()),
-                ],
-                names=schema.names,
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sets, pa.int64())], names=schema.names
             )
 
     return chosen.mapInArrow(run, schema)
@@ -377,7 +394,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, how: Join, key: str, text: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(how.words)
-        for batch in batches:
+        for batch in slices(batches):
             found = [f for f in (shingles.of(v.as_py()) for v in batch.column(0)) if len(f)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -398,7 +415,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
     percent = how.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for one, two in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(one.as_py(), np.uint64), np.frombuffer(two.as_py(), np.uint64)

@@ -132,7 +132,11 @@ linked as (select *, try_cast(regexp_extract(path, '/([0-9]{1,18})(?:\.html)?/?$
 outcomes as (select doc_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad from labels group by doc_id),
 hosts as (
   select host, count(o.bad) as n, coalesce(sum(o.bad), 0) as bad,
-         array_to_string(string_split(host, '.')[-2:], '.') as domain, string_split(host, '.')[-1] as suffix
+         case when array_to_string(string_split(host, '.')[-2:], '.') in {suffixes}
+           then array_to_string(string_split(host, '.')[-3:], '.')
+           else array_to_string(string_split(host, '.')[-2:], '.') end as domain,
+         case when array_to_string(string_split(host, '.')[-2:], '.') in {suffixes}
+           then array_to_string(string_split(host, '.')[-2:], '.') else string_split(host, '.')[-1] end as suffix
   from linked left join outcomes o using (doc_id) group by host),
 top as (select (sum(bad) + 0.5) / (sum(n) + 1.0) as above from hosts),
 s0 as (select suffix, sum(n) as n, sum(bad) as bad, any_value(above) as above from hosts, top group by suffix),
@@ -166,9 +170,9 @@ fits as (
 select page_id, f.host, path, rule,
        case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
             when bound > 0.5 then 'block' else 'allow' end as verdict,
-       n::bigint as n_labels, bad::bigint as n_bad
+       n::bigint as n_labels, bad::bigint as n_bad, round(rate, 6) as bad_rate, round(bound, 6) as bad_bound
 from fits f join known k on f.host = k.host
-"""
+""".replace("{suffixes}", str(url_filters.TWO_LABEL_SUFFIXES))
 
 
 @query(HOST_REPUTATION_SQL)
@@ -185,7 +189,8 @@ def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.regexp_extract(path, r"/([0-9]{1,18})(?:\.html)?/?$", 1)
     doc_id = F.when(number != "", number.cast("long"))
     judged = url_filters.judge(pages, outcomes, doc_id, URL_RULES)
-    return judged.select("page_id", *(f"judged.{c}" for c in "host path rule verdict n_labels n_bad".split()))
+    rounded = [F.round(f"judged.{c}", 6).alias(c) for c in ("bad_rate", "bad_bound")]
+    return judged.select("page_id", *(f"judged.{c}" for c in "host path rule verdict n_labels n_bad".split()), *rounded)
 
 
 @query()
