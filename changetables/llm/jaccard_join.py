@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changetables.llm.common import BROADCAST_BYTES
+from changetables.llm.common import BROADCAST_BYTES, release
 from changetables.llm.components import components
 from changetables.session import materialise
 
@@ -329,6 +329,7 @@ def _postings(docs: DataFrame, how: Join, text: str, buckets: int) -> DataFrame:
                     count = 0
         if count:
             yield from rows()
+        release()
 
     return docs.select(text).mapInArrow(run, "bucket int, kind int, data binary")
 
@@ -353,6 +354,8 @@ def _matched(postings: DataFrame, how: Join) -> DataFrame:
                 ok = (group[a] == group[b]) & small[group[a]]
                 pairs.append(_pairs(found[a[ok]], found[b[ok]], reach))
         pairs, members = np.unique(np.concatenate(pairs)), np.unique(np.concatenate(members))
+        kinds.clear()
+        release()
         return pd.DataFrame(
             {
                 "kind": np.repeat([1, 2], [len(pairs), len(members)]).astype(np.int32),
@@ -380,6 +383,7 @@ def shingle_counts(docs: DataFrame, how: Join, key: str, text: str) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sets, pa.int64())], names=schema.names
             )
+        release()
 
     return chosen.mapInArrow(run, schema)
 
@@ -405,6 +409,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, how: Join, key: str, text: str) ->
                 ],
                 names=["set", "n", "sketch", "shingles"],
             )
+        release()
 
     read = chosen.mapInArrow(run, "set long, n long, sketch binary, shingles binary")
     return read.dropDuplicates(["set"])
@@ -425,6 +430,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+        release()
 
     both = pairs.join(sets.select(F.col("set").alias("b"), F.col("shingles").alias("two")), "b").join(
         sets.select(F.col("set").alias("a"), F.col("shingles").alias("one")), "a"
@@ -486,13 +492,15 @@ def _across(members: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
                     others = others[side[others] != side[one]]
                 found.append(one * len(names) + others)
                 held += len(others)
-            if held > 4_000_000:
+            if held > 1_000_000:
                 settle()
                 held = 0
         if found:
             settle()
         keys = np.unique(np.concatenate(settled)) if settled else np.zeros(0, np.int64)
         x, y = names[keys // len(names)], names[keys % len(names)]
+        del sketches, settled, found
+        release()
         return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
     return rows.groupBy("block").applyInPandas(run, "a long, b long").distinct()

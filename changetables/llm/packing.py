@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changetables.llm.common import release
 from changetables.session import materialise
 
 
@@ -141,6 +142,7 @@ def tokenised_pieces(
             if keep_ids:
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        release()
 
     chosen = docs.select(key, text)
     schema = T.StructType(

@@ -8,6 +8,9 @@ values get equal pseudonyms in every document, different values different ones,
 A network has two halves and never swaps them: even rounds add a keyed hash of the right
 half to the left one, modulo the left half's size, odd rounds do the reverse. As in any
 permutation a value may be its own pseudonym; that matters only for very short mail names.
+
+Mail addresses with a name above 256 characters or a domain above 8 labels are beyond what
+mail systems take; they are not recognised and stay as they are.
 """
 
 from __future__ import annotations

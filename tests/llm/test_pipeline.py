@@ -93,3 +93,31 @@ def test_run(spark, stages):
     cut = lambda df: sorted(tuple(r) for r in df.select("doc_id", "piece", "start", "length").collect())
     assert got.columns == last.columns and len(cut(got)) > 0
     assert cut(got) == cut(last)
+
+
+def test_odd_rows_and_an_empty_table(spark, tmp_path):
+    """Every stage by itself on null, empty and repeated rows, and on no rows."""
+    long = "word " * 300
+    data = [
+        (None, long + "a", "en", "s", 1501),
+        (1, None, None, None, None),
+        (2, "", "en", "s", 0),
+        (3, long, "en", "s", 1500),
+        (3, long, "en", "s", 1500),
+        (4, long + "b", None, None, 1501),
+    ]
+    schema = queries.table(spark, SF, "documents").schema
+    docs = spark.createDataFrame(data, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == schema.names
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+        if name == "pii":
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, docs.collect()))
+        if name == "ngram_jaccard_join":
+            assert sorted(map(str, (r.doc_id for r in got.collect()))) == sorted(["None", "1", "2", "3", "4"])
+        if name == "quality_rules":
+            assert all(r.text for r in got.collect())
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs, SF).count() == 6
+    assert last(spark, docs.limit(0), SF).count() == 0
