@@ -2,7 +2,7 @@
 
 from changetables.functions.types import declared_fields, source_type
 from changetables.operators.apply import apply_to_table
-from changetables.operators.ddl_effects import apply_ddl_epochs, ddl_effects, evolve_images, evolve_schema
+from changetables.operators.ddl_effects import apply_ddl_epochs, ddl_effects, evolve_by_log, evolve_images, evolve_schema
 from changetables.operators.exact import (
     expand_copies,
     net_copies,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -234,12 +234,6 @@ def evolve_images(
     )
     kinds = sorted({s["type"] for s in steps if s["action"] == "modify"})
 
-    def modified(value: Column, kind: Column) -> Column:
-        out = value
-        for name in kinds:
-            out = F.when(kind == name, value.try_cast(name).cast("string")).otherwise(out)
-        return out
-
     def carried(held: Column, step: Column) -> Column:
         # one branch per kind of step, however many steps there are
         column, action = step["column"], step["action"]
@@ -248,12 +242,147 @@ def evolve_images(
             .when(action == "rename", F.transform_keys(held, lambda k, _: F.when(k == column, step["to"]).otherwise(k)))
             .when(action == "drop", F.map_filter(held, lambda k, _: k != column))
             .when(action == "add", F.map_concat(held, F.create_map(column, step["default"])))
-            .otherwise(F.transform_values(held, lambda k, v: F.when(k == column, modified(v, step["type"])).otherwise(v)))
+            .otherwise(F.transform_values(held, lambda k, v: F.when(k == column, _modified(v, step["type"], kinds)).otherwise(v)))
         )
 
     return F.aggregate(rows, image.cast("map<string,string>"), carried)
 
 
+#: A table of schema changes: whose, where in the log, and what.
+STEP_FIELDS = (
+    "schema_name string, table_name string, file_seq long, pos long, ordinal int, action string, "
+    "`column` string, `to` string, type string, `default` string"
+)
+
+_ACTIONS = ("add", "drop", "rename", "modify")
+
+#: What became of a column: the name it had (NULL if it was added), the name it has (NULL if
+#: it was dropped), its default and the types it went through.
+_FATES = "array<struct<origin:string,name:string,default:string,casts:array<string>>>"
+
+#: Names of the types of ``modify`` steps. The engine's own types, decimals of every
+#: precision and scale included, are fewer.
+MAX_TYPES = 2_000
+
+
+def schema_epochs(steps: DataFrame) -> DataFrame:
+    """What each step and all later ones of its table make of an image logged before it.
+
+    ``steps`` has STEP_FIELDS. Every step starts an epoch; its ``plan`` says where columns
+    that the steps name have gone to (``moves``: old name -> new name and types on the way)
+    and which come new (``adds``). Images of one epoch share a plan, so no image walks the
+    steps. Steps of one table are gathered in one place, data is not.
+    """
+    at = order_key()
+    action = F.when(F.col("action").isin(*_ACTIONS), F.col("action")).otherwise(
+        F.raise_error(F.concat(F.lit("unknown schema change "), F.coalesce("action", F.lit("NULL"))))
+    )
+    kind = F.lower(F.trim("type"))
+    marked = steps.select(
+        *TABLE,
+        at.alias("__at"),
+        segment_key(SEGMENT_BYTES).alias("__segment"),
+        F.struct(action.alias("action"), "column", "to", kind.alias("type"), "default").alias("step"),
+    )
+    onwards = Window.partitionBy(*TABLE).orderBy(F.desc("__at")).rowsBetween(Window.unboundedPreceding, 0)
+    rest = marked.withColumn("__rest", F.reverse(F.collect_list("step").over(onwards)))
+    fates = F.aggregate("__rest", F.array().cast(_FATES), _fates_after)
+    named = lambda f: F.struct(
+        f["origin"].alias("key"), F.struct(f["name"].alias("name"), f["casts"].alias("casts")).alias("value")
+    )
+    old = F.filter("__fates", lambda f: f["origin"].isNotNull())
+    new = F.filter("__fates", lambda f: f["origin"].isNull() & f["name"].isNotNull())
+    plan = F.struct(F.map_from_entries(F.transform(old, named)).alias("moves"), new.alias("adds"))
+    return rest.withColumn("__fates", fates).select(*TABLE, "__at", "__segment", plan.alias("plan"))
+
+
+def _fates_after(fates: Column, step: Column) -> Column:
+    column, action = step["column"], step["action"]
+    none = F.lit(None).cast("string")
+
+    def fate(origin: Column, name: Column, default: Column, casts: Column) -> Column:
+        return F.struct(origin.alias("origin"), name.alias("name"), default.alias("default"), casts.alias("casts"))
+
+    no_casts = F.array().cast("array<string>")
+    # a name that no step has touched yet is the image's own
+    touched = F.exists(fates, lambda f: f["name"].eqNullSafe(column) | f["origin"].eqNullSafe(column))
+    opened = F.when(touched, fates).otherwise(F.concat(fates, F.array(fate(column, column, none, no_casts))))
+
+    def moved(f: Column) -> Column:
+        name = F.when(action == "rename", step["to"]).when(action == "drop", none).otherwise(f["name"])
+        casts = F.when(action == "modify", F.concat(f["casts"], F.array(step["type"]))).otherwise(f["casts"])
+        return F.when(f["name"].eqNullSafe(column), fate(f["origin"], name, f["default"], casts)).otherwise(f)
+
+    added = F.concat(fates, F.array(fate(none, column, step["default"], no_casts)))
+    return F.when(action == "add", added).otherwise(F.transform(opened, moved))
+
+
+def evolve_by_log(
+    changes: DataFrame, steps: DataFrame, sides: Iterable[str] = ("before", "after"), small: int = SMALL_LOOKUP
+) -> DataFrame:
+    """Name/value images of many tables in terms of each table's final schema.
+
+    ``steps`` is a table of schema changes (STEP_FIELDS, positions unique within a table) and
+    may be as long as the log has DDL. An image takes the plan of the first step of its own
+    table after it, by an as-of lookup. Steps on columns that an image lacks do nothing; an
+    added column that it has keeps its value. Partial images (``<side>_present`` not NULL)
+    follow renames, drops and types, but get no defaults. NULL images stay NULL.
+    """
+    kinds = _types_of(steps)
+    epochs = materialise(schema_epochs(steps), "epochs").withColumnRenamed("plan", "__plan")
+    keyed = changes.withColumns({"__at": order_key(), "__segment": segment_key(SEGMENT_BYTES)})
+    placed = asof_lookup(keyed, epochs, TABLE, "__at", "__segment", "__plan", "next", small)
+    plan, evolved = F.col("__plan"), {}
+    for side in sides:
+        present = f"{side}_present"
+        is_whole = F.lit(True)
+        if present in changes.columns:
+            is_whole = F.col(present).isNull()
+            names = F.transform(F.col(present), lambda n: _move_of(plan, n)["name"])
+            evolved[present] = F.when(plan.isNull(), F.col(present)).otherwise(F.filter(names, lambda n: n.isNotNull()))
+        evolved[side] = _evolved(F.col(side), plan, is_whole, kinds)
+    return placed.withColumns(evolved).select(*changes.columns)
+
+
+def _types_of(steps: DataFrame) -> list[str]:
+    named = steps.filter("action = 'modify' and type is not null").select(F.lower(F.trim("type")).alias("kind"))
+    kinds = [r.kind for r in named.distinct().limit(MAX_TYPES + 1).collect()]
+    if len(kinds) > MAX_TYPES:
+        raise ValueError(f"more than {MAX_TYPES} types in schema changes")
+    return sorted(kinds)
+
+
+def _move_of(plan: Column, name: Column) -> Column:
+    """Where a column has gone to; columns that no step names stay."""
+    own = F.struct(name.alias("name"), F.array().cast("array<string>").alias("casts"))
+    return F.coalesce(F.try_element_at(plan["moves"], name), own)
+
+
+def _evolved(image: Column, plan: Column, is_whole: Column, kinds: list[str]) -> Column:
+    def through(value: Column, casts: Column) -> Column:
+        return F.aggregate(casts, value.cast("string"), lambda v, kind: _modified(v, kind, kinds))
+
+    def pair(name: Column, value: Column) -> Column:
+        return F.struct(name.alias("key"), value.alias("value"))
+
+    def moved(entry: Column) -> Column:
+        move = _move_of(plan, entry["key"])
+        return pair(move["name"], through(entry["value"], move["casts"]))
+
+    kept = F.filter(F.transform(F.map_entries(image.cast("map<string,string>")), moved), lambda e: e["key"].isNotNull())
+    lacking = F.filter(plan["adds"], lambda a: is_whole & ~F.exists(kept, lambda e: e["key"] == a["name"]))
+    added = F.transform(lacking, lambda a: pair(a["name"], through(a["default"], a["casts"])))
+    return F.when(plan.isNull(), image).otherwise(F.map_from_entries(F.concat(kept, added)))
+
+
+def _modified(value: Column, kind: Column, kinds: Iterable[str]) -> Column:
+    """A value's text after a change of type; NULL if it does not fit."""
+    out = value
+    for name in kinds:
+        out = F.when(kind == name, value.try_cast(name).cast("string")).otherwise(out)
+    return out
+
+
 def evolved_type(fields: T.StructType, steps: Iterable[Mapping]) -> T.StructType:
     """The schema after ``steps``, for typing evolved images."""
     kinds = {f.name: f.dataType for f in fields}

@@ -9,7 +9,7 @@ group together, as in any window.
 
 ``segmented_scan`` cuts every key and is for few, large keys such as sources or
 tables. ``keyed_scan`` is for keys that are many and mostly small, such as rows: it
-counts the keys first and cuts only those found to be hot.
+looks for hot keys first, by a sketch of counts, and cuts only those.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ HOT_ROWS = 2_000_000
 #: (rows of the log / HOT_ROWS) of them; if there are more, all keys are cut.
 MAX_HOT_KEYS = 50_000
 
+#: Hash buckets of the sketch: the most rows that a task sends when keys are counted.
+BUCKETS = 1 << 16
+
 
 @dataclass(frozen=True)
 class Scan:
@@ -84,13 +87,12 @@ def keyed_scan(
 ) -> DataFrame:
     """``segmented_scan`` that leaves keys of up to ``hot_rows`` rows in one piece.
 
-    Counting combines on the map side and is done when the scan is set up; without
-    hot keys, what is left is one plain window.
+    Hot keys are looked for when the scan is set up, see ``hot_keys``; without any, what
+    is left is one plain window.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = materialise(counted.filter(F.col("__n") > hot_rows).select(*keys), "hot")
+    hot = hot_keys(df, keys, hot_rows)
     cells = df.withColumns({s.cell: _cell(s) for s in scans})
-    if hot.isEmpty():
+    if hot is None:
         whole = cells.withColumn(segment, F.lit(None).cast(df.schema[segment].dataType))
         return _scan(whole, None, df.columns, keys, order, segment, scans)
     if not fits(hot, max_hot_keys):
@@ -103,6 +105,39 @@ def keyed_scan(
     return _scan(cut.select(*cells.columns), large, df.columns, keys, order, segment, scans)
 
 
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, buckets: int = BUCKETS
+) -> DataFrame | None:
+    """The keys of more than ``hot_rows`` rows, None if there are none.
+
+    A sketch with one counter per hash bucket comes first: all rows of a key share a bucket,
+    so a key can only be hot in a bucket that is, and however many keys there are, a task
+    sends at most ``buckets`` counters. Only keys of such buckets are counted by themselves.
+    Where buckets are hot by their number of keys alone, a sketch with more of them follows.
+    """
+    rows = df.select(*keys)
+    heavy = _heavy_buckets(rows, keys, hot_rows, buckets)
+    held = heavy.agg(F.sum("__n")).first()[0]
+    if held is None:
+        return None
+    if held > buckets * hot_rows // 2:
+        buckets = 1 << (8 * held // max(1, hot_rows)).bit_length()
+        heavy = _heavy_buckets(rows, keys, hot_rows, buckets)
+    near = rows.withColumn("__bucket", _bucket(keys, buckets)).join(heavy, "__bucket", "left_semi")
+    counted = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = materialise(counted.filter(F.col("__n") > hot_rows).select(*keys), "hot")
+    return None if hot.isEmpty() else hot
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets).cast("long"))
+
+
+def _heavy_buckets(rows: DataFrame, keys: Sequence[str], hot_rows: int, buckets: int) -> DataFrame:
+    counts = rows.groupBy(_bucket(keys, buckets).alias("__bucket")).agg(F.count(F.lit(1)).alias("__n"))
+    return materialise(counts.filter(F.col("__n") > hot_rows), "heavy")
+
+
 def _scan(
     cells: DataFrame,
     large: DataFrame | None,

@@ -1,12 +1,15 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from changetables.plans import scan
 from changetables.plans.asof import asof_lookup
 from changetables.plans.chase import reachable, resolve_roots
-from changetables.plans.scan import Scan, keyed_scan, segmented_scan
+from changetables.plans.scan import Scan, hot_keys, keyed_scan, segmented_scan
+from changetables.session import materialise
 from helpers import rows
 
 
@@ -60,6 +63,34 @@ def test_scans_equal_plain_windows(spark, limits):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.parametrize("buckets", [1, 4, 1 << 16])
+def test_no_hot_key_is_missed(spark, buckets):
+    rnd = random.Random(buckets)
+    data = [(rnd.choice(["a", None]), min(int(rnd.expovariate(0.2)), 30)) for _ in range(600)]
+    counts = Counter(data)
+    df = spark.createDataFrame(data, "k string, n int")
+    for limit in (0, 3, 20, 50):
+        got = hot_keys(df, ["k", "n"], limit, buckets)
+        want = [key for key, n in counts.items() if n > limit]
+        assert rows(got) == sorted(want, key=repr) if want else got is None
+    assert hot_keys(df, ["k", "n"], 600) is None
+    assert hot_keys(df.limit(0), ["k", "n"], 1) is None
+
+
+def test_keys_are_not_shuffled_to_find_that_none_is_hot(spark, monkeypatch):
+    written = []
+
+    def watch(df, label):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialise(df, label)
+
+    monkeypatch.setattr(scan, "materialise", watch)
+    assert hot_keys(spark.range(10_000).selectExpr("id", "'x' as other"), ["id", "other"], 100) is None
+    (plan,) = written
+    assert plan.count("Exchange") == 1 and "partial_count" in plan
+    assert "hashpartitioning(pmod(xxhash64" in plan or "hashpartitioning(_groupingexpression" in plan
+
+
 def test_heavy_window_is_split_by_segment(spark):
     df = _frame(spark)
     plan = segmented_scan(df, ["key"], ["at"], "seg", [Scan("l", "last", F.col("v"))])

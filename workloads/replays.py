@@ -428,3 +428,39 @@ def evolve_table(spark, sf):
     ]
     customers = logs.table(spark, sf, "customer").selectExpr("c_custkey as id", "c_name as note")
     return effects.union_epochs([effects.evolve_schema(orders, steps), customers])
+
+
+@query(
+    f"""select event_id, case when schema_name = 'shop' then event_type end as label,
+ case when schema_name = 'crm' then event_type end as note,
+ case when schema_name = 'ops' then case when event_id < 2500 then 'none' else event_type end end as memo,
+ case when event_id % 3 <> 0 then cast(user_id as varchar) when schema_name <> 'crm' then 'x' end as amount
+ from (select *, {logs.SCHEMA} as schema_name from events) e"""
+)
+def evolve_by_log(spark, sf):
+    """Tables of three schemas, each with changes of its own; the steps are a table as well."""
+    log = _accounts(spark, sf)
+    steps = spark.createDataFrame(
+        [
+            ("shop", 2, 0, "rename", "note", "kind", None, None),
+            ("shop", 2, 200004, "rename", "kind", "label", None, None),
+            ("crm", 2, 0, "modify", "amount", None, "INT", None),
+            ("ops", 2, 0, "drop", "note", None, None, None),
+            ("ops", 2, 1, "add", "note", None, "string", "none"),
+            ("ops", 2, 200004, "rename", "note", "memo", None, None),
+        ],
+        "schema_name string, file_seq long, pos long, action string, `column` string, `to` string, type string, `default` string",
+    ).withColumn("ordinal", F.lit(0))
+    tables = log.select("schema_name", "table_name").distinct()
+    first, last = F.col("file_seq") < 2, (F.col("file_seq") > 2) | (F.col("pos") >= 200004)
+    schema, number = F.col("schema_name"), F.col("user_id").cast("string")
+    name = (
+        F.when((schema == "crm") | first, F.lit("note"))
+        .when(schema == "shop", F.when(last, F.lit("label")).otherwise(F.lit("kind")))
+        .otherwise(F.when(last, F.lit("memo")).otherwise(F.lit("note")))
+    )
+    odd = F.when((schema != "crm") | first, F.lit("x"))
+    amount = F.when(F.col("event_id") % 3 != 0, number).otherwise(odd)
+    images = log.withColumn("image", F.create_map(name, F.col("what"), F.lit("amount"), amount))
+    evolved = effects.evolve_by_log(images, tables.join(steps, "schema_name"), ["image"])
+    return evolved.select("event_id", *[F.col("image")[c].alias(c) for c in ("label", "note", "memo", "amount")])
