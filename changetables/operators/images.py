@@ -86,7 +86,7 @@ def _typed(value: Column, field: T.StructField) -> Column:
         return value.cast(field.dataType)
     parsed = parse_value(value, field)
     message = F.concat(F.lit(f"column {field.name}: "), value)
-    return F.when(value.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
+    return F.coalesce(parsed, F.when(value.isNotNull(), F.raise_error(message)))
 
 
 def typed_changes(log: DataFrame, fields: T.StructType) -> DataFrame:

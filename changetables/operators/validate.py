@@ -111,9 +111,12 @@ def check_types(changes: DataFrame, fields: T.StructType) -> DataFrame:
     """
 
     def misfit(image: str) -> Column:
-        values = [F.col(image)[f.name] for f in fields]
-        tests = [v.isNotNull() & parse_value(v, f).isNull() for v, f in zip(values, fields)]
-        return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
+        def found(held: Column) -> Column:
+            values = [held[f.name] for f in fields]
+            return reduce(lambda a, b: a | b, [v.isNotNull() & parse_value(v, f).isNull() for v, f in zip(values, fields)])
+
+        # a filter on the error repeats the image's own expression wherever it is named
+        return F.coalesce(let(F.col(image), found), F.lit(False))
 
     found = F.when(misfit("before") | misfit("after"), BAD_VALUE)
     known = F.col("error") if "error" in changes.columns else F.lit(None).cast("string")

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 import changetables as ct
 from changetables.functions.types import canonical_json, declared_fields, format_interval, parse_interval, source_type
 from changetables.operators.images import normalise_rows
-from changetables.operators.validate import check_types
+from changetables.operators.validate import check_types, split_valid
 from helpers import rows
 
 
@@ -62,3 +62,18 @@ def test_typed_round_trip_and_bad_values(spark):
     assert typed.select("after").distinct().count() == 2
     with pytest.raises(Exception, match="column (t|b|id|j|ts):"):
         ct.typed_changes(log, fields).collect()
+
+
+def test_images_are_computed_once_however_many_columns_they_have(spark):
+    fields = declared_fields({f"c{i}": "time" for i in range(12)})
+    names, values = [F.lit(f.name) for f in fields], [F.concat("t", F.lit(f"0:0{i % 10}")) for i in range(12)]
+    log = spark.createDataFrame([("1:0",), ("x",)], "t string").select(
+        F.lit("insert").alias("op"),
+        F.lit(None).cast("map<string,string>").alias("before"),
+        F.map_from_arrays(F.array(*names), F.array(*values)).alias("after"),
+    )
+    good, bad = split_valid(check_types(log, fields))
+    for side in (good, bad):
+        plan = side._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("map_from_arrays") <= 2  # in the image's own column, and in the filter
+    assert (good.count(), bad.count()) == (1, 1)
