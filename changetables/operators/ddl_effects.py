@@ -113,14 +113,10 @@ def apply_ddl_epochs(
         changes = changes.withColumn("is_base", F.lit(False)).unionByName(start, allowMissingColumns=True)
     # the effects are read several times below; their texts are classified once
     effects = materialise(effects, "ddl")
-    steps = effects.filter("action <> 'erase_database'")
-    drops = effects.filter("action = 'erase_database'")
-    if not drops.isEmpty():
-        steps = steps.unionByName(_dropped_tables(drops, changes, steps).select(*steps.columns))
-    steps = steps.withColumns(
-        {"at": order_key(), "segment": segment_key(segment_bytes)}
-    ).withColumn("__next", F.struct("at", (F.col("action") == "erase").alias("erases")))
+    steps = _placed(effects.filter("action <> 'erase_database'"), segment_bytes)
     lookup = steps.select(*TABLE, "at", "segment", "__next")
+    drops = effects.filter("action = 'erase_database' and schema_name is not null")
+    drops = None if drops.isEmpty() else _placed(drops, segment_bytes).select("schema_name", "at", "segment", "__next")
 
     renames = steps.filter("action = 'rename'").select(
         "at",
@@ -128,7 +124,7 @@ def apply_ddl_epochs(
         F.col("to_schema").alias("schema_name"),
         F.col("to_table").alias("table_name"),
     )
-    found = asof_lookup(renames, lookup, TABLE, "at", "segment", "__next", "next", small)
+    found = _next_step(renames, lookup, drops, small)
     links = materialise(found.select("at", "__next"), "renames")
     roots = resolve_roots(
         links.select(
@@ -147,7 +143,7 @@ def apply_ddl_epochs(
         )
     )
     keyed = changes.withColumns({"at": order_key(), "segment": segment_key(segment_bytes)})
-    taken = asof_lookup(keyed, lookup, TABLE, "at", "segment", "__next", "next", small)
+    taken = _next_step(keyed, lookup, drops, small)
     if fits(names, small):
         names = F.broadcast(names)
     kept = taken.filter(~F.coalesce(F.col("__next.erases"), F.lit(False)))
@@ -162,13 +158,25 @@ def apply_ddl_epochs(
     )
 
 
-def _dropped_tables(drops: DataFrame, changes: DataFrame, steps: DataFrame) -> DataFrame:
-    """One erasure per table the log knows in a dropped database."""
-    new_names = steps.filter("action = 'rename'").select(
-        F.col("to_schema").alias("schema_name"), F.col("to_table").alias("table_name")
+def _placed(effects: DataFrame, segment_bytes: int) -> DataFrame:
+    """Effects by position; ``__next`` is what a row before them meets."""
+    return effects.withColumns({"at": order_key(), "segment": segment_key(segment_bytes)}).withColumn(
+        "__next", F.struct("at", (F.col("action") != "rename").alias("erases"))
     )
-    known = changes.select(*TABLE).unionByName(new_names).distinct()
-    return drops.drop("table_name").join(known, "schema_name").withColumn("action", F.lit("erase"))
+
+
+def _next_step(rows: DataFrame, lookup: DataFrame, drops: DataFrame | None, small: int) -> DataFrame:
+    """Add ``__next``: the next step of the row's own table, or of its database if that is sooner.
+
+    A dropped database is looked up as such, so a drop stays one row however many tables
+    it erases.
+    """
+    found = asof_lookup(rows, lookup, TABLE, "at", "segment", "__next", "next", small)
+    if drops is None:
+        return found
+    drops = drops.withColumnRenamed("__next", "__drop")
+    both = asof_lookup(found, drops, ["schema_name"], "at", "segment", "__drop", "next", small)
+    return both.withColumn("__next", F.least("__next", "__drop")).drop("__drop")
 
 
 def evolve_schema(rows: DataFrame, steps: Iterable[Mapping]) -> DataFrame:
