@@ -160,8 +160,8 @@ def stream_commits(spark, sf):
                 **{c: F.lit(None).cast(log.schema[c].dataType) for c in ("before", "after")},
             }
         )
-        log.unionByName(commit).coalesce(1).write.mode("append").parquet(f"{folder}/log")
-        stream = read_changelog(spark, f"{folder}/log", streaming=True, schema=log.schema, max_files=1)
+        log.unionByName(commit).write.mode("append").parquet(f"{folder}/log")
+        stream = read_changelog(spark, f"{folder}/log", streaming=True, schema=log.schema)
         apply.drain(apply.start_apply(stream, target, f"{folder}/checkpoint", commits=True))
     return apply.read_current(spark, target)
 
@@ -223,8 +223,9 @@ def stream_ddl(spark, sf):
     count = logs.events(spark, sf).count()
     for turn in range(3):
         part = logs.events(spark, sf).filter((F.floor(F.col("event_id") * 3 / count) == turn))
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/log")
-        stream = read_changelog(spark, f"{folder}/log", streaming=True, schema=logs.EVENTS_SCHEMA, max_files=1)
+        # a turn's files are one batch: split between batches they could come out of order
+        part.write.mode("append").parquet(f"{folder}/log")
+        stream = read_changelog(spark, f"{folder}/log", streaming=True, schema=logs.EVENTS_SCHEMA)
         is_statement = F.col("op") == "delete"
         log = (
             logs.account_log(stream)
