@@ -7,6 +7,7 @@ rows. Metric names can be prefixed to fit existing dashboards.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from changetables.functions.events import event_type_label, is_skipped_query, lag_seconds
 from changetables.functions.rows import explode_present
 from changetables.functions.text import label_or_unknown
+from changetables.plans.asof import SMALL_LOOKUP
+from changetables.session import fits, materialise
 
 # Default bounds of the duration histogram, in seconds.
 BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
@@ -145,15 +148,53 @@ def current_lag(log: DataFrame, read_ts: str = "read_ts") -> DataFrame:
     return log.groupBy("source_id").agg(F.max_by(lag, at).alias("lag_seconds"))
 
 
+#: Relative rank error of the sketch that finds where a quantile lies.
+SKETCH_ERROR = 1e-4
+
+
 def lag_quantiles(log: DataFrame, window: str = "1 hour", read_ts: str = "read_ts") -> DataFrame:
-    """Lag per time window: largest, median and 95th percentile (mergeable sketch)."""
-    lag = lag_seconds(F.col(read_ts), F.col("event_ts"))
-    quantiles = F.percentile_approx(lag, F.array(F.lit(0.5), F.lit(0.95)))
-    return (
-        log.groupBy(F.window("event_ts", window).alias("w"))
-        .agg(F.max(lag).alias("lag_max"), quantiles.alias("q"))
-        .select("w.start", "lag_max", F.col("q")[0].alias("lag_p50"), F.col("q")[1].alias("lag_p95"))
-    )
+    """Lag per time window: largest, median and 95th percentile, each a value that occurs.
+
+    A mergeable sketch gives bounds on both sides of each quantile; rows below are counted
+    and only values between the bounds are ranked, so no task holds a window's values. A
+    window whose sketch was wrong, as the counts tell, has all its values ranked.
+    """
+    shares = {"lag_p50": Decimal("0.5"), "lag_p95": Decimal("0.95")}
+    lags = log.select(
+        F.window("event_ts", window).alias("w"), lag_seconds(F.col(read_ts), F.col("event_ts")).alias("lag")
+    ).filter("w is not null")
+    margin = 2 * SKETCH_ERROR
+    places = [min(1.0, max(0.0, float(q) + d)) for q in shares.values() for d in (-margin, margin)]
+    sketch = F.percentile_approx("lag", F.array(*map(F.lit, places)), F.lit(int(1 / SKETCH_ERROR)))
+    found = lags.groupBy("w").agg(F.max("lag").alias("lag_max"), F.count("lag").alias("__n"), sketch.alias("__q"))
+    found = materialise(found, "lags")
+
+    bounds = found.select(F.col("w").alias("__w"), "__n", "__q")
+    if fits(bounds, SMALL_LOOKUP):
+        bounds = F.broadcast(bounds)
+    placed = lags.join(bounds, F.col("w") == F.col("__w"))
+    sides = {c: (F.col("__q")[2 * i], F.col("__q")[2 * i + 1]) for i, c in enumerate(shares)}
+    below = [F.count(F.when(F.col("lag") < lo, 1)).alias(f"__below_{c}") for c, (lo, _) in sides.items()]
+    upto = [F.count(F.when(F.col("lag") <= hi, 1)).alias(f"__upto_{c}") for c, (_, hi) in sides.items()]
+    ranks = [F.ceil(F.lit(q) * F.col("__n")).cast("long").alias(f"__rank_{c}") for c, q in shares.items()]
+    counts = materialise(placed.groupBy("w").agg(*below, *upto).join(found, "w").select("*", *ranks), "lag_counts")
+
+    known = counts.select(F.col("w").alias("__w"), *[c for c in counts.columns if c.startswith("__")])
+    if fits(known, SMALL_LOOKUP):
+        known = F.broadcast(known)
+    near = lags.filter("lag is not null").join(known, F.col("w") == F.col("__w"))
+    parts = []
+    for c, (lo, hi) in sides.items():
+        rank, first = F.col(f"__rank_{c}"), F.col(f"__below_{c}")
+        is_sure = (first < rank) & (rank <= F.col(f"__upto_{c}"))
+        inside = near.filter(~is_sure | F.col("lag").between(lo, hi))
+        start = F.when(is_sure, first).otherwise(0)
+        values = inside.groupBy("w", "lag").agg(F.count(F.lit(1)).alias("__copies"), F.first(rank - start).alias("__left"))
+        upto_here = F.sum("__copies").over(Window.partitionBy("w").orderBy("lag"))
+        reached = values.withColumn("__upto", upto_here).filter("__upto >= __left")
+        parts.append(reached.groupBy("w").agg(F.min("lag").alias(c)))
+    out = reduce(lambda a, b: a.join(b, "w", "left"), parts, found.select("w", "lag_max"))
+    return out.select("w.start", "lag_max", *shares)
 
 
 def checkpoint_results(audit: DataFrame) -> DataFrame:
