@@ -144,10 +144,16 @@ class Shingles:
             return np.array([xxhash.xxh64_intdigest(b" ".join(words), 1)], np.uint64)
         h = self._hash(words)
         n = len(h) - self.words + 1
+        # words' hashes are well spread and factors odd, so sums need mixing only once
         total = h[:n] * self.factors[0]
         for k in range(1, self.words):
-            total += _mixed(h[k : k + n] * self.factors[k])
-        return np.unique(_mixed(total))
+            total += h[k : k + n] * self.factors[k]
+        out = _mixed(total)
+        out.sort()
+        is_new = np.empty(n, bool)
+        is_new[0] = True
+        np.not_equal(out[1:], out[:-1], out=is_new[1:])
+        return out[is_new]
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:

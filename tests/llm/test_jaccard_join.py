@@ -135,3 +135,16 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{i: 1 for i in range(1, 41)}, **{k: 100 for k in range(100, 160)}, 200: 200, 201: 200}
+
+
+def test_shingles_are_mixed_once(monkeypatch):
+    calls = []
+    mixed = j._mixed
+    monkeypatch.setattr(j, "_mixed", lambda x: calls.append(len(x)) or mixed(x))
+    shingles = j.Shingles(5)
+    calls.clear()
+    found = shingles.of("a b c d e f g a b c d e b a c d e e d c b a")
+    assert calls == [18] and found.dtype == np.uint64 and np.all(found[1:] > found[:-1])
+    # windows in another order of words are other shingles; a repeated one counts once
+    words = "a b c d e f g a b c d e b a c d e e d c b a".split()
+    assert len(found) == len({tuple(words[i : i + 5]) for i in range(18)})
